@@ -1 +1,130 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for reading, feature encoding, splitting and sampling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import encoders as E
+from ..operators import features as FE
+from ..operators import split as S
+from ..session import scratch_path
+from ..sources import dat
+from ..sources.fixtures import load_fixture
+from .registry import (age_idx_sql, gender_idx_sql, genre_parts_sql, multihot_string_sql, register,
+                       sql_with, zip_idx_sql)
+
+SEED = 42
+SAMPLE_CAP = 50_000          # at most this many test rows in the importance sample
+ROWS_PER_BUCKET = 100_000    # permutation bucket size
+
+_FEATURES_CTE = ("feat", f"""select r.user_id, r.movie_id, r.ts,
+    {gender_idx_sql('u.gender')} as gender_idx, {age_idx_sql('u.age')} as age_idx,
+    u.occupation as occ_idx, {zip_idx_sql('u.zip')} as zip_idx,
+    {multihot_string_sql(genre_parts_sql('m.genres'))} as genres,
+    cast(r.rating as double) as rating
+  from ratings r join users u on r.user_id = u.user_id join movies m on r.movie_id = m.movie_id
+  where u.occupation between 0 and 20""")
+
+_KEY = "concat_ws('|', user_id, movie_id, ts, '42')"
+_SPLIT_CTE = ("labelled", f"""select *, case when
+    cast('0x' || substr(md5({_KEY}), 1, 8) as bigint) % 1000 < 800 then 'train' else 'test' end as split
+  from feat""")
+_REPORT_COLS = "gender_idx, age_idx, occ_idx, zip_idx, genres, rating"
+
+
+def fixture_features(spark, sf_dir, keep_keys=True):
+    t = load_fixture(spark, sf_dir)
+    return FE.build_features(t.ratings, t.users, t.movies, keep_keys=keep_keys)
+
+
+def report_with_keys(feats):
+    return feats.select("user_id", "movie_id", "ts", "gender_idx", "age_idx", "occ_idx", "zip_idx",
+                        E.multihot_string("genres").alias("genres"),
+                        F.col("rating").cast("double").alias("rating"))
+
+
+@register("read_dat_roundtrip", sql_with(["users"], body="select * from users"))
+def q_read_dat_roundtrip(spark, sf_dir):
+    """Fixture users written as '::' Latin-1 text to the shared scratch folder and read back."""
+    users = load_fixture(spark, sf_dir).users
+    path = scratch_path(spark, "users-dat")
+    dat.write_dat(users, path)
+    return dat.read_dat(spark, path, dat.SCHEMAS["users"], ["user_id"])
+
+
+@register("features", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE],
+                               body=f"select {_REPORT_COLS} from feat"))
+def q_features(spark, sf_dir):
+    return FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))
+
+
+@register("feature_rejects", sql_with(["ratings", "users", "movies"], body="""
+select r.user_id, r.movie_id, u.occupation as occ_idx from ratings r
+  join users u on r.user_id = u.user_id join movies m on r.movie_id = m.movie_id
+where u.occupation is null or u.occupation not between 0 and 20"""))
+def q_feature_rejects(spark, sf_dir):
+    t = load_fixture(spark, sf_dir)
+    return FE.feature_rejects(t.ratings, t.users, t.movies).select("user_id", "movie_id", "occ_idx")
+
+
+@register("hash_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE, _SPLIT_CTE],
+                                 body=f"select {_REPORT_COLS}, split from labelled"))
+def q_hash_split(spark, sf_dir):
+    labelled = S.with_split(report_with_keys(fixture_features(spark, sf_dir)), seed=SEED)
+    return labelled.drop("user_id", "movie_id", "ts")
+
+
+@register("split_summary", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE, _SPLIT_CTE], body="""
+select split, cast(count(*) as bigint) as n,
+  round(count(*) / sum(count(*)) over (), 6) as share
+from labelled group by split"""))
+def q_split_summary(spark, sf_dir):
+    return S.split_summary(S.with_split(fixture_features(spark, sf_dir), seed=SEED))
+
+
+@register("random_split")
+def q_random_split(spark, sf_dir):
+    feats = FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))
+    train, test = S.random_split(feats, 0.8, SEED)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def fixture_test_set(spark, sf_dir):
+    _, test = S.hash_split(report_with_keys(fixture_features(spark, sf_dir)), seed=SEED)
+    return test
+
+
+@register("sample_cap", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE, _SPLIT_CTE], body=f"""
+select {_REPORT_COLS} from labelled where split = 'test'
+order by cast('0x' || substr(md5({_KEY}), 1, 15) as bigint),
+  user_id, movie_id, ts, {_REPORT_COLS}
+limit {SAMPLE_CAP}"""))
+def q_sample_cap(spark, sf_dir):
+    test = fixture_test_set(spark, sf_dir)
+    capped = S.sample_cap(test, SAMPLE_CAP, S.RATING_KEY, SEED)
+    return capped.drop("user_id", "movie_id", "ts")
+
+
+_PERM_KEY_B = "concat_ws('|', user_id, movie_id, ts, '42', 'bucket')"
+_PERM_KEY_V = "concat_ws('|', user_id, movie_id, ts, '42', 'age_idx')"
+_ALL_COLS = f"user_id, movie_id, ts, {_REPORT_COLS}"
+
+
+@register("permute_column", sql_with(["ratings", "users", "movies"], [
+    _FEATURES_CTE, _SPLIT_CTE,
+    ("test", "select * from labelled where split = 'test'"),
+    ("base", f"""select *,
+        cast('0x' || substr(md5({_PERM_KEY_B}), 1, 8) as bigint)
+          % greatest(1, cast(ceil((select count(*) from test) / {float(ROWS_PER_BUCKET)}) as bigint)) as _b,
+        md5({_KEY}) as _hr, md5({_PERM_KEY_V}) as _hv from test"""),
+    ("r", f"""select user_id, movie_id, ts, gender_idx, occ_idx, zip_idx, genres, rating, _b,
+        row_number() over (partition by _b order by _hr, {_ALL_COLS}) as _pos from base"""),
+    ("v", f"""select _b, age_idx,
+        row_number() over (partition by _b order by _hv, {_ALL_COLS}) as _pos from base"""),
+], body="select r.gender_idx, v.age_idx, r.occ_idx, r.zip_idx, r.genres, r.rating "
+        "from r join v on r._b = v._b and r._pos = v._pos"))
+def q_permute_column(spark, sf_dir):
+    test = fixture_test_set(spark, sf_dir)
+    cols = test.columns
+    permuted = S.permute_column(test, "age_idx", S.RATING_KEY, SEED, ROWS_PER_BUCKET, order_cols=cols)
+    return permuted.drop("user_id", "movie_id", "ts")

@@ -88,7 +88,7 @@ def zip_idx_sql(expr: str) -> str:
 
 def genre_parts_sql(expr: str) -> str:
     """Stripped names of a pipe-joined genre string (null -> empty list)."""
-    return f"list_transform(string_split(coalesce({expr}, ''), '|'), x -> trim(x))"
+    return f"list_transform(string_split(coalesce({expr}, ''), '|'), lambda x: trim(x))"
 
 
 def genre_flags_sql(parts: str) -> list[str]:
