@@ -1 +1,112 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for scoring, metrics, training and importance."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import encoders as E
+from ..model.score import Model, score_arrow, score_sql
+from ..model.spec import ModelSpec, fixed_params
+from ..model.train import FitConfig, fit, learning_curve
+from ..operators import evaluate as EV
+from ..operators import split as S
+from .q_features import _FEATURES_CTE, _REPORT_COLS, _SPLIT_CTE, fixture_features
+from .registry import register, sql_with
+
+# Fixed-parameter networks for exact cross-engine checks: small enough to write
+# as SQL, values exact in doubles (see spec.fixed_params).
+FIXED_EMBED, FIXED_HIDDEN = 4, [4]
+
+
+def fixed_model(model_type: str) -> Model:
+    spec = ModelSpec(model_type, embed_dim=FIXED_EMBED, hidden_dims=FIXED_HIDDEN, dropout=0.0)
+    return Model(spec, fixed_params(spec))
+
+
+_FLAGS = ", ".join(f"cast(substr(genres, {i + 1}, 1) as double) as g{i}" for i in range(18))
+
+
+def _fixed_score_oracle(model_type: str) -> str:
+    inner = f"select {_REPORT_COLS}, {_FLAGS} from feat"
+    return sql_with(["ratings", "users", "movies"], [_FEATURES_CTE],
+                    body=f"select {_REPORT_COLS}, raw, score from ({score_sql(fixed_model(model_type), inner)}) q")
+
+
+def _fixed_score_query(model_type: str):
+    def q(spark, sf_dir):
+        feats = fixture_features(spark, sf_dir, keep_keys=False)
+        scored = score_arrow(feats, fixed_model(model_type), "score", "raw")
+        return scored.select("gender_idx", "age_idx", "occ_idx", "zip_idx",
+                             E.multihot_string("genres").alias("genres"),
+                             F.col("rating").cast("double").alias("rating"), "raw", "score")
+    return q
+
+
+register("score_ncf_fixed", _fixed_score_oracle("ncf"))(_fixed_score_query("ncf"))
+register("score_neumf_fixed", _fixed_score_oracle("neumf"))(_fixed_score_query("neumf"))
+
+
+@register("regression_metrics", sql_with(["ratings", "users", "movies"], [
+    _FEATURES_CTE, _SPLIT_CTE,
+    ("means", "select age_idx, avg(rating) as prediction from labelled where split = 'train' group by age_idx"),
+    ("pred", "select t.rating, m.prediction from labelled t join means m on t.age_idx = m.age_idx "
+             "where t.split = 'test'"),
+], body="""
+select round(avg((prediction - rating) * (prediction - rating)), 6) as mse,
+  round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as rmse,
+  round(avg(abs(prediction - rating)), 6) as mae, cast(count(*) as bigint) as n from pred"""))
+def q_regression_metrics(spark, sf_dir):
+    """Metrics of a group-mean predictor (train mean rating per age group) on the test split."""
+    train, test = S.hash_split(fixture_features(spark, sf_dir))
+    means = train.groupBy("age_idx").agg(F.avg(F.col("rating").cast("double")).alias("prediction"))
+    # means has at most 7 rows (one per age group): proven-small broadcast side
+    pred = test.join(F.broadcast(means), "age_idx")
+    return EV.rounded(EV.regression_metrics(pred))
+
+
+# ---------------------------------------------------------------------------
+# Trained models (no SQL oracle: checked by row count here, by value in pytest)
+# ---------------------------------------------------------------------------
+
+_TRAINED: dict = {}
+
+
+def trained_model(spark, sf_dir, model_type: str, cfg: FitConfig | None = None):
+    """Fit once per (data, network) in this process; later queries reuse it."""
+    key = (sf_dir, model_type)
+    if key not in _TRAINED:
+        train, test = S.hash_split(fixture_features(spark, sf_dir))
+        _TRAINED[key] = (fit(train, ModelSpec(model_type), cfg or FitConfig()), test)
+    return _TRAINED[key]
+
+
+def _fit_query(model_type: str):
+    def q(spark, sf_dir):
+        model, test = trained_model(spark, sf_dir, model_type)
+        m = EV.evaluate(test, model)
+        return m.select(F.lit(model_type).alias("model_type"), F.lit(model.meta["epoch"]).alias("best_epoch"),
+                        F.lit(model.meta["train_loss"]).alias("train_mse"), "mse", "rmse", "mae", "n")
+    return q
+
+
+register("fit_ncf")(_fit_query("ncf"))
+register("fit_neumf")(_fit_query("neumf"))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    model, test = trained_model(spark, sf_dir, "ncf")
+    rmse = EV.evaluate(test, model).first()["rmse"]
+    return learning_curve(spark, model, float(rmse))
+
+
+@register("evaluation_report")
+def q_evaluation_report(spark, sf_dir):
+    model, test = trained_model(spark, sf_dir, "ncf")
+    return EV.evaluation_report(test, model)
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    model, test = trained_model(spark, sf_dir, "ncf")
+    return EV.permutation_importance(test, model)
