@@ -152,7 +152,7 @@ def ticket_fields(rank, genres, score) -> list[Column]:
     star width in percent (score/5*100 within 0..100) and a 1-decimal score."""
     return [
         F.lpad(_col(rank).cast("string"), 2, "0").alias("rank_label"),
-        F.array_join(F.transform(split_pipe(_col(genres)), F.trim), " · ").alias("genre_label"),
+        F.array_join(F.transform(split_pipe(_col(genres)), lambda x: F.trim(x)), " · ").alias("genre_label"),
         F.least(F.greatest(_col(score) / 5.0 * 100.0, F.lit(0.0)), F.lit(100.0)).alias("star_pct"),
         F.format_number(_col(score), 1).alias("score_label"),
     ]
