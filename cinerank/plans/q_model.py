@@ -112,11 +112,11 @@ def q_permutation_importance(spark, sf_dir):
     return EV.permutation_importance(test, model)
 
 
-@register("run_pipeline")
-def q_run_pipeline(spark, sf_dir):
+@register("training_run")
+def q_training_run(spark, sf_dir):
     """Load, encode, split, fit (ncf, defaults), store model and results JSON in
     the shared scratch folder; returns the test metrics."""
     from ..session import scratch_path
     from ..sources.fixtures import load_fixture
-    from .pipeline import run_pipeline
-    return run_pipeline(spark, *load_fixture(spark, sf_dir), out_dir=scratch_path(spark, "pipeline"))
+    from .training_run import run_training
+    return run_training(spark, *load_fixture(spark, sf_dir), out_dir=scratch_path(spark, "training-run"))

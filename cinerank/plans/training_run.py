@@ -1,7 +1,7 @@
 """End-to-end training run: load, encode, split, fit, evaluate, store.
 
-    python -m cinerank.plans.pipeline --data_dir DIR          # ::-delimited files
-    python -m cinerank.plans.pipeline --sf_dir /root/testdata/sf0.01   # derived fixture
+    python -m cinerank.plans.training_run --data_dir DIR          # ::-delimited files
+    python -m cinerank.plans.training_run --sf_dir /root/testdata/sf0.01   # derived fixture
 
 Rows stay in executors throughout; only parameters (size of the network) and
 metrics reach the driver. Output: ``<out_dir>/model`` (parameter table +
@@ -27,7 +27,7 @@ from ..sources.fixtures import load_fixture
 from ..sources.model_store import save_model
 
 
-def run_pipeline(spark: SparkSession, ratings: DataFrame, users: DataFrame, movies: DataFrame,
+def run_training(spark: SparkSession, ratings: DataFrame, users: DataFrame, movies: DataFrame,
                  out_dir: str, spec: ModelSpec | None = None, cfg: FitConfig | None = None,
                  train_ratio: float = 0.8) -> DataFrame:
     """Returns the one-row evaluation of the best epoch's model on the test split."""
@@ -66,14 +66,14 @@ def main(argv=None):
     p.add_argument("--weight_decay", type=float, default=1e-5)
     p.add_argument("--num_shards", type=int, default=4)
     args = p.parse_args(argv)
-    spark = SparkSession.builder.appName("cinerank-pipeline").getOrCreate()
+    spark = SparkSession.builder.appName("cinerank-training-run").getOrCreate()
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     tables = dat.load_tables(spark, args.data_dir) if args.data_dir else load_fixture(spark, args.sf_dir)
     spec = ModelSpec(args.model_type, args.embed_dim, args.hidden_dims, args.dropout)
     cfg = FitConfig(num_epochs=args.num_epochs, batch_size=args.batch_size, lr=args.lr,
                     weight_decay=args.weight_decay, num_shards=args.num_shards)
-    run_pipeline(spark, *tables, out_dir=args.out_dir, spec=spec, cfg=cfg).show(truncate=False)
+    run_training(spark, *tables, out_dir=args.out_dir, spec=spec, cfg=cfg).show(truncate=False)
 
 
 if __name__ == "__main__":
