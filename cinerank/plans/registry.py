@@ -31,9 +31,20 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _utc(fn: QueryFn) -> QueryFn:
+    """Pin the session time zone to UTC: epoch seconds become dates and months in
+    UTC, as in the oracle, whatever zone the caller's session has."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
-    return dict(_QUERIES)
+    return {name: _utc(fn) for name, fn in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
