@@ -64,6 +64,12 @@ def genre_set(genres) -> Column:
     return F.coalesce(F.array_distinct(parts), F.array().cast("array<string>"))
 
 
+def genre_overlap(genres, wanted) -> Column:
+    """True when the movie's genre set shares a name with ``wanted`` (array<string>).
+    Row-wise form; the bulk recommender uses the equi-join on genre masks instead."""
+    return F.arrays_overlap(genre_set(genres), _col(wanted))
+
+
 def genres_multihot(genres) -> Column:
     """array<float>[18]: 1.0 where the stripped name is one of the 18 genres.
 

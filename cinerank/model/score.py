@@ -241,3 +241,41 @@ def score_expr_distinct(df: DataFrame, model: Model, out_col: str = "prediction"
     keys = df.select(*KEY_COLS).distinct()
     scored = score_expr(keys, model, out_col)
     return df.join(scored, KEY_COLS, "inner")
+
+
+def _tower_job(df: DataFrame, model: Model, kind: str, prefix: str, out_col: str) -> DataFrame:
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast(model.params)
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        P = bc.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            if kind == "user":
+                vec, _ = K._user_fwd(P, prefix, pdf["gender_idx"].to_numpy(np.int64),
+                                     pdf["age_idx"].to_numpy(np.int64), pdf["occ_idx"].to_numpy(np.int64),
+                                     pdf["zip_idx"].to_numpy(np.int64))
+            else:
+                vec = K._movie_fwd(P, prefix, K.multihot(pdf["genre_mask"].to_numpy()))
+            pdf = pdf.copy()
+            pdf[out_col] = list(vec)
+            yield pdf
+
+    return df.mapInPandas(run, out_schema)
+
+
+def user_vectors(profiles: DataFrame, model: Model, tower: str | None = None) -> DataFrame:
+    """User-tower output for each distinct (gender_idx, age_idx, occ_idx, zip_idx);
+    at most 2 x 7 x 21 x 11 rows whatever the input size (partial aggregate first)."""
+    tower = tower or ("user" if model.spec.model_type == "ncf" else "mlp_user")
+    keys = profiles.select("gender_idx", "age_idx", "occ_idx", "zip_idx").distinct()
+    return _tower_job(keys, model, "user", tower, "user_vec")
+
+
+def movie_vectors(genre_sets: DataFrame, model: Model, tower: str | None = None) -> DataFrame:
+    """Movie-tower output for each distinct genre mask."""
+    tower = tower or ("movie" if model.spec.model_type == "ncf" else "mlp_movie")
+    keys = genre_sets.select("genre_mask").distinct()
+    return _tower_job(keys, model, "movie", tower, "movie_vec")

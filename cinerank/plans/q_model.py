@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import encoders as E
-from ..model.score import Model, score_arrow, score_sql
+from ..model.score import Model, forward_sql_stages, score_arrow, score_sql
 from ..model.spec import ModelSpec, fixed_params
 from ..model.train import FitConfig, fit, learning_curve
 from ..operators import evaluate as EV
 from ..operators import split as S
 from .q_features import _FEATURES_CTE, _REPORT_COLS, _SPLIT_CTE, fixture_features
-from .registry import register, sql_with
+from .registry import (age_idx_sql, gender_idx_sql, genre_flags_sql, genre_mask_sql, genre_parts_sql,
+                       register, sql_with, zip_idx_sql)
 
 # Fixed-parameter networks for exact cross-engine checks: small enough to write
 # as SQL, values exact in doubles (see spec.fixed_params).
@@ -120,3 +121,37 @@ def q_training_run(spark, sf_dir):
     from ..sources.fixtures import load_fixture
     from .training_run import run_training
     return run_training(spark, *load_fixture(spark, sf_dir), out_dir=scratch_path(spark, "training-run"))
+
+
+def _tower_oracle(kind: str) -> str:
+    stage0 = dict(forward_sql_stages(fixed_model("ncf"))[0])
+    if kind == "user":
+        cols = ", ".join(f"{stage0[f'u{j}']} as u{j}" for j in range(FIXED_EMBED))
+        return sql_with(["users"], body=f"""select gender_idx, age_idx, occ_idx, zip_idx, {cols} from (
+  select distinct {gender_idx_sql('gender')} as gender_idx, {age_idx_sql('age')} as age_idx,
+    occupation as occ_idx, {zip_idx_sql('zip')} as zip_idx from users where occupation between 0 and 20) p""")
+    flags = ", ".join(f"cast({f} as double) as g{i}" for i, f in enumerate(genre_flags_sql(genre_parts_sql("genres"))))
+    cols = ", ".join(f"{stage0[f'm{j}']} as m{j}" for j in range(FIXED_EMBED))
+    mask = genre_mask_sql(genre_parts_sql("genres"))
+    return sql_with(["movies"], body=f"""select genre_mask, {cols} from (
+  select distinct {mask} as genre_mask, {flags} from movies) s""")
+
+
+@register("user_vectors_fixed", _tower_oracle("user"))
+def q_user_vectors_fixed(spark, sf_dir):
+    from ..model.score import user_vectors
+    from ..operators.features import encode_users
+    from ..sources.fixtures import load_fixture
+    users = encode_users(load_fixture(spark, sf_dir).users).filter(F.col("occ_idx").between(0, 20))
+    v = user_vectors(users, fixed_model("ncf"))
+    return v.select("gender_idx", "age_idx", "occ_idx", "zip_idx",
+                    *[F.col("user_vec")[j].alias(f"u{j}") for j in range(FIXED_EMBED)])
+
+
+@register("movie_vectors_fixed", _tower_oracle("movie"))
+def q_movie_vectors_fixed(spark, sf_dir):
+    from ..model.score import movie_vectors
+    from ..operators.features import encode_movies
+    from ..sources.fixtures import load_fixture
+    v = movie_vectors(encode_movies(load_fixture(spark, sf_dir).movies), fixed_model("ncf"))
+    return v.select("genre_mask", *[F.col("movie_vec")[j].alias(f"m{j}") for j in range(FIXED_EMBED)])

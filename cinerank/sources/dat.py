@@ -36,6 +36,15 @@ def read_dat(spark: SparkSession, path: str, struct: T.StructType, required=())
     return df.dropna(subset=list(required)) if required else df
 
 
+def parse_dat_lines(lines: DataFrame, struct: T.StructType, required=(), col: str = "value") -> DataFrame:
+    """Typed columns from in-memory '::' lines (e.g. a text stream): split, pick
+    field i with ``get`` (null past the end) and ``try_cast`` (null when it does
+    not parse), so bad rows become nulls instead of failing under ANSI mode."""
+    parts = F.split(F.col(col), "::")
+    df = lines.select(*[F.get(parts, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(struct.fields)])
+    return df.dropna(subset=list(required)) if required else df
+
+
 class Tables(NamedTuple):
     ratings: DataFrame
     users: DataFrame

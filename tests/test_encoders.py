@@ -76,3 +76,15 @@ def test_write_then_read_dat_roundtrip(spark):
     dat.write_dat(df, d)
     back = dat.read_dat(spark, d, schema.USERS_SCHEMA, ["user_id"]).orderBy("user_id").collect()
     assert [tuple(r) for r in back] == [(1, "M", 25, 4, "12345"), (2, "F", 56, 20, None)]
+
+
+def test_parse_dat_lines_bad_and_short(spark):
+    lines = spark.createDataFrame([("1::5::4::978300760",), ("x::5::4::1",), ("2::7",), ("3::8::five::9",)], "value string")
+    rows = dat.parse_dat_lines(lines, schema.RATINGS_SCHEMA, ["user_id", "movie_id", "rating"]).collect()
+    assert [(r.user_id, r.movie_id, r.rating, r.ts) for r in rows] == [(1, 5, 4.0, 978300760)]
+
+
+def test_genre_overlap(spark):
+    df = spark.createDataFrame([(" Drama |Comedy", ["Drama"]), ("Action", ["Drama"]), (None, ["Drama"])],
+                               "g string, w array<string>")
+    assert [r[0] for r in df.select(E.genre_overlap("g", "w")).collect()] == [True, False, False]
