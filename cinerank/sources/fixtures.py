@@ -81,7 +81,7 @@ select c_custkey as request_id,
        else concat({g(0)},'|',{g(5)},'|',{g(11)})
   end as genres,
   case when c_custkey%76=72 then 0 else cast(1+c_custkey%50 as int) end as top_n
-from {t('customer')} where c_custkey<200 and c_custkey%4=0"""
+from {t('customer')}"""
 
 
 def view_sql(name: str, dialect: str, sf_dir: str | None = None) -> str:
