@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .lang_id import language_id
+from .mixing import mix
 from .simhash_dedup import simhash_dedup
 
 
@@ -25,8 +26,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op8_source_mixing)
 }
 
 ORACLES: dict[str, str] = {
