@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -27,8 +27,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_locator(docs: DataFrame, file: str = "_file", row: str = "_row") -> DataFrame:
-    """Add where each row lies: a hash of its Parquet file's path and its row index there.
+def with_locator(docs: DataFrame, *columns: Column | str, file: str = "_file", row: str = "_row") -> DataFrame:
+    """The ``columns`` and where each row lies: a hash of its Parquet file's path and its row index there.
 
     The pair names one row and stays the same however often the file is read. A
     DataFrame that isn't read straight from Parquet (tests, in-memory rows) gets
@@ -36,11 +36,9 @@ def with_locator(docs: DataFrame, file: str = "_file", row: str = "_row") -> Dat
     write other inputs with ``written`` first.
     """
     try:
-        return docs.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(file),
-                           F.col("_metadata.row_index").alias(row))
+        return docs.select(*columns, F.xxhash64(F.col("_metadata.file_path")).alias(file), F.col("_metadata.row_index").alias(row))
     except AnalysisException:
-        return docs.select("*", F.lit(0).cast("long").alias(file),
-                           F.monotonically_increasing_id().alias(row))
+        return docs.select(*columns, F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(row))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

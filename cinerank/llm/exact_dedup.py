@@ -93,9 +93,7 @@ def exact_dedup(docs: DataFrame, state: DedupState | None = None, digest: Callab
     """
     spark = docs.sparkSession
     state = state or DedupState(spark)
-    located = with_locator(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                           if "_metadata" not in docs.columns else docs)
-    located = located.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_file", "_row")
+    located = with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     norm = normalised(F.col("text"))
     log = located.select(digest(norm).alias("digest"), F.length("text").cast("long").alias("n_points"),
                          F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")

@@ -83,10 +83,9 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     empty table gives empty results. Equal input gives an equal mix.
     """
     spark = docs.sparkSession
-    located = with_locator(docs)
-    rows = written(located.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h"), "_file", "_row"), "mix-rows")
+    rows = written(with_locator(
+        docs, F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h")), "mix-rows")
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     n_blocks = F.ceil(F.col("source_size") / block)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

@@ -11,6 +11,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .lang_id import language_id
 from .mixing import mix
+from .packing import pack_documents
 from .simhash_dedup import simhash_dedup
 
 
@@ -26,12 +27,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op8_source_mixing)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing)
 }
 
 ORACLES: dict[str, str] = {

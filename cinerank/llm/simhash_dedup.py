@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, written
+from .common import components, forest, with_locator, written
 
 QUARTERS, SIDE = 4, 17
 LANES = np.uint64(0x0101010101010101)
@@ -142,20 +142,24 @@ def _all_within(digits: list[Column], step: tuple[int, ...]) -> Column:
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2, block: int = 4096,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id_col, fp long, fingerprint string, component_id long).
-
-    component_id is the smallest id reachable by links of ``radius`` bits or fewer.
-    Null or empty texts have fingerprint zero and are linked like any other. Rows that
-    repeat (same id or same text) come back as often as they came; a null id never is
-    the smallest one, and a component of null ids only has component_id null. Other
-    columns of ``docs`` are ignored. An empty table gives an empty result.
+    """One row per input row: (id_col, fp long, fingerprint string, component_id long, kept, _file, _row).
+
+    component_id is the smallest id reachable by links of ``radius`` bits or fewer, and kept marks the
+    row that stays of each component: the one with that id (the first by locator, if several have it).
+    Null or empty texts have fingerprint zero and are linked like any other. Rows that repeat (same
+    id or same text) come back as often as they came; a null id never is the smallest one, and a
+    component of null ids only has component_id null. Other columns of ``docs`` are ignored. An empty
+    table gives an empty result.
     """
-    rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col), shingle).alias("fp")),
+    rows = written(with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col), shingle).alias("fp")),
                    "simhash-rows")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row"))
+    distinct = written(rows.groupBy("fp").agg(first.alias("least")), "simhash-distinct")
     found = written(components(fingerprint_links(distinct, radius, block), "simhash"), "simhash-components")
     merged = found.join(distinct, found["node"] == distinct["fp"]).groupBy("root").agg(F.min("least").alias("_joint"))
     joint = found.join(merged, "root").select(F.col("node").alias("fp"), "_joint")
-    labels = distinct.join(joint, "fp", "left").select("fp", F.coalesce("_joint", "least").alias("component_id"))
+    labels = distinct.join(joint, "fp", "left").select("fp", F.coalesce("_joint", "least").alias("_least"))
+    kept = (F.col("_file") == F.col("_least._file")) & (F.col("_row") == F.col("_least._row"))
     return rows.join(labels, "fp").select(
-        F.col("doc_id").alias(id_col), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        F.col("doc_id").alias(id_col), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("_least.doc_id").alias("component_id"), kept.alias("kept"), "_file", "_row")
