@@ -13,6 +13,7 @@ from .lang_id import language_id
 from .mixing import mix
 from .packing import pack_documents
 from .simhash_dedup import simhash_dedup
+from .substring_dedup import substring_dedup
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +38,12 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing, op10_substring_dedup)
 }
 
 ORACLES: dict[str, str] = {
@@ -51,4 +56,16 @@ select doc_id,
   doc_id = first_value(doc_id) over (partition by norm order by points desc, doc_id) as kept,
   sha256(norm) as text_sha256
 from n""",
+    "op10_substring_dedup": r"""
+with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+p as (select doc_id, unnest(range(1, len(ws) - 33)) as p, ws from w),
+s as (select doc_id, p, md5(array_to_string(ws[p:p + 34], ' ')) as k from p),
+r as (select doc_id, p from s where k in (select k from s group by k having count(*) > 1)),
+c as (select distinct doc_id, p + i as i from r, (select unnest(range(0, 35)) as i)),
+words as (select doc_id, unnest(range(1, len(ws) + 1)) as i, unnest(ws) as word from w),
+kept as (select words.doc_id, count(*) as n, string_agg(word, ' ' order by words.i) as t
+  from words anti join c on words.doc_id = c.doc_id and words.i = c.i group by words.doc_id)
+select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(t, '')) as kept_sha256
+from w left join kept on w.doc_id = kept.doc_id""",
 }
