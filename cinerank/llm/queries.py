@@ -6,14 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_format import prefix_tree, read_back
 from .common import table
+from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .lang_id import language_id
 from .mixing import mix
 from .packing import pack_documents
 from .simhash_dedup import simhash_dedup
 from .substring_dedup import substring_dedup
+from .url_filter import url_filter
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +28,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes: the labelled rows, taken by number (page_id = doc_id); bad is low quality or toxic."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (
+        (F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return url_filter(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -38,12 +53,20 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return read_back(*prefix_tree(turns, tokenizer or public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), window=35)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing, op10_substring_dedup)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op3_embedding_dedup, op4_url_filter, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing, op9_chat_format, op10_substring_dedup)
 }
 
 ORACLES: dict[str, str] = {
@@ -56,6 +79,51 @@ select doc_id,
   doc_id = first_value(doc_id) over (partition by norm order by points desc, doc_id) as kept,
   sha256(norm) as text_sha256
 from n""",
+    "op4_url_filter": r"""
+with parts as (select page_id,
+    coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') as host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path from pages),
+ruled as (select *,
+    case when (host = 'example.com' or host like '%.example.com') and path like '/de/%' then 'example.com/de/'
+      when (host = 'example.net' or host like '%.example.net') and path like '/en/%' then 'example.net/en/'
+      when (host = 'org' or host like '%.org') and path like '/fr/%' then 'org/fr/'
+      when (host = 'net' or host like '%.net') and path like '/%' then 'net/' end as rule from parts),
+known as (select doc_id as page_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by doc_id),
+hosts as (select host, count(k.bad) as n, coalesce(sum(k.bad), 0) as bad, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
+    string_split(host, '.')[-1] as suffix from ruled left join known k using (page_id) group by host),
+whole as (select (sum(bad) + 0.5) / (sum(n) + 1.0) as up from hosts),
+l1 as (select suffix, sum(n) as n, sum(bad) as bad, any_value(up) as up from hosts, whole group by suffix),
+s1 as (select sum(n * (bad / n - up) ** 2) / sum(n * up * (1 - up)) as spread, count(*) as g, sum(n) as t from l1 where n > 0),
+r1 as (select case when t > g then (spread * t - g) / (t - g) else 0 end as rho from s1),
+m1 as (select least(1e6, (1 - coalesce(rho, 0)) / greatest(coalesce(rho, 0), 1e-9)) as m from r1),
+p1 as (select suffix, (bad + m * up) / (n + m) as mean from l1, m1),
+l2 as (select domain, sum(n) as n, sum(bad) as bad, any_value(mean) as up from hosts join p1 using (suffix) group by domain),
+s2 as (select sum(n * (bad / n - up) ** 2) / sum(n * up * (1 - up)) as spread, count(*) as g, sum(n) as t from l2 where n > 0),
+r2 as (select case when t > g then (spread * t - g) / (t - g) else 0 end as rho from s2),
+m2 as (select least(1e6, (1 - coalesce(rho, 0)) / greatest(coalesce(rho, 0), 1e-9)) as m from r2),
+p2 as (select domain, (bad + m * up) / (n + m) as mean from l2, m2),
+l3 as (select host, n, bad, mean as up from hosts join p2 using (domain)),
+s3 as (select sum(n * (bad / n - up) ** 2) / sum(n * up * (1 - up)) as spread, count(*) as g, sum(n) as t from l3 where n > 0),
+r3 as (select case when t > g then (spread * t - g) / (t - g) else 0 end as rho from s3),
+m3 as (select least(1e6, (1 - coalesce(rho, 0)) / greatest(coalesce(rho, 0), 1e-9)) as m from r3),
+ab as (select host, bad + m * up as a, n - bad + m * (1 - up) as b from l3, m3),
+verdicts as (select host, a / (a + b) - 2.0 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) > 0.5 as blocked from ab)
+select page_id, host, path, rule,
+  case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+    when blocked then 'block' else 'allow' end as verdict
+from ruled join verdicts using (host)""",
+    "op9_chat_format": r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e as (select *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text, '&', '&amp;'),
+  '<|im_start|>', '&lt;|im_start|>'), '<|im_end|>', '&lt;|im_end|>'), '<|endoftext|>', '&lt;|endoftext|>'), '<s>', '&lt;s>'),
+  '</s>', '&lt;/s>'), '[INST]', '&lsqb;INST]'), '[/INST]', '&lsqb;/INST]'), '<<SYS>>', '&lt;<SYS>>'), '<</SYS>>', '&lt;</SYS>>') as escaped from t)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length('<|im_start|>') + length(role) + 1 + length(escaped) + length('<|im_end|>') + 1) as bigint) as formatted_chars
+from e group by conv_id""",
     "op10_substring_dedup": r"""
 with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
 p as (select doc_id, unnest(range(1, len(ws) - 33)) as p, ws from w),
