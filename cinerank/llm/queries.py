@@ -17,6 +17,7 @@ from .mixing import mix
 from .packing import pack_documents
 from .simhash_dedup import simhash_dedup
 from .substring_dedup import substring_dedup
+from .toxicity import toxicity
 from .url_filter import url_filter
 
 
@@ -49,6 +50,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -66,7 +71,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op3_embedding_dedup, op4_url_filter, op5_exact_dedup, op6_best_fit_packing, op8_source_mixing, op9_chat_format, op10_substring_dedup)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op3_embedding_dedup, op4_url_filter, op5_exact_dedup, op6_best_fit_packing, op7_toxicity, op8_source_mixing, op9_chat_format, op10_substring_dedup)
 }
 
 ORACLES: dict[str, str] = {
