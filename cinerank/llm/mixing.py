@@ -100,7 +100,7 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     sums = placed.groupBy("sid", "_b").agg(F.sum("size").alias("_s"))
     sums = sums.select("sid", "_b", (F.sum("_s").over(Window.partitionBy("sid").orderBy("_b")) - F.col("_s")).alias("_before"))
     inside = Window.partitionBy("sid", "_b").orderBy("_h", "size", "_file", "_row").rowsBetween(Window.unboundedPreceding, 0)
-    placed = placed.join(sums, ["sid", "_b"]).withColumn("_start", F.col("_before") + F.sum("size").over(inside) - F.col("size"))
+    placed = placed.hint("merge").join(sums, ["sid", "_b"]).withColumn("_start", F.col("_before") + F.sum("size").over(inside) - F.col("size"))
     outer, inner = _numbers(F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.col("size") - 1) / block))
     parts = placed.withColumn("_c", outer).withColumn("block", inner)
     begin = F.greatest(F.col("_start"), F.col("block") * block)
@@ -115,7 +115,8 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     sums = blocks.groupBy("sid", "_b").agg(F.count("*").alias("_n"))
     sums = sums.select("sid", "_b", (F.sum("_n").over(Window.partitionBy("sid").orderBy("_b")) - F.col("_n")).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("sid", "_b").orderBy("_h", "block")) - 1
-    blocks = blocks.join(sums, ["sid", "_b"]).select("sid", "block", (F.col("_before") + rank).alias("index"))
+    # Sizes of exploded tables are unknown when the plan is made: ask for merge joins, never a broadcast.
+    blocks = blocks.hint("merge").join(sums, ["sid", "_b"]).select("sid", "block", (F.col("_before") + rank).alias("index"))
 
     # Multinomial counts of each shard, found through cells of the unit interval.
     share = sources.where("quota > 0").select("sid", "quota", F.sum("quota").over(Window.orderBy("sid")).alias("_hi"))
@@ -139,11 +140,11 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     short = short.withColumn("_hi", F.sum(F.col("quota") - F.col("_had")).over(Window.orderBy("sid")))
     short = short.withColumn("_lo", F.col("_hi") - F.col("quota") + F.col("_had"))
     short = short.select("sid", "_had", "_lo", F.explode(F.sequence("_lo", F.col("_hi") - 1)).alias("_r"))
-    filled = over.join(short, "_r").select("shard", "sid", (F.col("_had") + F.col("_r") - F.col("_lo")).alias("k"))
+    filled = over.hint("merge").join(short, "_r").select("shard", "sid", (F.col("_had") + F.col("_r") - F.col("_lo")).alias("k"))
     taken = kept.unionByName(filled).join(sources.select("sid", "source", "n_blocks"), "sid").select(
         "shard", "sid", "source", F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"), (F.col("k") % F.col("n_blocks")).alias("index"))
 
-    placements = written(taken.join(blocks, ["sid", "index"]).join(parts, ["sid", "block"]).select(
+    placements = written(taken.hint("merge").join(blocks, ["sid", "index"]).hint("merge").join(parts.hint("merge"), ["sid", "block"]).select(
         "shard", "source", "epoch", "block", "doc_id", "_file", "_row", "from", "length"), "mix-placements")
     total = placements.groupBy("_file", "_row").agg(F.sum("length").alias("taken"))
     documents = rows.join(total, ["_file", "_row"], "left").select(
