@@ -59,7 +59,7 @@ def family(text: str | None, run: int = 5) -> int:
     return int(h.min().view(np.int64)) if len(h) else 0
 
 
-def found_features(labelled: DataFrame, z: float = 2.5, most: int = 20_000) -> DataFrame:
+def found_features(labelled: DataFrame, z: float = 3.0, most: int = 20_000) -> DataFrame:
     """(feature, toxic, clean): in how many families of toxic and clean documents each feature occurs, for
     features that enough toxic ones have. ``labelled`` has text and toxic (0/1); all its rows are counted."""
     least = int(np.floor(z * z)) + 1  # with fewer witnesses no bound reaches one half
@@ -108,17 +108,17 @@ class LabelModel:
         out = []
         for y, prior in ((0, 1 - self.prior), (1, self.prior)):
             p = self.rate[y, above, np.arange(votes.shape[1])]
-            score = np.log(prior) + np.log(np.where(votes == 1, p, 1 - p)).sum(axis=1)
+            score = np.log(prior) + np.where(votes == 1, np.log(p), 0.0).sum(axis=1)  # an abstention says nothing
             out.append(score + np.where(gold >= 0, np.log(np.where(gold == y, trust, 1 - trust)), 0.0))
         return 1 / (1 + np.exp(np.clip(out[0] - out[1], -50, 50)))
 
 
 def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds: int = 15, smooth: float = 0.5) -> LabelModel:
-    """Expectation-maximisation; starts from the labels where known, else from whether anything fired."""
+    """Expectation-maximisation; starts from the labels where known, else from whether anything fired (last column: nothing did)."""
     n, k = votes.shape
     known = gold >= 0
     share = float((gold[known] * weight[known]).sum() + 1) / float(weight[known].sum() + 10)
-    q = np.where(known, gold * 0.98 + 0.01, np.where(votes.any(axis=1), 0.8, share * 0.2))
+    q = np.where(known, gold * 0.98 + 0.01, np.where(votes[:, -1] == 0, 0.8, share * 0.2))
     parent = np.full(k, -1)
     v = votes.astype(np.float64)
     for turn in range(rounds):
@@ -163,7 +163,7 @@ def _tree(both: np.ndarray, ones: np.ndarray, total: np.ndarray, smooth: float)
 
 
 def fit_classifier(rows: np.ndarray, cols: np.ndarray, n: int, width: int, q: np.ndarray, weight: np.ndarray,
-                   rounds: int = 400, rate: float = 0.1, l2: float = 2.0) -> np.ndarray:
+                   rounds: int = 1500, rate: float = 0.1, l2: float = 0.002) -> np.ndarray:
     """Logistic regression on 0/1 features (row, column pairs), soft labels q; weights and, last, the bias. Adam."""
     w, m, s = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     share = np.clip((q * weight).sum() / max(weight.sum(), 1e-9), 1e-4, 0.5)
@@ -171,7 +171,7 @@ def fit_classifier(rows: np.ndarray, cols: np.ndarray, n: int, width: int, q: np
     for t in range(1, rounds + 1):
         z = np.bincount(rows, weights=w[cols], minlength=n) + w[-1]
         g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - q) * weight
-        grad = np.append(np.bincount(cols, weights=g[rows], minlength=width) + l2 * 0.05 * w[:-1], g.sum())
+        grad = np.append(np.bincount(cols, weights=g[rows], minlength=width) + l2 * w[:-1], g.sum())
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-8)
     return w
@@ -199,7 +199,7 @@ class ToxicityModel:
         return run(text)
 
 
-def fit(train: DataFrame, z: float = 2.5, voters: int = 128, fit_rows: int = 100_000) -> ToxicityModel:
+def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100_000) -> ToxicityModel:
     """From (text, toxic 0/1 or null): all rows of ``train`` may be learned from."""
     counts = found_features(train.where("toxic is not null"), z).toPandas()
     k, n = counts["toxic"].to_numpy(float), (counts["toxic"] + counts["clean"]).to_numpy(float)
@@ -225,11 +225,12 @@ def fit(train: DataFrame, z: float = 2.5, voters: int = 128, fit_rows: int = 100
     gold, weight = np.array([-1 if x["toxic"] is None else x["toxic"] for x in rows]), np.array([x["w"] for x in rows], float)
     # Voters: the lexicon, the patterns and the best found features.
     width = min(len(names), len(LEXICON) + len(PATTERNS) + voters)
-    votes = np.zeros((len(rows), width), np.int8)
+    votes = np.zeros((len(rows), width + 1), np.int8)
     votes[r[c < width], c[c < width]] = 1
+    votes[:, width] = ~votes.any(axis=1)  # one more voter speaks where all others abstain
     label_model = fit_label_model(votes, gold, weight)
     q = label_model.posterior(votes, gold)
-    return ToxicityModel(names, fit_classifier(r, c, len(rows), len(names), q, weight), names[:width], label_model)
+    return ToxicityModel(names, fit_classifier(r, c, len(rows), len(names), q, weight), [*names[:width], "(silence)"], label_model)
 
 
 def held_out(doc_id: Column) -> Column:
