@@ -27,18 +27,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_locator(docs: DataFrame, *columns: Column | str, file: str = "_file", row: str = "_row") -> DataFrame:
-    """The ``columns`` and where each row lies: a hash of its Parquet file's path and its row index there.
-
-    The pair names one row and stays the same however often the file is read. A
-    DataFrame that isn't read straight from Parquet (tests, in-memory rows) gets
-    (0, monotonically_increasing_id()), which is stable for in-memory rows only:
-    write other inputs with ``written`` first.
-    """
+def stored(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is read straight from Parquet, so that its rows have a place; else written first.
+    Operators call it once, so that all their reads see the same rows at the same places."""
     try:
-        return docs.select(*columns, F.xxhash64(F.col("_metadata.file_path")).alias(file), F.col("_metadata.row_index").alias(row))
+        docs.select("_metadata.row_index")
+        return docs
     except AnalysisException:
-        return docs.select(*columns, F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(row))
+        return written(docs, "input")
+
+
+def with_locator(docs: DataFrame, *columns: Column | str, file: str = "_file", row: str = "_row") -> DataFrame:
+    """The ``columns`` and where each row lies: a hash of its Parquet file's path and its row index there.
+    The pair names one row and stays the same however often the file is read. ``docs`` is ``stored``."""
+    return docs.select(*columns, F.xxhash64(F.col("_metadata.file_path")).alias(file), F.col("_metadata.row_index").alias(row))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

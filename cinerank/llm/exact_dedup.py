@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import SPACE, with_locator, written
+from .common import SPACE, stored, with_locator, written
 
 LOG = "digest string, n_points long, no_id boolean, doc_id long, _file long, _row long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -93,7 +93,7 @@ def exact_dedup(docs: DataFrame, state: DedupState | None = None, digest: Callab
     """
     spark = docs.sparkSession
     state = state or DedupState(spark)
-    located = with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    located = with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     norm = normalised(F.col("text"))
     log = located.select(digest(norm).alias("digest"), F.length("text").cast("long").alias("n_points"),
                          F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, with_locator, written
+from .common import SPACE, stored, with_locator, written
 
 BUCKETS, CELLS = 4096, 1024
 
@@ -84,7 +84,7 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     """
     spark = docs.sparkSession
     rows = written(with_locator(
-        docs, F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
+        stored(docs), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h")), "mix-rows")
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     n_blocks = F.ceil(F.col("source_size") / block)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_locator, written
+from .common import stored, with_locator, written
 
 PIECE = "doc_id long, _file long, _row long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECE + ", round int, part long, bin int, offset long, free int, gap int, worst boolean"
@@ -45,7 +45,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
                         out.append((*row, n, start, len(cut), zlib.crc32(cut.tobytes()), *([cut.astype(np.int64)] if with_ids else [])))
                 yield pd.DataFrame(out, columns=[*(c.split()[0] for c in PIECE.split(", ")), *(["ids"] if with_ids else [])]).astype({"doc_id": "Int64"})
 
-    located = with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    located = with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return located.mapInPandas(run, PIECE + (", ids array<long>" if with_ids else ""))
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, with_locator, written
+from .common import components, forest, stored, with_locator, written
 
 QUARTERS, SIDE = 4, 17
 LANES = np.uint64(0x0101010101010101)
@@ -151,7 +151,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2, block: int
     component of null ids only has component_id null. Other columns of ``docs`` are ignored. An empty
     table gives an empty result.
     """
-    rows = written(with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col), shingle).alias("fp")),
+    rows = written(with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col), shingle).alias("fp")),
                    "simhash-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row"))
     distinct = written(rows.groupBy("fp").agg(first.alias("least")), "simhash-distinct")

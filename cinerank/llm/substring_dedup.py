@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import with_locator, written
+from .common import stored, with_locator, written
 from .word_hashes import mixed, parts, run_hashes, sliding_min, word_hashes
 
 BLOCK = 1 << 21
@@ -156,6 +156,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     ``whole`` marks texts of which there is another copy (all their windows occur again); otherwise
     ``spans`` has the starts and numbers of consecutive such windows, each start * 2^32 + number, in any
     order, or is null."""
+    docs = stored(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     # A text's key: 64 bits of hash and length; equal texts share it.
     text_key = F.xxhash64(text, F.length(text))
@@ -209,6 +210,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, with_text: bool = False,
                 out.append((doc, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), *([kept.decode("utf-8", "replace")] if with_text else [])))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else [])]).astype({"doc_id": "Int64"})
 
+    docs = stored(docs)
     found = repeated_spans(docs, window, id_col, text_col).where("whole or spans is not null").select("_file", "_row", "whole", "spans")
     body = with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     joined = body.join(found, ["_file", "_row"], "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")

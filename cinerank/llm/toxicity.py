@@ -162,16 +162,18 @@ def _tree(both: np.ndarray, ones: np.ndarray, total: np.ndarray, smooth: float)
     return parent
 
 
-def fit_classifier(rows: np.ndarray, cols: np.ndarray, n: int, width: int, q: np.ndarray, weight: np.ndarray,
+def fit_classifier(rows: np.ndarray, cols: np.ndarray, n: int, start: np.ndarray, q: np.ndarray, weight: np.ndarray,
                    rounds: int = 1500, rate: float = 0.1, l2: float = 0.002) -> np.ndarray:
-    """Logistic regression on 0/1 features (row, column pairs), soft labels q; weights and, last, the bias. Adam."""
-    w, m, s = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
+    """Logistic regression on 0/1 features (row, column pairs), soft labels q; weights, held towards ``start``,
+    and, last, the bias. Adam."""
+    width = len(start)
+    w, m, s = np.append(start, 0.0), np.zeros(width + 1), np.zeros(width + 1)
     share = np.clip((q * weight).sum() / max(weight.sum(), 1e-9), 1e-4, 0.5)
     w[-1] = np.log(share / (1 - share))
     for t in range(1, rounds + 1):
         z = np.bincount(rows, weights=w[cols], minlength=n) + w[-1]
         g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - q) * weight
-        grad = np.append(np.bincount(cols, weights=g[rows], minlength=width) + l2 * w[:-1], g.sum())
+        grad = np.append(np.bincount(cols, weights=g[rows], minlength=width) + l2 * (w[:-1] - start), g.sum())
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-8)
     return w
@@ -218,8 +220,9 @@ def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100
     sample = train.select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("text").alias("_h")).orderBy("_h").limit(fit_rows)
     rows = sample.select("text", "toxic").mapInPandas(present, "has array<int>, toxic int")
     rows = rows.groupBy("has", "toxic").agg(F.count("*").alias("w")).orderBy("has", "toxic").collect()
+    start = np.where(np.arange(len(names)) < len(LEXICON) + len(PATTERNS), 4.0, 0.0)  # what built-in voters weigh before any evidence
     if not rows:
-        return ToxicityModel(names, np.append(np.zeros(len(names)), -2.0), [], None)
+        return ToxicityModel(names, np.append(start, -2.0), [], None)
     r = np.repeat(np.arange(len(rows)), [len(x["has"]) for x in rows])
     c = np.array([i for x in rows for i in x["has"]], np.int64)
     gold, weight = np.array([-1 if x["toxic"] is None else x["toxic"] for x in rows]), np.array([x["w"] for x in rows], float)
@@ -230,7 +233,7 @@ def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100
     votes[:, width] = ~votes.any(axis=1)  # one more voter speaks where all others abstain
     label_model = fit_label_model(votes, gold, weight)
     q = label_model.posterior(votes, gold)
-    return ToxicityModel(names, fit_classifier(r, c, len(rows), len(names), q, weight), [*names[:width], "(silence)"], label_model)
+    return ToxicityModel(names, fit_classifier(r, c, len(rows), start, q, weight), [*names[:width], "(silence)"], label_model)
 
 
 def held_out(doc_id: Column) -> Column:
