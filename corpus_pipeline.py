@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import SPACE, table, with_locator, written
+from cinerank.llm.common import SPACE, stored, table, with_locator, written
 from cinerank.llm.exact_dedup import exact_dedup
 from cinerank.llm.lang_id import UNDETERMINED, held_out, learn
 from cinerank.llm.mixing import mix
@@ -37,17 +37,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original stays."""
+    docs = stored(docs)
     return _without(docs, exact_dedup(docs).where("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component the document with the smallest id stays."""
+    docs = stored(docs)
     return _without(docs, simhash_dedup(docs, shingle=3, radius=2).where("not kept"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per document and epoch of the mix, up to three: the words taken, or the text as it
     is where all of them are. Documents of which nothing is taken go."""
+    docs = stored(docs)
     taken = mix(docs).placements.groupBy("_file", "_row", "epoch").agg(
         F.sort_array(F.collect_list(F.struct("from", "length"))).alias("__parts"), F.sum("length").alias("__taken"))
     taken = taken.select(F.col("_file").alias(PLACE[0]), F.col("_row").alias(PLACE[1]), "__parts", "__taken")
