@@ -113,12 +113,13 @@ def epoch_to_timestamp(ts) -> Column:
     return F.timestamp_seconds(_col(ts))
 
 
-def month_end(ts_col) -> Column:
-    return F.last_day(F.to_date(_col(ts_col)))
+def epoch_to_date(ts) -> Column:
+    """The UTC day of epoch seconds, whatever the session's time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(_col(ts) / 86400).cast("int"))
 
 
-def clamp(x, lo: float = 1.0, hi: float = 5.0) -> Column:
-    return F.least(F.greatest(_col(x), F.lit(lo)), F.lit(hi))
+def month_end(date_col) -> Column:
+    return F.last_day(_col(date_col))
 
 
 def round3(x) -> Column:

@@ -1,6 +1,6 @@
 """Scoring a feature DataFrame with a model.
 
-* :func:`score_arrow` - ``mapInPandas``: per Arrow batch, the distinct feature
+* :func:`score_arrow` - an Arrow UDF over five ints: per batch, the distinct feature
   keys (profile x genre mask) are scored once with numpy and scattered back.
   No shuffle, no join: the model sees only genres on the movie side and four
   small categoricals on the user side, so a batch of 10k rows has far fewer
@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,43 +42,29 @@ class Model:
         return np.clip(raw, self.spec.rating_min, self.spec.rating_max) if clamp else raw
 
 
-def _key_of(pdf: pd.DataFrame) -> np.ndarray:
-    # gender < 2^4, age < 2^4, occ < 2^8, zip < 2^4, mask < 2^18: fits in 38 bits
-    return ((pdf["gender_idx"].to_numpy(np.int64) << 34) | (pdf["age_idx"].to_numpy(np.int64) << 30)
-            | (pdf["occ_idx"].to_numpy(np.int64) << 22) | (pdf["zip_idx"].to_numpy(np.int64) << 18)
-            | pdf["genre_mask"].to_numpy(np.int64))
-
-
 def score_arrow(df: DataFrame, model: Model, out_col: str = "prediction", raw_col: str | None = None) -> DataFrame:
     """``df`` (with gender_idx, age_idx, occ_idx, zip_idx, genre_mask) plus the
-    clamped prediction (double) and optionally the raw output."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast((model.spec, model.params))
-    fields = list(df.schema.fields) + [T.StructField(out_col, T.DoubleType())]
-    if raw_col:
-        fields.append(T.StructField(raw_col, T.DoubleType()))
-    out_schema = T.StructType(fields)
+    clamped prediction (double) and optionally the raw output. Only the five key
+    columns go through Python; the others stay in the JVM."""
+    bc = df.sparkSession.sparkContext.broadcast((model.spec, model.params))
 
-    def run(batches):
+    @F.pandas_udf("score double, raw double")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         spec, params = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            keys = _key_of(pdf)
-            uniq, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-            sub = pdf.iloc[first]
-            raw, _ = K.forward(params, spec, sub["gender_idx"].to_numpy(np.int64),
-                               sub["age_idx"].to_numpy(np.int64), sub["occ_idx"].to_numpy(np.int64),
-                               sub["zip_idx"].to_numpy(np.int64), K.multihot(sub["genre_mask"].to_numpy()),
-                               train=False)
-            raw = raw[inverse.ravel()]
-            pdf = pdf.copy()
-            pdf[out_col] = np.clip(raw, spec.rating_min, spec.rating_max)
-            if raw_col:
-                pdf[raw_col] = raw
-            yield pdf
-
-    return df.mapInPandas(run, out_schema)
+        for columns in batches:
+            g, a, o, z, mask = (c.to_numpy(np.int64) for c in columns)
+            # gender < 2^4, age < 2^4, occ < 2^8, zip < 2^4, mask < 2^18: fits in 38 bits
+            keys = (g << 34) | (a << 30) | (o << 22) | (z << 18) | mask
+            _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+            raw = np.empty(0)
+            if len(first):
+                raw, _ = K.forward(params, spec, g[first], a[first], o[first], z[first], K.multihot(mask[first]), train=False)
+                raw = raw[inverse.ravel()]
+            yield pd.DataFrame({"score": np.clip(raw, spec.rating_min, spec.rating_max), "raw": raw})
+
+    out = df.withColumn("_scored", run(*[F.col(c) for c in KEY_COLS]))
+    return out.select(*df.columns, F.col("_scored.score").alias(out_col),
+                      *([F.col("_scored.raw").alias(raw_col)] if raw_col else []))
 
 
 # ---------------------------------------------------------------------------
@@ -154,12 +142,16 @@ def forward_sql_stages(model: Model):
 
 
 def _arr(values) -> F.Column:
-    """A constant double array (constant-folded by Catalyst into one literal)."""
-    return F.array(*[F.lit(float(v)) for v in np.ravel(values)])
+    """A constant double array: one SQL text, folded by Catalyst into one literal."""
+    return F.expr("array(" + ", ".join(_number(v) for v in np.ravel(values)) + ")")
+
+
+def _number(x: float) -> str:
+    return f"{float(x)!r}D"
 
 
 def _mat(W: np.ndarray) -> F.Column:
-    return F.array(*[_arr(row) for row in W])
+    return F.expr("array(" + ", ".join("array(" + ", ".join(_number(v) for v in row) + ")" for row in W) + ")")
 
 
 def _dot(a: F.Column, b: F.Column) -> F.Column:
@@ -230,19 +222,6 @@ def score_sql(model: Model, input_sql: str) -> str:
     return sql
 
 
-def score_expr_distinct(df: DataFrame, model: Model, out_col: str = "prediction") -> DataFrame:
-    """:func:`score_expr` on the distinct feature keys only, joined back by key.
-
-    The distinct keys are bounded by the vocabularies (profiles x genre sets),
-    not by the row count; the partial aggregate shrinks each partition to its
-    keys before the shuffle, and AQE turns the join back into a broadcast when
-    the measured key table is small.
-    """
-    keys = df.select(*KEY_COLS).distinct()
-    scored = score_expr(keys, model, out_col)
-    return df.join(scored, KEY_COLS, "inner")
-
-
 def _tower_job(df: DataFrame, model: Model, kind: str, prefix: str, out_col: str) -> DataFrame:
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model.params)

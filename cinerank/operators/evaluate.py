@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model.score import Model, score_arrow, score_expr, score_expr_distinct
+from ..model.score import KEY_COLS, Model, score_arrow, score_expr
 from ..session import cut_lineage
 from . import split as S
 
@@ -38,49 +38,66 @@ def evaluate(features: DataFrame, model: Model, scorer: str = "arrow") -> DataFr
     return regression_metrics(predict(features, model, scorer))
 
 
+def _counted(features: DataFrame, *tags: str) -> DataFrame:
+    """Rows as counts: (tags, feature keys, rating, n). Two rows with one key get one score, so all
+    metrics follow from this table; its size is bounded by the vocabularies, not by the rows."""
+    return (features.groupBy(*tags, *KEY_COLS, F.col("rating").cast("double").alias("rating"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _scored_keys(counted: DataFrame, *scorers) -> DataFrame:
+    """Distinct feature keys with the scorers' columns, spread over all tasks: a key costs the
+    expression scorer thousands of multiplications, so adaptive coalescing by bytes would be wrong."""
+    spark = counted.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    out = counted.select(*KEY_COLS).distinct().repartition(tasks, *KEY_COLS)
+    for scorer in scorers:
+        out = scorer(out)
+    return cut_lineage(out)
+
+
+def _weighted(prediction: str, n: str = "n") -> dict:
+    e = F.col(prediction) - F.col("rating")
+    total = F.sum(n)
+    return {"mse": F.sum(e * e * F.col(n)) / total, "mae": F.sum(F.abs(e) * F.col(n)) / total}
+
+
 def evaluation_report(features: DataFrame, model: Model) -> DataFrame:
-    """Metrics of the Arrow scorer and the expression scorer side by side, from one
-    scan: the expression scorer (on distinct keys) is joined to the Arrow scorer's output."""
-    scored = score_expr_distinct(score_arrow(features, model, "pred_arrow"), model, "pred_expr")
-    e1 = F.col("pred_arrow") - F.col("rating").cast("double")
-    e2 = F.col("pred_expr") - F.col("rating").cast("double")
-    m = scored.agg(F.avg(e1 * e1).alias("mse_a"), F.avg(F.abs(e1)).alias("mae_a"),
-                   F.avg(e2 * e2).alias("mse_e"), F.avg(F.abs(e2)).alias("mae_e"),
-                   F.count(F.lit(1)).cast("bigint").alias("n"),
-                   F.max(F.abs(F.col("pred_arrow") - F.col("pred_expr"))).alias("max_diff"))
-    arrow = m.select(F.lit("arrow").alias("scorer"), F.col("mse_a").alias("mse"),
-                     F.sqrt("mse_a").alias("rmse"), F.col("mae_a").alias("mae"), "n", "max_diff")
-    expr = m.select(F.lit("expression").alias("scorer"), F.col("mse_e").alias("mse"),
-                    F.sqrt("mse_e").alias("rmse"), F.col("mae_e").alias("mae"), "n", "max_diff")
-    return arrow.unionByName(expr)
+    """Metrics of the Arrow scorer and the expression scorer side by side: the distinct
+    feature keys are scored once by each and joined to the counts of (key, rating)."""
+    counted = cut_lineage(_counted(features))
+    keys = _scored_keys(counted, lambda d: score_arrow(d, model, "pred_arrow"), lambda d: score_expr(d, model, "pred_expr"))
+    a, e = _weighted("pred_arrow"), _weighted("pred_expr")
+    m = counted.join(keys, KEY_COLS).agg(
+        a["mse"].alias("mse_a"), a["mae"].alias("mae_a"), e["mse"].alias("mse_e"), e["mae"].alias("mae_e"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"), F.max(F.abs(F.col("pred_arrow") - F.col("pred_expr"))).alias("max_diff"))
+    both = F.explode(F.array(
+        F.struct(F.lit("arrow").alias("scorer"), F.col("mse_a").alias("mse"), F.col("mae_a").alias("mae")),
+        F.struct(F.lit("expression").alias("scorer"), F.col("mse_e").alias("mse"), F.col("mae_e").alias("mae")))).alias("_m")
+    return m.select(both, "n", "max_diff").select("_m.scorer", "_m.mse", F.sqrt("_m.mse").alias("rmse"), "_m.mae", "n", "max_diff")
 
 
 def permutation_importance(test: DataFrame, model: Model, key_cols=S.RATING_KEY, seed: int = 42,
-                           sample_cap: int | None = 50_000, rows_per_bucket: int = 100_000) -> DataFrame:
+                           sample_cap: int | None = None) -> DataFrame:
     """Rise in RMSE when one feature (genres as a whole) is shuffled across the test rows.
 
-    One pass: the baseline and five permuted variants are unioned with a
-    ``feature`` tag, scored once, and aggregated by tag. ``sample_cap`` keeps at
-    most that many rows (deterministic hash sample); ``None`` uses all rows.
+    All rows by default; ``sample_cap`` keeps at most that many (deterministic hash sample). The
+    baseline and five permuted variants are counted by (feature, key, rating), the distinct keys are
+    scored once, and one aggregate by feature gives six rows, from which the baseline is taken.
     """
-    base = test.select(*key_cols, "gender_idx", "age_idx", "occ_idx", "zip_idx", "genre_mask",
-                       F.col("rating").cast("double").alias("rating"))
+    base = test.select(*key_cols, *KEY_COLS, F.col("rating").cast("double").alias("rating"))
     if sample_cap is not None:
         base = S.sample_cap(base, sample_cap, key_cols, seed)
     base = cut_lineage(base)          # scanned six times below
-    n_rows = base.count()
-    variants = [base.withColumn("feature", F.lit("baseline"))]
+    allv = base.withColumn("feature", F.lit("baseline"))
     for _, label, col in FEATURE_GROUPS:
-        variants.append(S.permute_column(base, col, key_cols, seed, rows_per_bucket, n_rows)
-                        .withColumn("feature", F.lit(label)))
-    allv = variants[0]
-    for v in variants[1:]:
-        allv = allv.unionByName(v)
-    metrics = regression_metrics(score_arrow(allv, model), by=["feature"])
-    baseline = metrics.filter(F.col("feature") == "baseline").select(F.col("rmse").alias("baseline_rmse"))
-    # baseline holds exactly one row: a proven-small broadcast side, joined on a constant key
-    return (metrics.filter(F.col("feature") != "baseline").withColumn("_k", F.lit(1))
-            .join(F.broadcast(baseline.withColumn("_k", F.lit(1))), "_k")
+        allv = allv.unionByName(S.permute_column(base, col, key_cols, seed).withColumn("feature", F.lit(label)))
+    counted = cut_lineage(_counted(allv, "feature"))
+    keys = _scored_keys(counted, lambda d: score_arrow(d, model, "prediction"))
+    metrics = counted.join(keys, KEY_COLS).groupBy("feature").agg(F.sqrt(_weighted("prediction")["mse"]).alias("rmse"))
+    six = Window.partitionBy()        # six rows
+    baseline = F.max(F.when(F.col("feature") == "baseline", F.col("rmse"))).over(six)
+    return (metrics.withColumn("baseline_rmse", baseline).filter(F.col("feature") != "baseline")
             .select("feature", F.col("rmse").alias("shuffled_rmse"), "baseline_rmse",
                     (F.col("rmse") - F.col("baseline_rmse")).alias("importance"))
             .orderBy(F.desc("importance"), "feature"))

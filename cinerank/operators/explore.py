@@ -39,8 +39,8 @@ def dataset_summary(ratings: DataFrame, approx: bool = False) -> DataFrame:
         n_movies.cast("bigint").alias("n_movies"),
         F.round(F.avg(F.col("rating").cast("double")), 6).alias("rating_mean"),
         median.cast("double").alias("rating_median"),
-        F.to_date(F.timestamp_seconds(F.min("ts"))).alias("first_date"),
-        F.to_date(F.timestamp_seconds(F.max("ts"))).alias("last_date"),
+        E.epoch_to_date(F.min("ts")).alias("first_date"),
+        E.epoch_to_date(F.max("ts")).alias("last_date"),
     )
 
 
@@ -173,7 +173,7 @@ def users_by_age(users: DataFrame, fill: int | None = None) -> DataFrame:
               .groupBy(E.age_idx("age").alias("age_idx"))
               .agg(F.count(F.lit(1)).cast("bigint").alias("n_users")))
     dim = schema.dim_age(users.sparkSession).select(F.col("idx").alias("age_idx"), F.col("label").alias("age_label"))
-    out = F.broadcast(dim).join(counts, "age_idx", "left")
+    out = dim.join(counts, "age_idx", "left")
     n = F.col("n_users") if fill is None else F.coalesce("n_users", F.lit(fill)).cast("bigint")
     return out.select("age_idx", "age_label", n.alias("n_users")).orderBy("age_idx")
 
@@ -196,24 +196,12 @@ def users_labelled(users: DataFrame) -> DataFrame:
 
 def monthly_ratings(ratings: DataFrame) -> DataFrame:
     """Ratings per calendar month labelled by month end; months without ratings give 0."""
-    by_month = (ratings.groupBy(E.month_end(E.epoch_to_timestamp("ts")).alias("month_end"))
+    by_month = (ratings.filter(F.col("ts").isNotNull()).groupBy(E.month_end(E.epoch_to_date("ts")).alias("month_end"))
                 .agg(F.count(F.lit(1)).cast("bigint").alias("n_ratings")))
-    bounds = ratings.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    months = bounds.select(F.explode(F.sequence(
-        F.trunc(F.to_date(E.epoch_to_timestamp("lo")), "MM"),
-        F.trunc(F.to_date(E.epoch_to_timestamp("hi")), "MM"),
-        F.expr("interval 1 month"))).alias("m")).select(F.last_day("m").alias("month_end"))
+    bounds = by_month.agg(F.min("month_end").alias("lo"), F.max("month_end").alias("hi"))
+    months = bounds.select(F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
+                                                F.expr("interval 1 month"))).alias("m")).select(F.last_day("m").alias("month_end"))
     # months: one row per calendar month in the data's span (bounded by the calendar).
     return (months.join(by_month, "month_end", "left")
             .select("month_end", F.coalesce("n_ratings", F.lit(0)).cast("bigint").alias("n_ratings"))
             .orderBy("month_end"))
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
-def min_support_filter(stats: DataFrame, n: int, col: str = "rating_count") -> DataFrame:
-    return stats.filter(F.col(col) >= n)
-
-

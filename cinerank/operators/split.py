@@ -7,11 +7,11 @@ in SQL (md5 exists in both Spark and DuckDB).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 RATING_KEY = ["user_id", "movie_id", "ts"]
 
 
@@ -58,52 +58,44 @@ def split_summary(labelled: DataFrame) -> DataFrame:
 def sample_cap(df: DataFrame, n: int, key_cols, seed: int = 42, order_cols=None) -> DataFrame:
     """At most ``n`` rows: the ``n`` smallest by md5(key, seed), ties by ``order_cols``.
 
-    Exact and deterministic. When the input is larger than ``n``, a hash-range
-    prefilter keeps about 1.2 n rows before the final top-n so the last merge
-    sees O(n) rows, not n rows from every partition; if the prefilter leaves
-    fewer than ``n`` rows it is dropped (exact fallback).
+    Exact and deterministic for every size. One pass counts the rows per hash range (1,024 ranges);
+    rows of the ranges below the one that holds the n-th row are taken as they are, and only
+    that one is sorted.
     """
     order_cols = list(order_cols or df.columns)
-    h = hash_int(key_string(key_cols, seed), 15)  # 60 bits
-    hashed = df.withColumn("_h", h)
-    total = df.count()
-    if total <= n:
-        return df
-    space = float(1 << 60)
-    thr = int(min(space, space * (1.2 * n + 10 * math.sqrt(n) + 100) / total))
-    pre = hashed.filter(F.col("_h") < F.lit(thr))
-    if pre.count() < n:
-        pre = hashed
-    return pre.orderBy("_h", *order_cols).limit(n).drop("_h")
-
-
-def permute_column(df: DataFrame, column: str, key_cols, seed: int = 42,
-                   rows_per_bucket: int = 100_000, n_rows: int | None = None,
-                   order_cols=None) -> DataFrame:
-    """Shuffle ``column`` against the other columns.
-
-    Rows are spread over B = ceil(rows / rows_per_bucket) buckets by md5 of their
-    key; inside a bucket, the row at position k in row order (md5 of key and
-    seed) gets the value at position k in value order (md5 of key, seed and
-    column name). The column's multiset is kept, every other column is untouched,
-    and the work is B balanced window partitions, so it scales with the data.
-    ``order_cols`` break md5 ties between rows with equal keys.
+    hashed = cut_lineage(df.withColumn("_h", hash_int(key_string(key_cols, seed), 15)))  # 60 bits
+    ranged = F.shiftright("_h", 50)
+    counts = sorted((r["_r"], r["count"]) for r in hashed.groupBy(ranged.alias("_r")).count().collect())  # at most 1,024 rows
+    before = 0
+    for r, count in counts:
+        if before + count > n:
+            rest = hashed.filter(ranged == r).orderBy("_h", *order_cols).limit(n - before)
+            return hashed.filter(ranged < r).unionByName(rest).drop("_h")
+        before += count
+    return hashed.drop("_h")
+
+
+def global_position(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Adds each row's 1-based position in ``order`` over the whole table: range partitions, each
+    numbered on its own and moved by the number of rows in those before it."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (ranged.withColumn(name, inside).join(sizes.select("_part", before.alias("_before")), "_part")
+            .withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before"))
+
+
+def permute_column(df: DataFrame, column: str, key_cols, seed: int = 42, order_cols=None) -> DataFrame:
+    """Shuffle ``column`` against the other columns, over the whole table.
+
+    The row at position k in row order (md5 of key and seed) gets the value at position k in value
+    order (md5 of key, seed and column name). The column's multiset is kept and every other
+    column untouched. ``order_cols`` break md5 ties between rows with equal keys.
     """
-    order_cols = list(order_cols or df.columns)
-    if n_rows is None:
-        n_rows = df.count()
-    buckets = max(1, math.ceil(n_rows / rows_per_bucket))
-    key = key_string(key_cols, seed)
-    base = df.select(
-        "*",
-        (hash_int(key_string(key_cols, seed, "bucket")) % buckets).alias("_b"),
-        F.md5(key).alias("_hr"),
-        F.md5(key_string(key_cols, seed, column)).alias("_hv"),
-    )
-    ties = [F.col(c) for c in order_cols]
-    w_row = Window.partitionBy("_b").orderBy(F.col("_hr"), *ties)
-    w_val = Window.partitionBy("_b").orderBy(F.col("_hv"), *ties)
-    rows = base.select(*[c for c in df.columns if c != column], "_b",
-                       F.row_number().over(w_row).alias("_pos"))
-    vals = base.select("_b", F.row_number().over(w_val).alias("_pos"), F.col(column))
-    return rows.join(vals, ["_b", "_pos"]).select(*df.columns)
+    ties = [F.col(c) for c in (order_cols or df.columns)]
+    base = df.select("*", F.md5(key_string(key_cols, seed)).alias("_hr"), F.md5(key_string(key_cols, seed, column)).alias("_hv"))
+    rows = global_position(base.drop("_hv"), [F.col("_hr"), *ties], "_pos").drop("_hr", column)
+    vals = global_position(base.drop("_hr"), [F.col("_hv"), *ties], "_pos").select("_pos", column)
+    return rows.join(vals, "_pos").select(*df.columns)

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from ..functions import encoders as E
 from ..operators import features as FE
 from ..operators import split as S
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import dat
 from ..sources.fixtures import load_fixture
 from .registry import (age_idx_sql, gender_idx_sql, genre_parts_sql, multihot_string_sql, register,
                        sql_with, zip_idx_sql)
 
 SEED = 42
-SAMPLE_CAP = 50_000          # at most this many test rows in the importance sample
-ROWS_PER_BUCKET = 100_000    # permutation bucket size
+SAMPLE_CAP = 5_000           # the capped sample's size, less than the fixture's test rows
 
 _FEATURES_CTE = ("feat", f"""select r.user_id, r.movie_id, r.ts,
     {gender_idx_sql('u.gender')} as gender_idx, {age_idx_sql('u.age')} as age_idx,
@@ -82,11 +81,11 @@ def q_split_summary(spark, sf_dir):
     return S.split_summary(S.with_split(fixture_features(spark, sf_dir), seed=SEED))
 
 
-@register("random_split")
+@register("random_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body=f"select {_REPORT_COLS} from feat"))
 def q_random_split(spark, sf_dir):
-    feats = FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))
-    train, test = S.random_split(feats, 0.8, SEED)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    """Both sides together, without the label: no row is lost or doubled (the sides themselves are random)."""
+    train, test = S.random_split(cut_lineage(FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))), 0.8, SEED)
+    return train.unionByName(test)
 
 
 def fixture_test_set(spark, sf_dir):
@@ -105,7 +104,6 @@ def q_sample_cap(spark, sf_dir):
     return capped.drop("user_id", "movie_id", "ts")
 
 
-_PERM_KEY_B = "concat_ws('|', user_id, movie_id, ts, '42', 'bucket')"
 _PERM_KEY_V = "concat_ws('|', user_id, movie_id, ts, '42', 'age_idx')"
 _ALL_COLS = f"user_id, movie_id, ts, {_REPORT_COLS}"
 
@@ -113,18 +111,10 @@ _ALL_COLS = f"user_id, movie_id, ts, {_REPORT_COLS}"
 @register("permute_column", sql_with(["ratings", "users", "movies"], [
     _FEATURES_CTE, _SPLIT_CTE,
     ("test", "select * from labelled where split = 'test'"),
-    ("base", f"""select *,
-        cast('0x' || substr(md5({_PERM_KEY_B}), 1, 8) as bigint)
-          % greatest(1, cast(ceil((select count(*) from test) / {float(ROWS_PER_BUCKET)}) as bigint)) as _b,
-        md5({_KEY}) as _hr, md5({_PERM_KEY_V}) as _hv from test"""),
-    ("r", f"""select user_id, movie_id, ts, gender_idx, occ_idx, zip_idx, genres, rating, _b,
-        row_number() over (partition by _b order by _hr, {_ALL_COLS}) as _pos from base"""),
-    ("v", f"""select _b, age_idx,
-        row_number() over (partition by _b order by _hv, {_ALL_COLS}) as _pos from base"""),
-], body="select r.gender_idx, v.age_idx, r.occ_idx, r.zip_idx, r.genres, r.rating "
-        "from r join v on r._b = v._b and r._pos = v._pos"))
+    ("r", f"""select gender_idx, occ_idx, zip_idx, genres, rating,
+        row_number() over (order by md5({_KEY}), {_ALL_COLS}) as pos from test"""),
+    ("v", f"select age_idx, row_number() over (order by md5({_PERM_KEY_V}), {_ALL_COLS}) as pos from test"),
+], body="select r.gender_idx, v.age_idx, r.occ_idx, r.zip_idx, r.genres, r.rating from r join v on r.pos = v.pos"))
 def q_permute_column(spark, sf_dir):
     test = fixture_test_set(spark, sf_dir)
-    cols = test.columns
-    permuted = S.permute_column(test, "age_idx", S.RATING_KEY, SEED, ROWS_PER_BUCKET, order_cols=cols)
-    return permuted.drop("user_id", "movie_id", "ts")
+    return S.permute_column(test, "age_idx", S.RATING_KEY, SEED, order_cols=test.columns).drop("user_id", "movie_id", "ts")

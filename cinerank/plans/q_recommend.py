@@ -25,10 +25,11 @@ _CHECKED = ("checked", f"""select *, case
     when top_n_eff not between {schema.MIN_TOP_N} and {schema.MAX_TOP_N} then 'top_n_range'
     when gender is null or gender not in ('M', 'F') then 'gender_unknown'
     when age is null or age not in ({', '.join(str(c) for c in schema.AGE_CODES)}) then 'age_unknown'
+    when zip_code is null then 'zip_missing'
     when len({_UNKNOWN}) > 0 then 'genre_unknown' end as reject_reason,
     array_to_string({_UNKNOWN}, ',') as unknown_genres from req""")
 _MV = ("mv", f"select movie_id, title, genres, {genre_parts_sql('genres')} as gset from movies")
-_CAND = ("cand", """select c.request_id, c.top_n_eff as top_n, c.gender, c.age, c.occupation, c.zip_code,
+_CAND = ("cand", """select c.rk, c.request_id, c.top_n_eff as top_n, c.gender, c.age, c.occupation, c.zip_code,
     m.movie_id, m.title, m.genres, m.gset
   from checked c join mv m on len(list_intersect(c.glist, m.gset)) > 0
   where c.reject_reason is null""")
@@ -41,9 +42,10 @@ def q_validate_requests(spark, sf_dir):
 
 
 @register("candidates", sql_with(["requests", "movies"], [_REQ, _CHECKED, _MV, _CAND], body="""
-select distinct request_id, movie_id from cand"""))
+select c.request_id, count(cand.movie_id) as n_candidates
+from checked c left join cand on c.rk = cand.rk where c.reject_reason is null group by c.rk, c.request_id"""))
 def q_candidates(spark, sf_dir):
-    return R.candidates(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies)
+    return R.candidate_counts(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies)
 
 
 @register("profile_labels", sql_with(["requests"], body=f"""
@@ -59,12 +61,12 @@ def q_profile_labels(spark, sf_dir):
 
 def _recommend_oracle(model_type: str, tickets: bool = False) -> str:
     flags = ", ".join(f"cast({f} as double) as g{i}" for i, f in enumerate(genre_flags_sql("gset")))
-    inner = (f"select request_id, top_n, movie_id, title, genres, {gender_idx_sql('gender')} as gender_idx, "
+    inner = (f"select rk, request_id, top_n, movie_id, title, genres, {gender_idx_sql('gender')} as gender_idx, "
              f"{age_idx_sql('age')} as age_idx, occupation as occ_idx, {zip_idx_sql('zip_code')} as zip_idx, "
              f"{flags} from cand")
     scored = ("scored", score_sql(fixed_model(model_type), inner))
-    ranked = ("ranked", """select request_id, top_n, movie_id, title, genres, score,
-        row_number() over (partition by request_id order by score desc, movie_id) as rn from scored""")
+    ranked = ("ranked", """select rk, request_id, top_n, movie_id, title, genres, score,
+        row_number() over (partition by rk order by score desc, movie_id) as rn from scored""")
     sel = ("select request_id, cast(rn as integer) as rank, movie_id, title, genres, "
            "round_even(score, 3) as predicted_rating")
     if tickets:
@@ -98,13 +100,37 @@ def q_recommend_trained(spark, sf_dir):
     return R.recommend(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies, model)
 
 
-@register("recommend_stream", _recommend_oracle("ncf"))
+_RESPONSES = """
+select c.request_id, case when c.reject_reason is not null then 'rejected' when coalesce(a.n, 0) > 0 then 'answered' else 'empty' end as status,
+  c.reject_reason, {gender} as gender_label, {age} as age_label, {occupation} as occupation_label,
+  case when c.reject_reason is null then coalesce(a.n, 0) else 0 end as n_items, a.ids
+from checked c left join (select rk, count(*) as n, string_agg(cast(movie_id as varchar), ',' order by rn) as ids
+  from ranked where rn <= top_n group by rk) a on c.rk = a.rk"""
+
+
+def _responses_oracle() -> str:
+    text = _recommend_oracle("ncf")
+    return text[:text.rindex("\nselect request_id, cast(rn")] + _RESPONSES.format(
+        gender="case c.gender when 'M' then 'Male' when 'F' then 'Female' end", age=age_label_sql("c.age"),
+        occupation=occupation_label_sql("c.occupation"))
+
+
+def _flat(responses):
+    ids = F.when(F.size("items") > 0, F.array_join(F.transform("items", lambda i: i["movie_id"].cast("string")), ","))
+    return responses.select("request_id", "status", "reject_reason", "gender_label", "age_label", "occupation_label",
+                            F.size("items").cast("bigint").alias("n_items"), ids.alias("ids"))
+
+
+@register("recommend_responses", _responses_oracle())
+def q_recommend_responses(spark, sf_dir):
+    """Answered, empty and rejected requests, one row each."""
+    return _flat(R.recommend_responses(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies, fixed_model("ncf")))
+
+
+@register("recommend_stream", _responses_oracle())
 def q_recommend_stream(spark, sf_dir):
-    """The fixture requests written as JSON files, consumed as a stream, one
-    bulk recommendation per micro-batch; returns everything the sink wrote."""
+    """The fixture requests written as JSON files and consumed as a stream; returns every response the sink wrote."""
     req_dir = scratch_path(spark, "requests-json")
-    load_requests(spark, sf_dir).repartition(4, "request_id").write.json(req_dir)
-    out_dir = scratch_path(spark, "recommend-stream-out")
+    load_requests(spark, sf_dir).repartition(4).write.json(req_dir)
     movies = load_fixture(spark, sf_dir).movies
-    out = run_recommend_stream(spark, req_dir, movies, fixed_model("ncf"), out_dir)
-    return out.select("request_id", "rank", "movie_id", "title", "genres", "predicted_rating")
+    return _flat(run_recommend_stream(spark, req_dir, movies, fixed_model("ncf"), scratch_path(spark, "recommend-stream-out")))

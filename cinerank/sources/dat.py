@@ -17,6 +17,11 @@ FILE_NAMES = {"ratings": "ratings.dat", "users": "users.dat", "movies": "movies.
 SCHEMAS = {"ratings": schema.RATINGS_SCHEMA, "users": schema.USERS_SCHEMA, "movies": schema.MOVIES_SCHEMA}
 
 
+def drop_null_keys(df: DataFrame, required=()) -> DataFrame:
+    """Rows with all of ``required``."""
+    return df.dropna(subset=list(required)) if required else df
+
+
 def read_dat(spark: SparkSession, path: str, struct: T.StructType, required=()) -> DataFrame:
     """Read ``::``-separated Latin-1 text with a fixed schema.
 
@@ -33,7 +38,7 @@ def read_dat(spark: SparkSession, path: str, struct: T.StructType, required=())
           .option("mode", "PERMISSIVE")
           .option("nullValue", "")
           .csv(path))
-    return df.dropna(subset=list(required)) if required else df
+    return drop_null_keys(df, required)
 
 
 def parse_dat_lines(lines: DataFrame, struct: T.StructType, required=(), col: str = "value") -> DataFrame:
@@ -42,7 +47,7 @@ def parse_dat_lines(lines: DataFrame, struct: T.StructType, required=(), col: st
     not parse), so bad rows become nulls instead of failing under ANSI mode."""
     parts = F.split(F.col(col), "::")
     df = lines.select(*[F.get(parts, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(struct.fields)])
-    return df.dropna(subset=list(required)) if required else df
+    return drop_null_keys(df, required)
 
 
 class Tables(NamedTuple):
@@ -70,8 +75,14 @@ def load_tables(spark: SparkSession, data_dir: str) -> Tables:
 
 
 def write_dat(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``df`` as ``::``-separated Latin-1 text (nulls as empty fields)."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    """Write ``df`` as ``::``-separated Latin-1 text (nulls as empty fields, and so are empty strings:
+    both are read back as null). A value that the format can't hold, with a separator, a line end or a
+    character outside Latin-1, fails the job instead of being changed."""
+    def safe(c):
+        v = F.col(c).cast("string")
+        return F.when(v.rlike(r"::|[\r\n]|[^\x{0}-\x{FF}]|^:|:$"), F.raise_error(F.concat(F.lit(f"{c} can't be written as '::' Latin-1 text: "), v))).otherwise(v)
+
+    cols = [F.coalesce(safe(c), F.lit("")) for c in df.columns]
     (df.select(F.concat_ws("::", *cols).alias("value"))
      .write.mode(mode)
      .option("sep", "\u0001")
@@ -81,11 +92,6 @@ def write_dat(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .csv(path))
 
 
-def table_counts(tables: Tables) -> DataFrame:
-    from ..operators.explore import table_counts as _tc
-    return _tc(*tables)
-
-
 def write_metrics(spark: SparkSession, path: str, record: dict) -> DataFrame:
     """Write one JSON record (config, cardinalities, losses, metrics) as a
     single-row JSON file and return it as a DataFrame."""

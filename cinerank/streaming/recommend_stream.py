@@ -1,22 +1,21 @@
 """Recommendation over a stream of request files (JSON lines).
 
-Each micro-batch of requests runs the bulk :func:`recommend` plan against the
-static catalogue. The job is stateless (no watermark needed). The sink writes
-each batch to ``<out>/batch_id=<n>`` in overwrite mode, so a replayed batch
-after a failure replaces its own output instead of duplicating it; the
-streaming checkpoint lives in the shared checkpoint folder.
+Each micro-batch of requests runs the bulk :func:`recommend_responses` plan against the
+static catalogue: answered, empty and rejected requests alike reach the sink. The job is
+stateless (no watermark needed). The sink writes each batch to ``<out>/batch_id=<n>`` in
+overwrite mode, so a replayed batch after a failure replaces its own output instead of
+duplicating it. The stream's checkpoint lies in the output folder unless given: a
+restart on the same output goes on where the last run ended.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model.score import Model
-from ..operators.recommend import REQUEST_SCHEMA, recommend
-from ..session import scratch_path
+from ..operators.recommend import REQUEST_SCHEMA, recommend_responses
 
 
 def start_recommend_stream(spark: SparkSession, request_dir: str, movies: DataFrame, model: Model,
@@ -29,18 +28,21 @@ def start_recommend_stream(spark: SparkSession, request_dir: str, movies: DataFr
     requests = reader.json(request_dir)
 
     def each_batch(batch: DataFrame, batch_id: int):
-        (recommend(batch, movies, model).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}")))
+        recommend_responses(batch, movies, model).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = (requests.writeStream.foreachBatch(each_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "recommend-stream-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{out_dir}/_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 
 
 def run_recommend_stream(spark: SparkSession, request_dir: str, movies: DataFrame, model: Model,
                          out_dir: str, checkpoint: str | None = None) -> DataFrame:
-    """Process every request file present now, then read back all recommendations."""
+    """Process every request file present now, then read back all responses (none, if no file has come yet)."""
     q = start_recommend_stream(spark, request_dir, movies, model, out_dir, checkpoint, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    nothing = recommend_responses(spark.createDataFrame([], REQUEST_SCHEMA), movies, model).withColumn("batch_id", F.lit(0))
+    try:
+        return spark.read.schema(nothing.schema).parquet(out_dir)
+    except AnalysisException:  # no batch yet
+        return nothing
