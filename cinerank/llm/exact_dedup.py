@@ -54,6 +54,7 @@ class DedupState:
                  .groupBy("digest").agg(best.alias("best"), F.count("*").alias("n")))
         settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
                     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # megabytes of empty disk per partition
+                    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # no store stays open beside the running tasks
                     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
                     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
         old = {k: spark.conf.get(k, None) for k in settings}
