@@ -77,7 +77,7 @@ class Known:
 class WordTokens:
     """``encode(texts)`` gives an int32 array of ids per text. Keeps up to ``keep`` words' ids."""
 
-    def __init__(self, path: str, keep: int = 1_000_000, chunk: int = 1 << 20):
+    def __init__(self, path: str, keep: int = 500_000, chunk: int = 1 << 19):
         self.full = Tokenizer.from_file(path)
         self.full.encode_special_tokens = True
         self.model, self.letters = self.full.model, byte_letters()
