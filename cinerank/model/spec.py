@@ -25,6 +25,7 @@ import numpy as np
 
 from .. import schema
 
+MODEL_TYPES = ("ncf", "neumf")
 BN_EPS = 1e-5
 BN_MOMENTUM = 0.1
 
@@ -41,8 +42,8 @@ class ModelSpec:
 
     def __post_init__(self):
         self.model_type = str(self.model_type).lower()
-        if self.model_type not in ("ncf", "neumf"):
-            raise ValueError(f"Unknown model_type '{self.model_type}'. Choose 'ncf' or 'neumf'.")
+        if self.model_type not in MODEL_TYPES:
+            raise ValueError(f"no network is named {self.model_type!r}; there are {', '.join(MODEL_TYPES)}")
         self.hidden_dims = [int(h) for h in self.hidden_dims]
 
     @property

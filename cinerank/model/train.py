@@ -2,24 +2,23 @@
 
 Shape of the job
 ----------------
-* The training rows (5 small ints + rating) are hash-partitioned into
-  ``num_shards`` shards by a row-key hash and written as a reliable checkpoint
-  in the shared checkpoint folder, so a lost executor recomputes a shard from
+* The training rows (5 small ints + rating) are hash-partitioned into shards of about
+  ``rows_per_shard`` rows, so the number of tasks follows the data, and written as a reliable
+  checkpoint in the shared checkpoint folder: a lost executor recomputes a shard from
   the checkpoint, not from the joins.
-* Per epoch the driver broadcasts the parameters, Adam moments and step count
+* Per job the driver broadcasts the parameters, Adam moments and step count
   (size fixed by the network). Each shard is read in a fresh order -
-  ``sortWithinPartitions(xxhash64(row key, epoch))``, a local sort that needs
+  ``sortWithinPartitions(xxhash64(row key, epoch), all columns)``, a local sort that needs
   no shuffle and spills if it must - and ``mapInPandas`` runs mini-batch Adam
   over its Arrow batches, streaming: only one mini-batch plus one Arrow batch
   is held in memory.
 * Each shard emits its parameters, moments and statistics in long form
-  ``(pos, value * n_rows)``; ``groupBy(pos).sum`` (map-side combined) averages
-  them across shards weighted by row count. Only the averaged vector (size of
+  ``(pos, value * n_rows)``; ``groupBy(pos).sum`` over decimals (map-side combined, the same in any
+  order) averages them across shards weighted by row count. Only the averaged vector (size of
   the network) reaches the driver.
 
-This is local SGD with per-epoch parameter averaging rather than per-step
-gradient averaging; one job per step would cost a scheduling round-trip per
-mini-batch.
+This is local SGD with parameter averaging, ``averages_per_epoch`` times an epoch; raise it
+with the number of shards. One job per step would cost a scheduling round-trip per mini-batch.
 """
 
 from __future__ import annotations
@@ -50,23 +49,30 @@ class FitConfig:
     eps: float = 1e-8
     max_grad_norm: float = 1.0
     min_lr_ratio: float = 0.01
-    num_shards: int = 4
+    rows_per_shard: int = 60_000
+    averages_per_epoch: int = 1
     seed: int = 42
     clamp_in_training: bool = False
     out_bias_from_mean: bool = True
 
 
-def prepare_shards(train: DataFrame, num_shards: int) -> DataFrame:
-    """Training rows hash-partitioned into ``num_shards`` shards and checkpointed."""
+def prepare_shards(train: DataFrame, rows_per_shard: int) -> DataFrame:
+    """Training rows hash-partitioned into shards of about ``rows_per_shard`` rows and checkpointed.
+    The shard of a row depends on its key only. No rows at all is an error."""
     key_cols = [c for c in ("user_id", "movie_id", "ts") if c in train.columns] or TRAIN_COLS
-    rows = train.select(*[F.col(c) for c in TRAIN_COLS[:-1]],
-                        F.col("rating").cast("double").alias("rating"),
-                        F.xxhash64(*key_cols).alias("_rk"))
-    return cut_lineage(rows.repartition(num_shards, "_rk"))
+    rows = cut_lineage(train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"),
+                                    F.xxhash64(*key_cols).alias("_rk")))
+    n = rows.count()
+    if n < 2:
+        raise ValueError(f"cannot train on {n} rows: batches are normalised, which takes two at least")
+    return cut_lineage(rows.repartition(max(1, round(n / rows_per_shard)), "_rk"))
 
 
-def _epoch_job(shards: DataFrame, bc, epoch: int, lr: float, cfg: FitConfig) -> DataFrame:
-    ordered = shards.sortWithinPartitions(F.xxhash64("_rk", F.lit(epoch)))
+def _epoch_job(shards: DataFrame, bc, epoch: int, part: int, lr: float, cfg: FitConfig) -> DataFrame:
+    turn = F.xxhash64("_rk", F.lit(epoch))
+    if cfg.averages_per_epoch > 1:
+        shards = shards.filter(F.pmod(turn, F.lit(cfg.averages_per_epoch)) == part)
+    ordered = shards.sortWithinPartitions(turn, *TRAIN_COLS)
 
     def run(batches):
         from pyspark import TaskContext
@@ -76,7 +82,7 @@ def _epoch_job(shards: DataFrame, bc, epoch: int, lr: float, cfg: FitConfig) ->
         P = {n: v.copy() for n, v in P0.items()}
         M = {n: v.copy() for n, v in M0.items()}
         V = {n: v.copy() for n, v in V0.items()}
-        rng = np.random.default_rng([cfg.seed, epoch, pid])
+        rng = np.random.default_rng([cfg.seed, epoch, part, pid])
         state = {"t": t0, "loss": 0.0, "batches": 0, "rows": 0}
         B = cfg.batch_size
 
@@ -118,48 +124,62 @@ def _epoch_job(shards: DataFrame, bc, epoch: int, lr: float, cfg: FitConfig) ->
     return ordered.mapInPandas(run, "pos int, v double")
 
 
-def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: dict | None = None,
-        shards: DataFrame | None = None) -> Model:
+def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: Model | None = None,
+        shards: DataFrame | None = None, on_better=None) -> Model:
     """Train ``spec`` on a feature DataFrame (gender_idx, age_idx, occ_idx, zip_idx,
     genre_mask, rating; rating keys used for sharding when present).
 
-    Returns the parameters of the epoch with the lowest training loss, with
-    ``meta['history']`` = [(epoch, mse, lr)] and the final Adam state.
+    Returns the model of the epoch with the lowest training loss: its parameters, the Adam state
+    of the same epoch, and ``meta['history']`` = [(epoch, mse, lr)]. ``on_better(model)`` is called after
+    each epoch that is better than all before (to store it: a lost driver then loses one epoch). ``init``
+    goes on from a stored model: parameters, Adam state, the epochs done and their history.
     """
     cfg = cfg or FitConfig()
     spark = train.sparkSession
     if shards is None:
-        shards = prepare_shards(train, cfg.num_shards)
-    out_bias = None
-    if cfg.out_bias_from_mean and init is None:
-        out_bias = float(shards.agg(F.avg("rating")).first()[0] or 0.0)
-    P = init if init is not None else init_params(spec, cfg.seed, out_bias)
+        shards = prepare_shards(train, cfg.rows_per_shard)
     names, bufs = spec.trainable_names(), spec.buffer_names()
-    M = {n: np.zeros_like(P[n]) for n in names}
-    V = {n: np.zeros_like(P[n]) for n in names}
-    t = 0
+    opt = (init.meta.get("optimizer") if init else None) or {}
+    if init:
+        P = init.params
+    else:
+        out_bias = float(shards.agg(F.avg(F.col("rating").cast("decimal(20,6)"))).first()[0]) if cfg.out_bias_from_mean else None
+        P = init_params(spec, cfg.seed, out_bias)
+    M = opt.get("m") or {n: np.zeros_like(P[n]) for n in names}
+    V = opt.get("v") or {n: np.zeros_like(P[n]) for n in names}
+    t = int(opt.get("step") or 0)
     n_p, n_t = len(flatten(P, names + bufs)), len(flatten(M, names))
-    history, best = [], None
-    for epoch in range(cfg.num_epochs):
+    done = int(init.meta.get("epoch", 0)) if init else 0
+    history = [tuple(h) for h in init.meta.get("history", [])][:done] if init else []
+    best = init if init and history else None
+    for epoch in range(done, cfg.num_epochs):
         lr = K.cosine_lr(epoch, cfg.num_epochs, cfg.lr, cfg.min_lr_ratio)
-        bc = spark.sparkContext.broadcast((spec, P, M, V, t, names, bufs))
-        agg = (_epoch_job(shards, bc, epoch, lr, cfg)
-               .groupBy("pos").agg(F.sum("v").alias("v")).toPandas())
-        bc.destroy()
-        vals = dict(zip(agg["pos"].to_numpy(), agg["v"].to_numpy()))
-        n_rows = vals[-1]
-        mse = vals[-2] / vals[-3]
-        t = int(round(vals[-4] / n_rows))
-        vec = np.array([vals[i] for i in range(n_p + 2 * n_t)]) / n_rows
-        P = unflatten(vec[:n_p], spec, names + bufs)
-        M = unflatten(vec[n_p:n_p + n_t], spec, names)
-        V = unflatten(vec[n_p + n_t:], spec, names)
-        history.append((epoch + 1, float(mse), float(lr)))
-        if best is None or mse < best[1]:
-            best = (epoch + 1, float(mse), {k: v.copy() for k, v in P.items()})
-    meta = {"epoch": best[0], "train_loss": best[1], "history": history, "config": asdict(cfg),
-            "optimizer": {"m": M, "v": V, "step": t}, **spec.to_dict()}
-    return Model(spec, best[2], meta)
+        loss = batches = 0.0
+        for part in range(cfg.averages_per_epoch):
+            bc = spark.sparkContext.broadcast((spec, P, M, V, t, names, bufs))
+            agg = (_epoch_job(shards, bc, epoch, part, lr, cfg)
+                   .groupBy("pos").agg(F.sum(F.col("v").cast("decimal(38,16)")).cast("double").alias("v")).toPandas())
+            bc.destroy()
+            vals = dict(zip(agg["pos"].to_numpy(), agg["v"].to_numpy()))
+            if -1 not in vals:
+                continue  # a part without rows
+            n_rows = vals[-1]
+            loss, batches = loss + vals[-2], batches + vals[-3]
+            t = int(round(vals[-4] / n_rows))
+            vec = np.array([vals[i] for i in range(n_p + 2 * n_t)]) / n_rows
+            P = unflatten(vec[:n_p], spec, names + bufs)
+            M = unflatten(vec[n_p:n_p + n_t], spec, names)
+            V = unflatten(vec[n_p + n_t:], spec, names)
+        mse = float(loss / max(batches, 1.0))
+        history.append((epoch + 1, mse, float(lr)))
+        if best is None or mse < best.meta["train_loss"]:
+            best = Model(spec, {k: v.copy() for k, v in P.items()}, {
+                "epoch": epoch + 1, "train_loss": mse, "history": list(history), "config": asdict(cfg),
+                "optimizer": {"m": M, "v": V, "step": t}, **spec.to_dict()})
+            if on_better:
+                on_better(best)
+    best.meta["history"] = history
+    return best
 
 
 def learning_curve(spark, model: Model, test_rmse: float | None = None) -> DataFrame:

@@ -36,8 +36,8 @@ def run_training(spark: SparkSession, ratings: DataFrame, users: DataFrame, movi
     t0 = time.time()
     feats = FE.build_features(ratings, users, movies, keep_keys=True)
     train, test = S.hash_split(feats, seed=cfg.seed, train_ratio=train_ratio)
-    model = fit(train, spec, cfg)
-    save_model(spark, model, os.path.join(out_dir, "model"))
+    model = fit(train, spec, cfg, on_better=lambda m: save_model(spark, m, os.path.join(out_dir, "model")))
+    save_model(spark, model, os.path.join(out_dir, "model"))  # with the history of all epochs
     metrics = EV.evaluate(test, model).first().asDict()
     record = {"config": {**spec.to_dict(), **model.meta["config"]}, "feature_dims": schema.feature_dims(),
               "param_count": param_count(spec), "epoch_losses": [m for _, m, _ in model.meta["history"]],
@@ -64,15 +64,17 @@ def main(argv=None):
     p.add_argument("--batch_size", type=int, default=256)
     p.add_argument("--lr", type=float, default=1e-3)
     p.add_argument("--weight_decay", type=float, default=1e-5)
-    p.add_argument("--num_shards", type=int, default=4)
+    p.add_argument("--rows_per_shard", type=int, default=60_000)
+    p.add_argument("--averages_per_epoch", type=int, default=1)
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("cinerank-training-run").getOrCreate()
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, ship_package
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     tables = dat.load_tables(spark, args.data_dir) if args.data_dir else load_fixture(spark, args.sf_dir)
     spec = ModelSpec(args.model_type, args.embed_dim, args.hidden_dims, args.dropout)
     cfg = FitConfig(num_epochs=args.num_epochs, batch_size=args.batch_size, lr=args.lr,
-                    weight_decay=args.weight_decay, num_shards=args.num_shards)
+                    weight_decay=args.weight_decay, rows_per_shard=args.rows_per_shard, averages_per_epoch=args.averages_per_epoch)
     run_training(spark, *tables, out_dir=args.out_dir, spec=spec, cfg=cfg).show(truncate=False)
 
 

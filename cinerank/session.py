@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", app: str = "cinerank", extra: dict | N
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; name a shared folder for checkpoints on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="cinerank-ckpt-")
@@ -63,6 +64,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for sessions started outside its folder without
+    PYTHONPATH. Once per application; a cluster that installs the package doesn't need it."""
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    here = tempfile.mkdtemp(prefix="cinerank-ship-")  # on the driver; Spark copies it to the executors
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(here, "cinerank"), "zip", root, "cinerank"))
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the scratch output of this checkpoint folder, when no result that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), "scratch"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint in the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

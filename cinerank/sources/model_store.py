@@ -51,4 +51,7 @@ def load_model(spark: SparkSession, path: str) -> Model:
     spec = ModelSpec.from_dict(meta)
     rows = spark.read.parquet(os.path.join(path, "params")).collect()  # size of the network
     params = params_from_rows([r for r in rows if not r["name"].startswith("opt.")])
+    if meta.get("optimizer_step") is not None:
+        meta["optimizer"] = {kind: params_from_rows([{**r.asDict(), "name": r["name"][6:]} for r in rows if r["name"].startswith(f"opt.{kind}.")])
+                             for kind in ("m", "v")} | {"step": meta["optimizer_step"]}
     return Model(spec, params, meta)

@@ -13,17 +13,18 @@ from conftest import SF001
 
 def test_stream_matches_bulk_and_restart_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="cinerank-stream-")
-    req_dir, out_dir, ckpt = (os.path.join(base, n) for n in ("req", "out", "ckpt"))
+    req_dir, out_dir = (os.path.join(base, n) for n in ("req", "out"))
     reqs = load_requests(spark, SF001)
-    reqs.repartition(3, "request_id").write.json(req_dir)
+    os.makedirs(req_dir)
     movies = load_fixture(spark, SF001).movies
     model = fixed_model("ncf")
-    cols = ["request_id", "rank", "movie_id", "title", "genres", "predicted_rating"]
-    first = run_recommend_stream(spark, req_dir, movies, model, out_dir, ckpt).select(*cols)
-    bulk = R.recommend(reqs, movies, model).select(*cols)
-    assert first.count() == bulk.count() > 0
+    flat = lambda df: df.select("request_id", "status", "reject_reason", "zip_code", "top_n", F.to_json("items"))
+    assert run_recommend_stream(spark, req_dir, movies, model, out_dir).count() == 0  # no file has come yet
+    reqs.repartition(3).write.mode("append").json(req_dir)
+    first = flat(run_recommend_stream(spark, req_dir, movies, model, out_dir))
+    bulk = flat(R.recommend_responses(reqs, movies, model))
+    assert first.count() == bulk.count() == reqs.count() > 0
     assert first.exceptAll(bulk).count() == 0
-    # restart on the same checkpoint: no new files, so nothing is written twice
-    again = run_recommend_stream(spark, req_dir, movies, model, out_dir, ckpt).select(*cols)
-    assert again.count() == first.count()
-    assert again.groupBy("request_id", "rank").count().filter(F.col("count") > 1).count() == 0
+    # restart on the same output: no new files, so nothing is written twice
+    again = flat(run_recommend_stream(spark, req_dir, movies, model, out_dir))
+    assert again.count() == first.count() and again.exceptAll(bulk).count() == 0

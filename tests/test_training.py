@@ -4,6 +4,7 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cinerank.model.spec import ModelSpec
 from cinerank.model.train import FitConfig, fit
@@ -42,16 +43,51 @@ def test_fit_learns(spark, split01, model_type):
         assert abs(EV.evaluate(test, back).first()["rmse"] - rmse) < 1e-12
 
 
+SMALL = ModelSpec("ncf", embed_dim=8, hidden_dims=[8])
+
+
 def test_fit_is_deterministic(spark, split01):
+    """Equal parameters from two differently partitioned inputs, with rows that share a key."""
     train, _ = split01
-    small = train.limit(3000)
-    cfg = FitConfig(num_epochs=2, num_shards=2)
-    spec = ModelSpec("ncf", embed_dim=8, hidden_dims=[8])
-    shards = __import__("cinerank.model.train", fromlist=["prepare_shards"]).prepare_shards(small, 2)
-    a = fit(small, spec, cfg, shards=shards)
-    b = fit(small, spec, cfg, shards=shards)
+    small = train.orderBy(*S.RATING_KEY).limit(3000)
+    small = small.union(small.limit(50).withColumn("rating", F.col("rating") * 0 + 1)).cache()
+    cfg = FitConfig(num_epochs=2, rows_per_shard=800, averages_per_epoch=2)
+    a, b = (fit(small.repartition(n), SMALL, cfg) for n in (1, 7))
     for k in a.params:
-        assert np.allclose(a.params[k], b.params[k], atol=0, rtol=0), k
+        assert np.array_equal(a.params[k], b.params[k]), k
+
+
+def test_resume_equals_an_unbroken_run(spark, split01):
+    train, _ = split01
+    small = train.orderBy(*S.RATING_KEY).limit(2000).cache()
+    path = os.path.join(tempfile.mkdtemp(prefix="cinerank-model-"), "m")
+    stored = []
+
+    def keep(model):
+        stored.append(model.meta["epoch"])
+        if model.meta["epoch"] == 2:
+            save_model(spark, model, path)
+    whole = fit(small, SMALL, FitConfig(num_epochs=4, rows_per_shard=1000), on_better=keep)
+    assert stored[:2] == [1, 2]
+    resumed = fit(small, SMALL, FitConfig(num_epochs=4, rows_per_shard=1000), init=load_model(spark, path))
+    assert [tuple(h) for h in resumed.meta["history"]] == [tuple(h) for h in whole.meta["history"]]
+    assert all(np.array_equal(resumed.params[k], whole.params[k]) for k in whole.params)
+    assert resumed.meta["optimizer"]["step"] == whole.meta["optimizer"]["step"]
+
+
+def test_too_few_rows(spark, split01):
+    train, _ = split01
+    for n in (0, 1):
+        with pytest.raises(ValueError, match="cannot train"):
+            fit(train.limit(n), SMALL)
+    assert fit(train.limit(2), SMALL, FitConfig(num_epochs=1)).meta["epoch"] == 1
+
+
+def test_many_shards_reach_the_gate(spark, split01):
+    train, test = split01
+    n = train.count()
+    model = fit(train, ModelSpec("ncf"), FitConfig(rows_per_shard=n // 16, averages_per_epoch=4))
+    assert EV.evaluate(test, model).first()["rmse"] <= RMSE_GATE
 
 
 def test_load_model_rejects_metadata_without_feature_dims():
