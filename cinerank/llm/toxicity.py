@@ -12,7 +12,8 @@
    trained on the posterior labels. It scores whole texts; labels, language, source and id never enter.
 
 Counting covers all labelled training rows. The label model and the classifier are fitted on at most
-``fit_rows`` training rows in hash order (a documented bound: their features reach the driver). Everything is scored.
+``fit_rows`` training rows, whole hash ranges of them (a documented bound: their features, not their texts, reach the driver).
+Everything is scored.
 """
 
 from __future__ import annotations
@@ -216,9 +217,14 @@ def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100
             has = [sorted({at[f] for f in features_of(t) & at.keys()} | {i for p, i in patterns if t and p.search(t.lower())}) for t in batch["text"]]
             yield pd.DataFrame({"has": has, "toxic": batch["toxic"].astype("Int32")})
 
-    # The sample: labelled and unlabelled training rows in hash order, then equal rows counted.
-    sample = train.select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("text").alias("_h")).orderBy("_h").limit(fit_rows)
-    rows = sample.select("text", "toxic").mapInPandas(present, "has array<int>, toxic int")
+    # The sample: whole hash ranges (of 4,096) of labelled and unlabelled training rows, as many as fit; then equal rows counted.
+    ranges, size, last = F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 52), 0, -1
+    for r in sorted(train.groupBy(ranges.alias("r")).count().collect()):
+        if last >= 0 and size + r["count"] > fit_rows:
+            break
+        size, last = size + r["count"], r["r"]
+    sample = train.where(ranges <= last).select("text", F.col("toxic").cast("int").alias("toxic"))
+    rows = sample.mapInPandas(present, "has array<int>, toxic int")
     rows = rows.groupBy("has", "toxic").agg(F.count("*").alias("w")).orderBy("has", "toxic").collect()
     start = np.where(np.arange(len(names)) < len(LEXICON) + len(PATTERNS), 4.0, 0.0)  # what built-in voters weigh before any evidence
     if not rows:
