@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import encoders as E
+from ..session import cut_lineage
 
 
 def table_counts(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
@@ -97,7 +98,8 @@ def activity_histogram(ratings: DataFrame, bins: int = 50) -> DataFrame:
     Bin i (1-based) covers [lo + (i-1)w, lo + i w); the last bin is closed. When
     all sizes are equal the range is widened by 0.5 on both sides.
     """
-    sizes = _entity_sizes(ratings)
+    # How often each size occurs: computed once, as many rows as there are different sizes.
+    sizes = cut_lineage(_entity_sizes(ratings).groupBy("entity", "n").agg(F.count(F.lit(1)).alias("times")))
     rng = sizes.groupBy("entity").agg(F.min("n").alias("mn"), F.max("n").alias("mx")).select(
         "entity",
         F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn").cast("double")).alias("lo"),
@@ -107,7 +109,7 @@ def activity_histogram(ratings: DataFrame, bins: int = 50) -> DataFrame:
     idx = F.floor((F.col("n").cast("double") - F.col("lo")) * F.lit(float(bins)) / (F.col("hi") - F.col("lo")))
     counted = (sizes.join(F.broadcast(rng), "entity")
                .groupBy("entity", (F.least(idx, F.lit(bins - 1)) + 1).cast("int").alias("bin"))
-               .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+               .agg(F.sum("times").cast("bigint").alias("n")))
     grid = rng.select("entity", "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return (grid.join(counted, ["entity", "bin"], "left")

@@ -88,3 +88,23 @@ def test_genre_overlap(spark):
     df = spark.createDataFrame([(" Drama |Comedy", ["Drama"]), ("Action", ["Drama"]), (None, ["Drama"])],
                                "g string, w array<string>")
     assert [r[0] for r in df.select(E.genre_overlap("g", "w")).collect()] == [True, False, False]
+
+
+def test_load_tables_reads_what_write_dat_wrote(spark):
+    """All three tables, with Latin-1 titles, nulls and rows without a key (which are dropped)."""
+    d = tempfile.mkdtemp(prefix="cinerank-dat-")
+    tables = {"ratings": [(1, 2, 5.0, 978300760), (1, 3, 3.5, 0), (None, 3, 1.0, 1)],
+              "users": [(1, "F", 1, 10, "48067"), (2, "M", None, None, None), (None, "M", 1, 1, "x")],
+              "movies": [(1, "Café: l'été (1995)", "Drama|War"), (2, 'The "Quoted"', None), (None, "No id", "Drama")]}
+    for name, rows in tables.items():
+        dat.write_dat(spark.createDataFrame(rows, dat.SCHEMAS[name]), os.path.join(d, dat.FILE_NAMES[name]))
+    got = dat.load_tables(spark, d)
+    for name, df in zip(("ratings", "users", "movies"), got):
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(tables[name][:2], key=repr)
+
+
+@pytest.mark.parametrize("title", ["A::B", "日本", "a\nb", ":a", "a:"])
+def test_write_dat_fails_on_what_it_cannot_hold(spark, title):
+    df = spark.createDataFrame([(1, title, "Drama")], schema.MOVIES_SCHEMA)
+    with pytest.raises(Exception, match="can't be written"):
+        dat.write_dat(df, os.path.join(tempfile.mkdtemp(prefix="cinerank-dat-"), "m.dat"))
