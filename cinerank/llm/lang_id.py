@@ -40,6 +40,18 @@ def _letter(code: int, dim: int, seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([seed, int(code)])).integers(0, 2, dim).astype(np.float32) * 2 - 1
 
 
+def _distinct(x: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """np.unique with its inverse for numbers from 0 to ``top``: by a table where that is small, without sorting."""
+    if top > 1 << 22:
+        return np.unique(x, return_inverse=True)
+    seen = np.zeros(top + 1, bool)
+    seen[x] = True
+    found = np.flatnonzero(seen)
+    at = np.empty(top + 1, np.int32)
+    at[found] = np.arange(len(found), dtype=np.int32)
+    return found, at[x]
+
+
 class Bundler:
     """Turns texts into bundled n-gram vectors; keeps the letter vectors it has drawn."""
 
@@ -64,7 +76,7 @@ class Bundler:
         """Adds the n-grams of each part (row of out, code points) to its row."""
         codes = np.concatenate([p for _, p in parts])
         rows = np.repeat([i for i, _ in parts], [len(p) for _, p in parts])
-        alphabet, at = np.unique(codes, return_inverse=True)
+        alphabet, at = _distinct(codes, int(codes.max()))
         key = np.zeros(len(codes) - self.n + 1, np.int64)
         for place in range(self.n):
             key = key * len(alphabet) + at[place:len(key) + place]
@@ -78,9 +90,9 @@ class Bundler:
         key, rows = key[whole], rows[:len(whole)][whole]
         if not len(key):
             return
-        found, gram = np.unique(key, return_inverse=True)
+        found, gram = _distinct(key, len(alphabet) ** self.n - 1)
         spelled = np.stack([alphabet[found // len(alphabet) ** (self.n - 1 - p) % len(alphabet)] for p in range(self.n)], axis=1)
-        used, row = np.unique(rows, return_inverse=True)
+        used, row = _distinct(rows, int(rows[-1]))
         step = 8192
         for i in range(0, len(found), step):  # bounded: step n-gram vectors at a time
             here = (gram >= i) & (gram < i + step)
