@@ -19,6 +19,7 @@ Everything is scored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,8 @@ PATTERNS = (r"\byou(?:'re| are) (?:an? |so |such an? )?(?:fool|idiot|moron|joke|
             r"\bi hate you\b", r"\bhalt die klappe\b", r"\bferme ta gueule\b", r"\bcállate\b", r"\bhijo de puta\b", r"\bkill yourself\b")
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
+#: Slots of the bitmap that tells which features are worth counting among clean rows.
+MARKS = 1 << 24
 
 
 def features_of(text: str | None) -> set[str]:
@@ -60,40 +63,68 @@ def family(text: str | None, run: int = 5) -> int:
     return int(h.min().view(np.int64)) if len(h) else 0
 
 
-def found_features(labelled: DataFrame, z: float = 3.0, most: int = 20_000) -> DataFrame:
-    """(feature, toxic, clean): in how many families of toxic and clean documents each feature occurs, for
-    features that enough toxic ones have. ``labelled`` has text and toxic (0/1); all its rows are counted."""
+class Among(dict):
+    """Whether a feature's crc32 is marked in a bitmap, remembered per feature (for the latest ones)."""
+
+    def __init__(self, marks: bytes):
+        super().__init__()
+        self.marks = marks
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        slot = zlib.crc32(feature.encode("utf-8", "replace")) % MARKS
+        self[feature] = yes = self.marks[slot >> 3] >> (slot & 7) & 1
+        return yes
+
+
+def marks_of(features: DataFrame) -> bytes:
+    """A bitmap with the slot of each row's feature set (at most MARKS / 64 numbers reach the driver)."""
+    slot = F.crc32(F.col("feature").cast("binary")) % MARKS
+    words = features.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
+    out = np.zeros(MARKS // 64, "<i8")
+    for r in words.collect():
+        out[r["at"]] = r["bits"]
+    return out.tobytes()
+
+
+def found_features(labelled: DataFrame, z: float = 3.0) -> DataFrame:
+    """(feature, toxic, clean, bound): in how many families of toxic and clean documents each feature occurs and the lower
+    bound of the toxic share, for all features where that is over one half. ``labelled`` has text and toxic (0/1); all
+    its rows are counted. The clean side is counted for what enough toxic families have: a bitmap leaves out most other
+    features early, the join leaves out the rest."""
     least = int(np.floor(z * z)) + 1  # with fewer witnesses no bound reaches one half
 
-    def spelled(only: set[str] | None):
+    def spelled(marks: bytes | None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            among = None if marks is None else Among(marks)
             for batch in batches:
                 for i in range(0, len(batch), 256):
                     names, kin = [], []
                     for text in batch["text"].iloc[i:i + 256]:
                         has = features_of(text)
-                        if only is not None:
-                            has &= only
+                        if among is not None:
+                            has = [f for f in has if among[f]]
                         names += has
                         kin += [family(text)] * len(has) if has else []
                     yield pd.DataFrame({"feature": pd.Series(names, dtype=object), "family": np.array(kin, np.int64)})
         return run
 
-    def counted(rows: DataFrame, only: set[str] | None, name: str) -> DataFrame:
-        rows = rows.select("text").mapInPandas(spelled(only), "feature string, family long").distinct()
+    def counted(rows: DataFrame, marks: bytes | None, name: str) -> DataFrame:
+        rows = rows.select("text").mapInPandas(spelled(marks), "feature string, family long").distinct()
         return rows.groupBy("feature").agg(F.count("*").alias(name))
 
-    toxic = counted(labelled.where("toxic = 1"), None, "toxic").where(F.col("toxic") >= least)
-    toxic = written(toxic.orderBy(F.desc("toxic"), "feature").limit(most), "toxicity-features")
-    names = {r["feature"] for r in toxic.collect()}  # at most ``most``
-    clean = counted(labelled.where("toxic = 0"), names, "clean")
-    return toxic.join(clean, "feature", "left").fillna(0, ["clean"])
+    toxic = written(counted(labelled.where("toxic = 1"), None, "toxic").where(F.col("toxic") >= least), "toxicity-features")
+    clean = counted(labelled.where("toxic = 0"), marks_of(toxic), "clean")
+    counts = toxic.join(clean, "feature", "left").fillna(0, ["clean"])
+    return counts.withColumn("bound", lower_bound(F.col("toxic"), F.col("toxic") + F.col("clean"), z)).where("bound > 0.5")
 
 
-def lower_bound(k: np.ndarray, n: np.ndarray, z: float) -> np.ndarray:
+def lower_bound(k: Column, n: Column, z: float) -> Column:
     """Wilson's lower confidence bound of k / n."""
-    p = k / np.maximum(n, 1)
-    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    p = k / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
 @dataclass
@@ -205,9 +236,7 @@ class ToxicityModel:
 def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100_000) -> ToxicityModel:
     """From (text, toxic 0/1 or null): all rows of ``train`` may be learned from."""
     counts = found_features(train.where("toxic is not null"), z).toPandas()
-    k, n = counts["toxic"].to_numpy(float), (counts["toxic"] + counts["clean"]).to_numpy(float)
-    counts["bound"] = lower_bound(k, n, z) if len(counts) else []
-    found = counts[counts["bound"] > 0.5].sort_values(["bound", "toxic", "feature"], ascending=[False, False, True])["feature"].tolist()
+    found = counts.sort_values(["bound", "toxic", "feature"], ascending=[False, False, True])["feature"].tolist()
     names = [*LEXICON, *PATTERNS, *[f for f in found if f not in LEXICON]]
     at = {f: i for i, f in enumerate(names)}
     patterns = [(re.compile(p), at[p]) for p in PATTERNS]

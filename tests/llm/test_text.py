@@ -10,7 +10,7 @@ import brute
 from cinerank.llm.lang_id import held_out, language_id
 from cinerank.llm.mixing import mix, source_targets
 from cinerank.llm.packing import best_fit_decreasing, lower_bound, pack, pack_documents
-from cinerank.llm.toxicity import fit_label_model, toxicity
+from cinerank.llm.toxicity import fit_label_model, found_features, toxicity
 from cinerank.llm.url_filter import url_filter
 from cinerank.llm.word_tokens import WordTokens
 
@@ -76,6 +76,18 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity(brute.empty(spark), none).collect() == []
 
 
+def test_toxicity_counts_every_feature_before_the_bound(spark):
+    """A purely toxic word of 12 families is found behind 20,500 words that more toxic families, and as many clean ones, have."""
+    rng, rows = np.random.default_rng(9), []
+    for part in range(41):
+        words = [f"{chr(97 + part % 26)}{chr(97 + part // 26)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)]
+        rows += [(" ".join(rng.permutation(words)), toxic) for _ in range(14) for toxic in (0, 1)]
+    rows += [(f"{chr(97 + i)}pp grubzik", 1) for i in range(12)]
+    got = {r.feature: (r.toxic, r.clean) for r in found_features(spark.createDataFrame(rows, "text string, toxic int").repartition(8)).collect()}
+    assert got["grubzik"] == got["grub*"] == (12, 0)
+    assert not any(f in got for f in ("aaaa", "bcde", "obbb"))
+
+
 def test_label_model_sees_through_copied_votes():
     """Voters that copy one another count about as one of them."""
     rng = np.random.default_rng(7)
