@@ -1,12 +1,14 @@
-"""Embedding near-duplicates by iterative quantisation and multi-index Hamming tables.
+"""Embedding near-duplicates by iterative quantisation and tables of code bytes.
 
 Vectors are centred, projected on their principal directions and turned by a rotation that is
-learned (iterative quantisation) so that the signs form balanced binary codes of up to 64 bits.
-A code is cut into 16-bit parts, one table each: two vectors are candidates when they agree
-in some part up to one bit, which all pairs within 7 differing bits do. Two parts within one bit
-share their upper or their lower byte, so each vector is dealt to two buckets per table,
-(upper byte) and (lower byte), instead of to its part and 16 flipped ones. Candidates are reranked
-by the cosine of the original vectors in double precision.
+learned (iterative quantisation) so that the signs form balanced binary codes of up to 64 bits. Two
+vectors are candidates when they agree in some byte of their codes: each vector is dealt to one
+bucket per byte. Candidates are reranked by the cosine of the original vectors in double precision.
+
+How often a pair at the threshold agrees in a byte depends on the data: where all vectors share a
+strong common part, what is left of a pair after centring is far apart. So it is estimated on a sample, and
+codes of further rotations are appended until RECALL of such pairs meet. Where that takes over MOST bytes, buckets
+would be dearer than all pairs: then all vectors of a label are compared.
 
 Equal vectors of a label are one class with a count. A bucket of more than ``block`` classes is
 split: each block is a work item, past which the classes of earlier blocks stream. A
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import components, forest, written
 
-BITS, PART = 64, 16
+BITS = 64
+#: Share of pairs at the threshold that must meet by estimate, and the number of code bytes past which all pairs are compared.
+RECALL, MOST = 0.95, 64
 
 
 def learn_rotation(x: np.ndarray, rounds: int = 50, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -54,32 +58,50 @@ def _matrix(vectors, dim: int) -> np.ndarray:
     return out
 
 
-def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    bits = (x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ projection >= 0
-    out = np.zeros(len(x), np.uint64)
-    for i in range(bits.shape[1]):
-        out |= bits[:, i].astype(np.uint64) << np.uint64(i)
-    return out
-
-
-def _first_bucket(a: np.ndarray, b: np.ndarray, tables: int) -> np.ndarray:
-    """Number (2 * table + half) of the first bucket in which each pair of codes meets; -1 if none."""
-    differ, out = a ^ b, np.full(len(a), -1)
-    for t in reversed(range(tables)):
-        part = (differ >> np.uint64(PART * t)) & np.uint64(0xFFFF)
-        near = np.bitwise_count(part) <= 1
-        out = np.where(near, 2 * t + (part >= 256), out)  # half 0: upper bytes agree
-    return out
-
-
-def _links(items: Iterator[pd.DataFrame], threshold: float, dim: int, tables: int) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (bucket, item, visiting): (a, b, n): class a has n links more, or a star a-b (n = 0)."""
+def codes(x: np.ndarray, mean: np.ndarray, projections: list[np.ndarray]) -> np.ndarray:
+    """Code bytes, a row per vector; without a projection one byte that all share."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) - mean
+    return np.concatenate([np.packbits(x @ p >= 0, axis=1) for p in projections] or [np.zeros((len(x), 1), np.uint8)], axis=1)
+
+
+def pairs_at(x: np.ndarray, threshold: float, n: int = 4096, seed: int = 43) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` (unit vectors) and each turned towards another row until their cosine is ``threshold``:
+    such pairs differ in the directions in which the data does."""
+    i, j = np.random.default_rng(seed).integers(len(x), size=(2, n))
+    aside = x[j] - (x[i] * x[j]).sum(axis=1, keepdims=True) * x[i]
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    some = size[:, 0] > 1e-6
+    left, aside = x[i][some], aside[some] / size[some]
+    return left, threshold * left + np.sqrt(max(0.0, 1 - threshold * threshold)) * aside
+
+
+def learn_tables(x: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(mean, projections) whose code bytes let RECALL of the pairs at the threshold meet; no projection: compare all pairs."""
+    left, right = pairs_at(x, threshold)
+    projections, apart, width = [], np.ones(len(left), bool), 0
+    while True:
+        if not projections:
+            mean, projection = learn_rotation(x)
+        else:
+            projection = learn_rotation(x[:20_000], rounds=20, seed=42 + len(projections))[1]
+        width += -(-projection.shape[1] // 8)
+        if width > MOST:
+            return mean, []
+        projections.append(projection)
+        apart &= (codes(left, mean, [projection]) != codes(right, mean, [projection])).all(axis=1)
+        if not len(left) or apart.mean() <= 1 - RECALL:
+            return mean, projections
+
+
+def _links(items: Iterator[pd.DataFrame], threshold: float, dim: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by (place, byte, item, visiting): (a, b, n): class a has n links more, or a star a-b (n = 0)."""
     key, own = None, None
     for batch in items:
         x, n = _matrix(batch["v"].tolist(), dim), batch["n"].to_numpy()
         size, cid = np.linalg.norm(x, axis=1), batch["cid"].to_numpy()
-        code, half, visiting = batch["code"].to_numpy().view(np.uint64), batch["half"].to_numpy(), batch["visiting"].to_numpy()
-        same = [batch[c].to_numpy() for c in ("group", "half", "byte", "item", "visiting")]
+        code = np.frombuffer(b"".join(batch["code"]), np.uint8).reshape(len(batch), -1)
+        place, visiting = batch["place"].to_numpy(), batch["visiting"].to_numpy()
+        same = [batch[c].to_numpy() for c in ("group", "place", "byte", "item", "visiting")]
         cut = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in same])) + 1
         gained, a, b = {}, [], []
 
@@ -90,8 +112,9 @@ def _links(items: Iterator[pd.DataFrame], threshold: float, dim: int, tables: in
                 r, l = np.nonzero(xr @ xl.T >= threshold * sr[:, None] * sl[None, :])
                 keep = (l < r + i) if inside else np.ones(len(r), bool)
                 r, l = r[keep], l[keep]
-                keep = _first_bucket(cr[r], cl[l], tables) == bucket
-                r, l = r[keep], l[keep]
+                for earlier in range(bucket):  # a pair counts in the first place where its bytes agree
+                    keep = cr[r, earlier] != cl[l, earlier]
+                    r, l = r[keep], l[keep]
                 if len(r):
                     for k, w in ((kr[r], nl[l]), (kl[l], nr[r])):
                         u, at = np.unique(k, return_inverse=True)
@@ -108,9 +131,9 @@ def _links(items: Iterator[pd.DataFrame], threshold: float, dim: int, tables: in
             if key != now:
                 key, own = now, None
             if own is not None:
-                compare(own, part, False, int(half[i]))
+                compare(own, part, False, int(place[i]))
             if not visiting[i]:
-                compare(part, part, True, int(half[i]))
+                compare(part, part, True, int(place[i]))
                 own = part if own is None else tuple(np.concatenate(c) for c in zip(own, part))
         if gained:
             u, v = forest(np.concatenate(a), np.concatenate(b))
@@ -145,26 +168,24 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.93, block: int = 20
                            F.col("vec_id").isNotNull().alias("kept"))
     sample = classes.orderBy(F.xxhash64("cid"), "cid").select("v").limit(max(1, fit_numbers // dim)).collect()
     x = _matrix([r["v"] for r in sample], dim)
-    mean, projection = learn_rotation(x / np.linalg.norm(x, axis=1, keepdims=True))
-    tables = -(-projection.shape[1] // PART)
+    mean, projections = learn_tables(x / np.linalg.norm(x, axis=1, keepdims=True), threshold)
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["code"] = codes(_matrix(batch["v"].tolist(), dim), mean, projection).view(np.int64)
-            yield batch[["cid", "group", "n", "v", "code"]]
+            code = codes(_matrix(batch["v"].tolist(), dim), mean, projections)
+            batch["code"], batch["bytes"] = [c.tobytes() for c in code], code.astype(np.int32).tolist()
+            yield batch[["cid", "group", "n", "v", "code", "bytes"]]
 
-    dealt = classes.select("cid", "group", "n", "v").mapInPandas(coded, "cid long, group long, n long, v array<double>, code long")
-    buckets = [F.struct(F.lit(2 * t + lower).alias("half"), F.shiftrightunsigned("code", PART * t + 8 * (1 - lower)).bitwiseAND(F.lit(255)).alias("byte"))
-               for t in range(tables) for lower in (0, 1)]
-    dealt = dealt.select("*", F.explode(F.array(*buckets)).alias("_b")).select("cid", "group", "n", "v", "code", "_b.half", "_b.byte")
+    dealt = classes.select("cid", "group", "n", "v").mapInPandas(coded, "cid long, group long, n long, v array<double>, code binary, bytes array<int>")
+    dealt = dealt.select("cid", "group", "n", "v", "code", F.posexplode("bytes").alias("place", "byte"))
     # Buckets with more than one block (few): their classes visit the later blocks.
-    large = dealt.groupBy("group", "half", "byte").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
-    dealt = dealt.join(written(large, "embedding-buckets"), ["group", "half", "byte"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    large = dealt.groupBy("group", "place", "byte").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = dealt.join(written(large, "embedding-buckets"), ["group", "place", "byte"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     items = dealt.withColumn("_own", own).select("*", F.explode(F.sequence("_own", F.col("blocks") - 1)).alias("item"))
     items = items.withColumn("visiting", F.col("item") > F.col("_own")).drop("_own", "blocks")
-    items = items.repartition("group", "half", "byte", "item").sortWithinPartitions("group", "half", "byte", "item", "visiting")
-    found = written(items.mapInPandas(lambda it: _links(it, threshold, dim, tables), "a long, b long, n long"), "embedding-links")
+    items = items.repartition("group", "place", "byte", "item").sortWithinPartitions("group", "place", "byte", "item", "visiting")
+    found = written(items.mapInPandas(lambda it: _links(it, threshold, dim), "a long, b long, n long"), "embedding-links")
 
     degrees = found.where("n > 0").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("linked"))
     roots = components(found.where("n = 0"), "embedding")

@@ -194,6 +194,25 @@ def test_embedding_recall_near_the_threshold(spark):
     assert all(r.n_links <= allowed[r.vec_id] for r in got)
 
 
+@pytest.mark.parametrize("dim, common", [(64, 0.0), (64, 0.5), (64, 0.8), (16, 0.0), (16, 0.6), (6, 0.0)])
+def test_embedding_recall_with_a_common_mean_and_few_dimensions(spark, dim, common):
+    """Pairs at cosine 0.93 to 0.94 of vectors in which one common direction holds the share ``common`` of the squared norm."""
+    rng = np.random.default_rng(10)
+    same, rows, wanted = rng.normal(size=dim), [], {}
+    same /= np.linalg.norm(same)
+    aside = lambda v, *of: np.linalg.qr(np.stack([*of, v]).T)[0][:, -1]
+    for i in range(1200):
+        own = aside(rng.normal(size=dim), same)
+        turn = (rng.uniform(0.93, 0.94) - common) / (1 - common)
+        other = turn * own + np.sqrt(1 - turn * turn) * aside(rng.normal(size=dim), same, own)
+        rows += [(2 * i + k, (np.sqrt(common) * same + np.sqrt(1 - common) * v).tolist(), i // 8) for k, v in enumerate((own, other))]
+    df = vectors(spark, rows, False)
+    want, links = brute_vectors(rows)
+    got = {r.vec_id: r.n_links for r in embedding_dedup(df).collect()}
+    assert links >= 1100 and 0.9 * links <= sum(got.values()) / 2 <= links
+    assert all(got[r[0]] <= r[1] for r in want)
+
+
 def test_embeddings_empty_and_few_dimensions(spark):
     assert embedding_dedup(vectors(spark, [])).collect() == []
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (3, [0.0, 1.0], 1)]
