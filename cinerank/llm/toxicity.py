@@ -12,7 +12,8 @@
    trained on the posterior labels. It scores whole texts; labels, language, source and id never enter.
 
 Counting covers all labelled training rows. The label model and the classifier are fitted on at most
-``fit_rows`` training rows, whole hash ranges of them (a documented bound: their features, not their texts, reach the driver).
+``fit_rows`` distinct training texts, weighted by their copies: whole hash ranges of the labelled and of the unlabelled ones
+(a documented bound: their features, not their texts, reach the driver).
 Everything is scored.
 """
 
@@ -233,6 +234,38 @@ class ToxicityModel:
         return run(text)
 
 
+def hash_of(text: Column) -> Column:
+    """The hash by which the fitting sample is drawn: 0 to 2^60 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(text, F.lit(7)), 4)
+
+
+def sample_cuts(train: DataFrame, most: int) -> tuple[int, int]:
+    """Hashes below which labelled and unlabelled rows are in the fitting sample, at most ``most`` (text, label) of them
+    together, copies counted once. Either kind may take half of that, and what the other leaves. Whole hash ranges (of 4,096) are taken;
+    where not even the first fits, it is cut into as many again."""
+    known = F.col("toxic").isNotNull().alias("known")
+    once = written(train.select(hash_of(F.col("text")).alias("h"), "toxic", known).distinct().select("h", "known"), "toxicity-hashes")
+    sizes = {r["known"]: r["count"] for r in once.groupBy("known").count().collect()}
+
+    def cut(kind: bool, bound: int) -> int:
+        low, size = 0, 0
+        for shift in (48, 36, 24, 12, 0):
+            at = F.shiftright(F.col("h") - low, shift)
+            for r in sorted(once.where((F.col("known") == kind) & (at >= 0) & (at < 4096)).groupBy(at.alias("r")).count().collect()):
+                if size + r["count"] > bound:
+                    break
+                size += r["count"]
+            else:
+                return 1 << 60
+            low += r["r"] << shift
+            if size:
+                break
+        return low
+
+    of, half = [sizes.get(kind, 0) for kind in (True, False)], most // 2
+    return cut(True, max(half, most - of[1])), cut(False, max(half, most - of[0]))
+
+
 def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100_000) -> ToxicityModel:
     """From (text, toxic 0/1 or null): all rows of ``train`` may be learned from."""
     counts = found_features(train.where("toxic is not null"), z).toPandas()
@@ -246,14 +279,9 @@ def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100
             has = [sorted({at[f] for f in features_of(t) & at.keys()} | {i for p, i in patterns if t and p.search(t.lower())}) for t in batch["text"]]
             yield pd.DataFrame({"has": has, "toxic": batch["toxic"].astype("Int32")})
 
-    # The sample: whole hash ranges (of 4,096) of labelled and unlabelled training rows, as many as fit; then equal rows counted.
-    ranges, size, last = F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 52), 0, -1
-    for r in sorted(train.groupBy(ranges.alias("r")).count().collect()):
-        if last >= 0 and size + r["count"] > fit_rows:
-            break
-        size, last = size + r["count"], r["r"]
-    sample = train.where(ranges <= last).select("text", F.col("toxic").cast("int").alias("toxic"))
-    rows = sample.mapInPandas(present, "has array<int>, toxic int")
+    labelled, unlabelled = sample_cuts(train, fit_rows)
+    sample = train.where(hash_of(F.col("text")) < F.when(F.col("toxic").isNotNull(), F.lit(labelled)).otherwise(F.lit(unlabelled)))
+    rows = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInPandas(present, "has array<int>, toxic int")
     rows = rows.groupBy("has", "toxic").agg(F.count("*").alias("w")).orderBy("has", "toxic").collect()
     start = np.where(np.arange(len(names)) < len(LEXICON) + len(PATTERNS), 4.0, 0.0)  # what built-in voters weigh before any evidence
     if not rows:

@@ -10,7 +10,7 @@ import brute
 from cinerank.llm.lang_id import held_out, language_id
 from cinerank.llm.mixing import mix, source_targets
 from cinerank.llm.packing import best_fit_decreasing, lower_bound, pack, pack_documents
-from cinerank.llm.toxicity import fit_label_model, found_features, toxicity
+from cinerank.llm.toxicity import fit_label_model, found_features, hash_of, sample_cuts, toxicity
 from cinerank.llm.url_filter import url_filter
 from cinerank.llm.word_tokens import WordTokens
 
@@ -88,6 +88,20 @@ def test_toxicity_counts_every_feature_before_the_bound(spark):
     assert not any(f in got for f in ("aaaa", "bcde", "obbb"))
 
 
+def test_toxicity_sample_counts_copies_once_and_labelled_rows_apart(spark):
+    """A text of 500 copies neither ends the sample nor fills it, and unlabelled rows don't push labelled ones out."""
+    rows = [(f"w{i}", i % 2 if i < 300 else None) for i in range(2000)]
+    hot = spark.createDataFrame(rows, "text string, toxic int").orderBy(hash_of(F.col("text"))).first().text
+    df = spark.createDataFrame(rows + [(hot, 1)] * 500 + [(None, None)] * 500, "text string, toxic int")
+    labelled, unlabelled = sample_cuts(df, 400)
+    taken = df.distinct().withColumn("h", hash_of(F.col("text")))
+    n = [taken.where(F.col("toxic").isNotNull() & (F.col("h") < labelled)).count(), taken.where(F.col("toxic").isNull() & (F.col("h") < unlabelled)).count()]
+    assert 190 <= n[0] <= 200 and 190 <= n[1] <= 200
+    assert sample_cuts(df, 10_000) == (1 << 60, 1 << 60)
+    few = sample_cuts(df.where("toxic is null"), 1)
+    assert taken.where(F.col("toxic").isNull() & (F.col("h") < few[1])).count() == 1
+
+
 def test_label_model_sees_through_copied_votes():
     """Voters that copy one another count about as one of them."""
     rng = np.random.default_rng(7)
