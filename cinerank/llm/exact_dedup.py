@@ -9,15 +9,17 @@ stays, and the size of the group. A group is combined before the shuffle, so cop
 one text cost one row per map task. Stopping and starting again resumes from the
 checkpoint; later batches meet the digests of all earlier ones.
 
-A digest that occurs again is a hit: the full bytes of hits are fetched by locator and
-compared (smallest against largest text of each digest, again combined before the
+A digest that occurs again is a hit: the full bytes of hits are fetched by locator, those of earlier
+batches from the files that the log names, and compared (smallest against largest text of each digest, again combined before the
 shuffle). Texts that share a digest without being equal are then separated by text.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import SPACE, stored, with_locator, written
 
-LOG = "digest string, n_points long, no_id boolean, doc_id long, _file long, _row long"
+LOG = "digest string, n_points long, no_id boolean, doc_id long, _file long, _row long, path string, call string"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -93,17 +95,28 @@ def exact_dedup(docs: DataFrame, state: DedupState | None = None, digest: Callab
     before, the result has the rows of this call, judged against all documents so far.
     """
     spark = docs.sparkSession
-    state = state or DedupState(spark)
-    located = with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    continued, state, call = state is not None, state or DedupState(spark), uuid.uuid4().hex
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    located = with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), text, F.col("_metadata.file_path").alias("path"))
     norm = normalised(F.col("text"))
     log = located.select(digest(norm).alias("digest"), F.length("text").cast("long").alias("n_points"),
-                         F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")
+                         F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row", "path", F.lit(call).alias("call"))
     state.add(log)
     groups = written(state.groups(), "exact-dedup-groups")
-    rows = state.log().join(groups, "digest")
+    everything = state.log().join(groups, "digest")
+    rows = everything.where(F.col("call") == call)
     # Hits: full bytes of every group of two or more, by locator.
     members = rows.where("n > 1").select("_file", "_row", "digest")
-    texts = located.join(members, ["_file", "_row"]).select("digest", "doc_id", "text", norm.alias("norm"), "_file", "_row")
+    texts = located.join(members, ["_file", "_row"]).select("digest", "doc_id", "text", norm.alias("norm"), "_file", "_row", F.lit(True).alias("now"))
+    if continued:  # and of their members from earlier calls, from their files
+        earlier = everything.where((F.col("n") > 1) & (F.col("call") != call)).join(members.select("digest").distinct(), "digest", "left_semi")
+        earlier = written(earlier.select("digest", "doc_id", "_file", "_row", "path"), "exact-dedup-earlier")
+        paths = [r["path"] for r in earlier.select("path").distinct().collect()]  # files, not rows; as URIs
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(p)) for p in paths]
+        if paths:
+            before = with_locator(spark.read.schema(f"`{text_col}` string").parquet(*paths), text)
+            before = before.join(earlier, ["_file", "_row"]).select("digest", "doc_id", "text", norm.alias("norm"), "_file", "_row", F.lit(False).alias("now"))
+            texts = texts.unionByName(before)
     clash = written(texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
                     .where("low <> high").select("digest"), "exact-dedup-clashes")
     strong = digest is sha256
@@ -113,7 +126,7 @@ def exact_dedup(docs: DataFrame, state: DedupState | None = None, digest: Callab
         best = F.min(F.struct((-F.length("text")).cast("long").alias("neg_points"), F.col("doc_id").isNull().alias("no_id"),
                               "doc_id", "_file", "_row"))
         apart = mixed.groupBy("digest", "norm").agg(best.alias("best"), F.count("*").alias("n"))
-        again = mixed.select("digest", "norm", "doc_id", "_file", "_row").join(apart, ["digest", "norm"])
+        again = mixed.where("now").select("digest", "norm", "doc_id", "_file", "_row").join(apart, ["digest", "norm"])
         decided = decided.join(clash, "digest", "left_anti").unionByName(again.drop("norm"))
     out = decided.select(F.col("doc_id").alias(id_col), F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
                          ((F.col("_file") == F.col("best._file")) & (F.col("_row") == F.col("best._row"))).alias("kept"),

@@ -105,6 +105,22 @@ def test_exact_state_goes_on(spark, tmp_path):
     assert got == {(sha, keep, n) for (_, keep, n, sha) in brute.exact(rows)}
 
 
+@pytest.mark.parametrize("width", [1, 64])
+def test_exact_earlier_batches_meet_on_full_bytes(spark, tmp_path, width):
+    """Of two batches in one state the second call returns its own rows, and a text that only shares an earlier one's digest is new."""
+    rows = rows_of(brute.awkward(spark, clashes=False)) + [(7000 + i, f"only the second batch says {i}") for i in range(40)]
+    state, got = DedupState(spark, scratch_path(spark, "state-test")), []
+    for i, part in enumerate((rows[:9], rows[9:])):
+        path = str(tmp_path / f"p {i}")
+        spark.createDataFrame(part, "doc_id long, text string").write.parquet(path)
+        got = exact_dedup(spark.read.parquet(path), state, digest=sha256 if width == 64 else lambda norm: F.substring(sha256(norm), 1, 1)).collect()
+    groups = {sha: (keep, n) for _, keep, n, sha in brute.exact(rows)}
+    want = Counter()
+    for (doc_id, _, _, sha), n in brute.exact(rows[9:]).items():
+        want[(doc_id, *groups[sha], sha)] += n
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+
+
 def check_substring(df, **how):
     got = Counter(tuple(r) for r in substring_dedup(df, **how).collect())
     assert got == brute.substring(rows_of(df), how.get("window", 35))
