@@ -6,7 +6,8 @@ blocks of ``block`` words. The mix is a number of output shards of block slots:
 * targets: sources, ordered by code point (null last), weigh 1, 2, 3 and so on in turn, and
   share the total size by weight; a target stops at ``cap`` times its source's size and what
   is above is shared again by weight (solved at once by sorting sources by cap per weight);
-* quota: the number of slots that brings a source's words nearest to its target;
+* quota: the number of slots that a source's target takes, the last of them partial: it takes only the
+  words of its block that are left of the target;
 * draws: each shard draws its multinomial source counts, one hashed uniform number a slot, with
   the quotas' shares as probabilities; summed over all shards a source may be drawn a little too
   often or too seldom, so the surplus of the last shards goes to the sources that fell short, and every
@@ -90,8 +91,11 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     n_blocks = F.ceil(F.col("source_size") / block)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - epochs * F.col("source_size")
-    sources = written(sources.withColumn("n_blocks", n_blocks.cast("long")).withColumn(
-        "quota", (epochs * n_blocks + F.least(F.round(rest / block), n_blocks)).cast("long")), "mix-sources")
+    rest = F.round(F.coalesce(rest, F.lit(0.0))).cast("long")
+    partial = F.ceil(F.col("rest") / block)
+    sources = sources.withColumn("n_blocks", n_blocks.cast("long")).withColumn("rest", rest).withColumn("quota", (epochs * n_blocks + partial).cast("long"))
+    sources = written(sources.withColumn("last", F.when(F.col("rest") > 0, F.col("rest") - (partial - 1) * block).otherwise(block).cast("long"))
+                      .drop("rest"), "mix-sources")
     slots = int(sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0])
 
     # Documents' places in their sources, and their parts by block.
@@ -105,7 +109,8 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     parts = placed.withColumn("_c", outer).withColumn("block", inner)
     begin = F.greatest(F.col("_start"), F.col("block") * block)
     end = F.least(F.col("_start") + F.col("size"), (F.col("block") + 1) * block)
-    parts = parts.select("sid", "block", "doc_id", "_file", "_row", (begin - F.col("_start")).alias("from"), (end - begin).alias("length"))
+    parts = parts.select("sid", "block", "doc_id", "_file", "_row", (begin - F.col("_start")).alias("from"), (end - begin).alias("length"),
+                         (begin - F.col("block") * block).alias("_at"))
 
     # The permutation: blocks ranked by a keyed hash, in buckets of its top bits.
     outer, inner = _numbers(F.lit(0).cast("long"), F.col("n_blocks") - 1)
@@ -141,11 +146,13 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     short = short.withColumn("_lo", F.col("_hi") - F.col("quota") + F.col("_had"))
     short = short.select("sid", "_had", "_lo", F.explode(F.sequence("_lo", F.col("_hi") - 1)).alias("_r"))
     filled = over.hint("merge").join(short, "_r").select("shard", "sid", (F.col("_had") + F.col("_r") - F.col("_lo")).alias("k"))
-    taken = kept.unionByName(filled).join(sources.select("sid", "source", "n_blocks"), "sid").select(
-        "shard", "sid", "source", F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"), (F.col("k") % F.col("n_blocks")).alias("index"))
+    taken = kept.unionByName(filled).join(sources.select("sid", "source", "n_blocks", "quota", "last"), "sid").select(
+        "shard", "sid", "source", F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"), (F.col("k") % F.col("n_blocks")).alias("index"),
+        F.when(F.col("k") == F.col("quota") - 1, F.col("last")).otherwise(block).alias("_most"))
 
-    placements = written(taken.hint("merge").join(blocks, ["sid", "index"]).hint("merge").join(parts.hint("merge"), ["sid", "block"]).select(
-        "shard", "source", "epoch", "block", "doc_id", "_file", "_row", "from", "length"), "mix-placements")
+    placed = taken.hint("merge").join(blocks, ["sid", "index"]).hint("merge").join(parts.hint("merge"), ["sid", "block"])
+    placements = written(placed.where("_at < _most").select(
+        "shard", "source", "epoch", "block", "doc_id", "_file", "_row", "from", F.least("length", F.col("_most") - F.col("_at")).alias("length")), "mix-placements")
     total = placements.groupBy("_file", "_row").agg(F.sum("length").alias("taken"))
     documents = rows.join(total, ["_file", "_row"], "left").select(
         F.col("doc_id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "_file", "_row")

@@ -147,6 +147,15 @@ def check_mix(df, block=64):
     return m
 
 
+def test_mix_takes_tiny_sources_to_their_target(spark):
+    """Sources smaller than half a block, or with a target smaller than that, get their words to the nearest one."""
+    sizes = {f"s{i:03d}": 1 + i * 7 % 60 for i in range(90)}
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes.items())], "doc_id long, text string, source string")
+    got = mix(docs).documents.collect()
+    want = brute.targets(sizes)
+    assert len(got) == 90 and all(abs(r.taken - want[f"s{r.doc_id:03d}"]) <= 0.51 for r in got)
+
+
 def test_mix_awkward_empty_and_alike_in_reruns(spark, tmp_path):
     check_mix(brute.awkward(spark), block=8)
     assert mix(brute.empty(spark)).documents.collect() == []
