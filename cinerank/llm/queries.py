@@ -15,10 +15,13 @@ from .exact_dedup import exact_dedup
 from .lang_id import language_id
 from .mixing import mix
 from .packing import pack_documents
+from .prefix_trie import prefix_trie
+from .quality_rules import repetition_rules
 from .simhash_dedup import simhash_dedup
 from .substring_dedup import substring_dedup
 from .toxicity import toxicity
 from .url_filter import url_filter
+from .whitening import whiten
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +73,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), window=35)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation too large for a long is null here; the operator has it as a decimal."""
+    return whiten(table(spark, sf_dir, "embeddings"), scale=64, shift=1_000_000, most=32).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op3_embedding_dedup, op4_url_filter, op5_exact_dedup, op6_best_fit_packing, op7_toxicity, op8_source_mixing, op9_chat_format, op10_substring_dedup)
+    f.__name__: f for f in (op1_simhash_dedup, op2_language_id, op3_embedding_dedup, op4_url_filter, op5_exact_dedup, op6_best_fit_packing, op7_toxicity, op8_source_mixing, op9_chat_format, op10_substring_dedup,
+                         op11_quality_rules, op12_embedding_whitening, op13_conversation_trie)
 }
 
 ORACLES: dict[str, str] = {
@@ -141,4 +158,49 @@ kept as (select words.doc_id, count(*) as n, string_agg(word, ' ' order by words
 select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
   sha256(coalesce(t, '')) as kept_sha256
 from w left join kept on w.doc_id = kept.doc_id""",
+    "op11_quality_rules": r"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (select r, doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from t),
+g as (select r, unnest(range(5, 11)) as n, ws from w),
+p as (select r, n, unnest(range(1, len(ws) - n + 2)) as p, ws from g),
+k as (select r, n, p, md5(array_to_string(ws[p:p + n - 1], ' ')) as k from p),
+again as (select r, n, p from k qualify count(*) over (partition by r, n, k) > 1),
+inside as (select distinct r, n, p + i as i from (select r, n, p, unnest(range(0, n)) as i from again)),
+chars as (select r, unnest(range(1, len(ws) + 1)) as i, length(unnest(ws)) as c from w),
+covered as (select r, sum(c) filter (n = 5) as d5, sum(c) filter (n = 6) as d6, sum(c) filter (n = 7) as d7, sum(c) filter (n = 8) as d8,
+  sum(c) filter (n = 9) as d9, sum(c) filter (n = 10) as d10, count(*) filter (n = 5) as words from inside join chars using (r, i) group by r),
+lines as (select r, unnest(string_split(text, chr(10))) as line from t),
+repeats as (select r, line, count(*) - 1 as m from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by r, line having count(*) > 1),
+dup as (select r, sum(m) as n, sum(m * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) as c from repeats group by r),
+m as (select doc_id, cast(len(ws) as bigint) as n_words, cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(coalesce(dup.n, 0) as bigint) as n_dup_lines,
+    cast(coalesce(words, 0) as bigint) as n_repeat_words, cast(coalesce(dup.c, 0) as bigint) as dup_line_chars,
+    cast(coalesce(d5, 0) as bigint) as dup_chars_5, cast(coalesce(d6, 0) as bigint) as dup_chars_6, cast(coalesce(d7, 0) as bigint) as dup_chars_7,
+    cast(coalesce(d8, 0) as bigint) as dup_chars_8, cast(coalesce(d9, 0) as bigint) as dup_chars_9, cast(coalesce(d10, 0) as bigint) as dup_chars_10
+  from w left join covered using (r) left join dup using (r)),
+f as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from m)
+select *, not base_failed and 100 * dup_line_chars <= 20 * word_chars and 100 * dup_chars_5 <= 30 * word_chars and 100 * dup_chars_6 <= 29 * word_chars
+  and 100 * dup_chars_7 <= 28 * word_chars and 100 * dup_chars_8 <= 27 * word_chars and 100 * dup_chars_9 <= 26 * word_chars
+  and 100 * dup_chars_10 <= 25 * word_chars as kept
+from f""",
+    "op13_conversation_trie": r"""
+with t as (select conv_id, turn, length(coalesce(text, '')) as chars,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id from conversations where conv_id is not null),
+own as (select conv_id, list(id order by turn nulls first, id) as ids, list(chars order by turn nulls first, id) as chars from t group by conv_id),
+h as (select *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ord(x) as bigint))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 6 as h from own),
+re as (select h.conv_id, list_concat(coalesce(b.ids[1:h.h], []), h.ids[h.h + 1:]) as ids, list_concat(coalesce(b.chars[1:h.h], []), h.chars[h.h + 1:]) as chars
+  from h left join own b on b.conv_id = h.conv_id - h.conv_id % 100),
+steps as (select conv_id, ids, chars, len(ids) as length, unnest(range(0, len(ids) + 1)) as depth from re),
+keyed as (select conv_id, length, depth, md5(array_to_string(ids[1:depth], ',')) as key, case when depth > 0 then md5(array_to_string(ids[1:depth - 1], ',')) end as up,
+    case when depth > 0 then chars[depth] else 0 end as chars, ids from steps),
+nodes as (select key, any_value(depth) as depth, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(chars) as saved,
+    any_value(ids[1:depth]) as ids, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (length = depth), '')) as ends_sha256
+  from keyed group by key),
+kids as (select up as key, count(*) as n_children from nodes where up is not null group by up),
+whole as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (key)),
+above as (select md5(array_to_string(ids[1:d], ',')) as key, saved, n_children from (select ids, saved, n_children, unnest(range(0, depth + 1)) as d from whole)),
+sub as (select key, count(*) filter (n_children = 0) as n_leaves, cast(sum(saved) as bigint) as saved_tokens from above group by key)
+select whole.conv_id, cast(whole.depth as bigint) as depth, p.conv_id as parent_conv_id, whole.n_convs, whole.n_children, sub.n_leaves, sub.saved_tokens, whole.ends_sha256
+from whole join sub using (key) left join nodes p on p.key = whole.up""",
 }

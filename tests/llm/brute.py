@@ -1,6 +1,8 @@
 """Plain one-machine versions of the operators' contracts, and awkward small tables."""
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -111,3 +113,48 @@ def targets(sizes, weights=(1, 2, 3), cap=3):
         if not over:
             return target
         stopped |= over
+
+
+def quality(text, limits, line_limit=20):
+    """A text's (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, dup_line_chars, characters by length)."""
+    text = text or ""
+    w = words(text)
+    total, covered = sum(map(len, w)), {}
+    for n in limits:
+        seen = Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+        covered[n] = {i + j for i in range(len(w) - n + 1) if seen[tuple(w[i:i + n])] > 1 for j in range(n)}
+    lines = Counter(x for x in text.split("\n") if words(x))
+    line_chars = sum((k - 1) * sum(map(len, words(x))) for x, k in lines.items())
+    repeat = len(covered[min(limits)])
+    failed = len(w) < 10 or 100 * repeat > 20 * len(w)
+    chars = [sum(len(w[i]) for i in covered[n]) for n in limits]
+    kept = not failed and 100 * line_chars <= line_limit * total and all(100 * c <= m * total for c, m in zip(chars, limits.values()))
+    return (len(w), total, len(re.findall(r"[#*$%&|<>]", text)), sum(k - 1 for k in lines.values()), repeat, failed, kept, line_chars, *chars)
+
+
+def trie(rows):
+    """[(conv_id, turn, role, text)] -> sorted node rows of the rebuilt conversations."""
+    turns = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            turns[c].append((t is not None, t or 0, hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest(), role, text))
+    own = {c: [v[3:] for v in sorted(vs)] for c, vs in turns.items()}
+    paths = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        paths[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + own[c][h:])
+    members, children, sub, out = defaultdict(list), defaultdict(list), {}, []
+    for c, p in paths.items():
+        for d in range(len(p) + 1):
+            members[p[:d]].append(c)
+    for k in members:
+        if k:
+            children[k[:-1]].append(k)
+    for k in sorted(members, key=len, reverse=True):
+        sub[k] = (sum(sub[x][0] for x in children[k]) or 1,
+                  sum(sub[x][1] for x in children[k]) + (len(members[k]) - 1) * (len(k[-1][1]) if k else 0))
+    for k, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(paths[c]) == len(k))
+        out.append((min(m), len(k), min(members[k[:-1]]) if k else None, len(m), len(children[k]), *sub[k], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
