@@ -4,7 +4,7 @@
 2. Conversations are rebuilt (``share_prefix``) and streamed in order; each turn gets the chained key of all turns up to it, each
    conversation the keys at depths 1, 2, 4, ...: a header whose size grows with the logarithm of its length.
 3. Equal conversations become one path with a count. Paths are dealt to shards by the key of a prefix: of the first
-   turn, or, where that many turns follow it that they would not fit a shard, of the first 2, 4, 8, ... turns. The nodes above that cut
+   turn, or, where more turns follow it than a shard holds on average, of the first 2, 4, 8, ... turns. The nodes above that cut
    lie in several shards.
 4. A shard numbers its turns densely, packs a trie of its paths into BASE and CHECK arrays (child = BASE[node] + turn, CHECK[child] =
    node), and walks all paths through them, adding up members and, from the leaves up, subtrees.
@@ -109,14 +109,16 @@ def rebuilt_paths(rebuilt: DataFrame) -> DataFrame:
     return written(ordered.mapInArrow(_chained, TURN), "trie-turns")
 
 
-def cut_paths(headers: DataFrame, rows_per_shard: int) -> tuple[DataFrame, int]:
-    """((path, n, conv_id, length, cut, shard_key) of each distinct conversation, number of rows of all). Nodes of less
-    depth than cut may lie in several shards; all paths through any other node have the same shard_key."""
+def cut_paths(headers: DataFrame, rows_per_shard: int, least_shards: int) -> tuple[DataFrame, int]:
+    """((path, n, conv_id, length, cut, shard_key) of each distinct conversation, number of shards). Nodes of less
+    depth than cut may lie in several shards; all paths through any other node have the same shard_key. No shard_key has more turns than a shard
+    holds on average, but for a single path."""
     paths = headers.groupBy(F.col("key").alias("path")).agg(
         F.count("*").alias("n"), F.min("conv_id").alias("conv_id"), F.first("length").alias("length"), F.first("heads").alias("heads"))
     paths = written(paths.withColumn("hot", F.lit(0)), "trie-paths")
     total = paths.agg(F.sum(F.col("length") + 1)).first()[0] or 0
-    limit = max(rows_per_shard, -(-total // MOST_HOT))  # so that no depth has more than MOST_HOT hot prefixes
+    shards = max(least_shards, -(-total // rows_per_shard))
+    limit = max(-(-total // shards), -(-total // MOST_HOT))  # so that no depth has more than MOST_HOT hot prefixes
     head = lambda j: F.substring("heads", 16 * j + 1, 16)
     j = 0
     while True:
@@ -130,7 +132,7 @@ def cut_paths(headers: DataFrame, rows_per_shard: int) -> tuple[DataFrame, int]:
     at = F.expr("shiftleft(1L, hot)")
     long_enough = F.col("length") >= at
     return paths.select("path", "n", "conv_id", "length", F.when(long_enough, at).otherwise(F.col("length") + 1).alias("cut"),
-                        F.when(long_enough, F.expr("substring(heads, 16 * hot + 1, 16)")).otherwise(F.col("path")).alias("shard_key")), int(total)
+                        F.when(long_enough, F.expr("substring(heads, 16 * hot + 1, 16)")).otherwise(F.col("path")).alias("shard_key")), shards
 
 
 @dataclass
@@ -354,8 +356,7 @@ def prefix_trie(turns: DataFrame, rows_per_shard: int = 100_000, rebuild=share_p
     numbered = written(numbered_turns(turns), "trie-numbered")
     chained = rebuilt_paths(rebuild(numbered))
     headers = chained.where("depth is null")
-    paths, total = cut_paths(headers, rows_per_shard)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_shard))
+    paths, shards = cut_paths(headers, rows_per_shard, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = chained.where("depth is not null").select("conv_id", "depth", "digest", "chars", "key").join(paths, "conv_id")
     nodes = written(rows.repartition(shards, "shard_key").mapInArrow(_shards, NODE), "trie-nodes")
 
