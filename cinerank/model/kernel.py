@@ -171,6 +171,22 @@ def loss_and_grads(P, spec, g, a, o, z, gen, y, rng=None, bn_stats=None, clamp_i
     return loss, backward(P, spec, cache, draw, g, a, o, z, gen)
 
 
+class KeyedDraws:
+    """Uniform numbers that depend on each row's 64-bit key, the call and the column only: a row gets the same
+    dropout on whichever worker it lies."""
+
+    def __init__(self, keys: np.ndarray, seed: int):
+        self.keys, self.calls = keys.astype(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % 2 ** 64), 0
+
+    def random(self, shape) -> np.ndarray:
+        self.calls += 1
+        column = np.arange(shape[1], dtype=np.uint64) + (np.uint64(self.calls) << np.uint64(32))
+        x = self.keys[:, None] + column[None, :] * np.uint64(0xD1B54A32D192ED03)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+
+
 # ---------------------------------------------------------------------------
 # Optimiser
 # ---------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""``fit``: data-parallel training as one Spark job per epoch.
+"""``fit``: data-parallel training on shards, averaging parameters or, step by step, gradients.
 
 Shape of the job
 ----------------
@@ -12,17 +12,21 @@ Shape of the job
   no shuffle and spills if it must - and ``mapInPandas`` runs mini-batch Adam
   over its Arrow batches, streaming: only one mini-batch plus one Arrow batch
   is held in memory.
-* Each shard emits its parameters, moments and statistics in long form
-  ``(pos, value * n_rows)``; ``groupBy(pos).sum`` over decimals (map-side combined, the same in any
-  order) averages them across shards weighted by row count. Only the averaged vector (size of
-  the network) reaches the driver.
-
-This is local SGD with parameter averaging, ``averages_per_epoch`` times an epoch; raise it
-with the number of shards. One job per step would cost a scheduling round-trip per mini-batch.
+* ``sync="epoch"``: local SGD. Each shard emits one array (rows, loss, steps, parameters and moments, times its rows), and
+  ``tree_sum`` adds groups of ``fan_in`` arrays level by level, in the order of the shards: a shard is one shuffled row, a task holds
+  ``fan_in`` arrays, and only the sum (size of the network) reaches the driver. ``averages_per_epoch`` times an epoch; raise
+  it with the number of shards.
+* ``sync="step"``: synchronous SGD. An epoch is one barrier stage. A row's step and its replica (one of ``replicas`` parts of each batch, which
+  batch normalisation sees alone) are hashes of its key, so they are the same on any number of workers, and so is the result. In each step
+  the workers exchange their replicas' summed gradients, loss and running moments with one ``allGather`` and make the same update. If one task
+  fails, Spark runs the whole stage again from the parameters of the epoch's start. The exchange passes the driver (workers squared
+  times the network's size), and Spark looks for its end once a second: take few workers and large batches. The workers need as many
+  free slots at once.
 """
 
 from __future__ import annotations
 
+import base64
 import math
 from dataclasses import asdict, dataclass
 
@@ -30,6 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.tree import tree_sum
 from ..session import cut_lineage
 from . import kernel as K
 from .score import Model
@@ -51,23 +56,44 @@ class FitConfig:
     min_lr_ratio: float = 0.01
     rows_per_shard: int = 60_000
     averages_per_epoch: int = 1
+    fan_in: int = 16
+    sync: str = "epoch"
+    sync_workers: int = 8
+    replicas: int = 8
     seed: int = 42
     clamp_in_training: bool = False
     out_bias_from_mean: bool = True
 
+    def __post_init__(self):
+        if self.sync not in ("epoch", "step"):
+            raise ValueError(f"sync is 'epoch' or 'step', not {self.sync!r}")
 
-def prepare_shards(train: DataFrame, rows_per_shard: int) -> DataFrame:
-    """Training rows hash-partitioned into shards of about ``rows_per_shard`` rows and checkpointed.
-    The shard of a row depends on its key only. No rows at all is an error."""
+
+def _keyed_rows(train: DataFrame) -> tuple[DataFrame, int]:
+    """Training columns with a hash of each row's key, checkpointed, and their number. Fewer than two are an error."""
     key_cols = [c for c in ("user_id", "movie_id", "ts") if c in train.columns] or TRAIN_COLS
     rows = cut_lineage(train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"),
                                     F.xxhash64(*key_cols).alias("_rk")))
     n = rows.count()
     if n < 2:
         raise ValueError(f"cannot train on {n} rows: batches are normalised, which takes two at least")
+    return rows, n
+
+
+def prepare_shards(train: DataFrame, rows_per_shard: int) -> DataFrame:
+    """Training rows hash-partitioned into shards of about ``rows_per_shard`` rows and checkpointed.
+    The shard of a row depends on its key only."""
+    rows, n = _keyed_rows(train)
     return cut_lineage(rows.repartition(max(1, round(n / rows_per_shard)), "_rk"))
 
 
+def prepare_replicas(train: DataFrame, replicas: int, workers: int) -> DataFrame:
+    """Training rows with the replica of each (_replica, by its key), whole replicas on each of ``workers`` partitions, checkpointed."""
+    rows, _ = _keyed_rows(train)
+    rows = rows.withColumn("_replica", F.pmod(F.xxhash64("_rk", F.lit("replica")), F.lit(replicas)).cast("int"))
+    return cut_lineage(rows.repartitionById(min(workers, replicas), F.col("_replica") % min(workers, replicas)))
+
+
 def _epoch_job(shards: DataFrame, bc, epoch: int, part: int, lr: float, cfg: FitConfig) -> DataFrame:
     turn = F.xxhash64("_rk", F.lit(epoch))
     if cfg.averages_per_epoch > 1:
@@ -115,13 +141,73 @@ def _epoch_job(shards: DataFrame, bc, epoch: int, part: int, lr: float, cfg: Fit
         if n == 0:
             return
         vec = np.concatenate([flatten(P, names + bufs), flatten(M, names), flatten(V, names)]) * n
-        meta_pos = np.array([-1, -2, -3, -4])
-        meta_val = np.array([n, state["loss"] / state["batches"], 1.0, state["t"] * n], dtype=np.float64)
+        meta = [n, state["loss"] / state["batches"], 1.0, state["t"] * n]
         import pandas as pd
-        yield pd.DataFrame({"pos": np.concatenate([meta_pos, np.arange(len(vec))]).astype(np.int32),
-                            "v": np.concatenate([meta_val, vec])})
+        yield pd.DataFrame({"_id": [pid], "v": [np.concatenate([meta, vec])]})
+
+    return ordered.mapInPandas(run, "_id long, v array<double>")
+
+
+def _step_job(shards: DataFrame, bc, epoch: int, n_steps: int, lr: float, cfg: FitConfig) -> DataFrame:
+    """One epoch of synchronous steps in a barrier stage; the first worker emits the result, which all share."""
+    turn = F.xxhash64("_rk", F.lit(epoch))
+    ordered = (shards.withColumn("_step", F.pmod(turn, F.lit(n_steps))).sortWithinPartitions("_step", "_replica", turn, *TRAIN_COLS)
+               .select("_step", "_replica", turn.alias("_turn"), *TRAIN_COLS))
+
+    def by_step(batches):
+        """The rows of step 0, 1, ... on this worker; none is an empty list."""
+        at, held = 0, []
+        for pdf in batches:
+            for s, part in pdf.groupby("_step"):
+                while at < s:
+                    yield held
+                    at, held = at + 1, []
+                held.append(part)
+        while at < n_steps:
+            yield held
+            at, held = at + 1, []
+
+    def run(batches):
+        import pandas as pd
+        from pyspark import BarrierTaskContext
+
+        spec, P, M, V, t, names, bufs = bc.value
+        P, M, V = ({n: v.copy() for n, v in x.items()} for x in (P, M, V))
+        size = len(flatten(P, names)) + len(flatten(P, bufs)) if bufs else len(flatten(P, names))
+        context = BarrierTaskContext.get()
+
+        def summed(vec):
+            sent = context.allGather(base64.b64encode(vec.tobytes()).decode())
+            return np.stack([np.frombuffer(base64.b64decode(x)) for x in sent]).sum(0)
+
+        rows, loss, steps = 0, 0.0, 0
+        for held in by_step(batches):
+            mine = np.zeros(2 + size)
+            for _, part in pd.concat(held).groupby("_replica") if held else ():
+                n = len(part)
+                if n < 2:
+                    continue  # a replica of one row cannot be normalised
+                g, a, o, z, mask = (part[c].to_numpy(np.int64) for c in TRAIN_COLS[:5])
+                seen = {b: P[b].copy() for b in bufs}
+                err, G = K.loss_and_grads(P, spec, g, a, o, z, K.multihot(mask), part["rating"].to_numpy(np.float64), bn_stats=seen,
+                                          rng=K.KeyedDraws(part["_turn"].to_numpy(), cfg.seed), clamp_in_training=cfg.clamp_in_training)
+                mine += n * np.concatenate([[1.0, err], flatten(G, names), *([flatten(seen, bufs)] if bufs else [])])
+            total = summed(mine)
+            n = total[0]
+            if not n:
+                continue
+            total = total / n
+            G = unflatten(total[2:], spec, names)
+            if bufs:
+                P.update(unflatten(total[size + 2 - len(flatten(P, bufs)):], spec, bufs))
+            K.clip_grad_norm(G, cfg.max_grad_norm)
+            steps += 1
+            K.adam_step(P, G, M, V, t + steps, lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay)
+            loss, rows = loss + total[1], rows + int(n)
+        if rows and context.partitionId() == 0:
+            yield pd.DataFrame({"_id": [0], "v": [np.concatenate([[1.0, loss, steps, t + steps], flatten(P, names + bufs), flatten(M, names), flatten(V, names)])]})
 
-    return ordered.mapInPandas(run, "pos int, v double")
+    return ordered.mapInPandas(run, "_id long, v array<double>", barrier=True)
 
 
 def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: Model | None = None,
@@ -136,8 +222,12 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
     """
     cfg = cfg or FitConfig()
     spark = train.sparkSession
+    stepwise = cfg.sync == "step"
     if shards is None:
-        shards = prepare_shards(train, cfg.rows_per_shard)
+        workers = min(cfg.sync_workers, spark.sparkContext.defaultParallelism)
+        shards = prepare_replicas(train, cfg.replicas, workers) if stepwise else prepare_shards(train, cfg.rows_per_shard)
+    n_shards = shards.rdd.getNumPartitions()
+    n_steps = max(1, -(-shards.count() // (cfg.batch_size * cfg.replicas))) if stepwise else 0
     names, bufs = spec.trainable_names(), spec.buffer_names()
     opt = (init.meta.get("optimizer") if init else None) or {}
     if init:
@@ -155,18 +245,19 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
     for epoch in range(done, cfg.num_epochs):
         lr = K.cosine_lr(epoch, cfg.num_epochs, cfg.lr, cfg.min_lr_ratio)
         loss = batches = 0.0
-        for part in range(cfg.averages_per_epoch):
+        for part in range(1 if stepwise else cfg.averages_per_epoch):
             bc = spark.sparkContext.broadcast((spec, P, M, V, t, names, bufs))
-            agg = (_epoch_job(shards, bc, epoch, part, lr, cfg)
-                   .groupBy("pos").agg(F.sum(F.col("v").cast("decimal(38,16)")).cast("double").alias("v")).toPandas())
+            if stepwise:
+                summed = _step_job(shards, bc, epoch, n_steps, lr, cfg).collect()
+            else:
+                summed = tree_sum(_epoch_job(shards, bc, epoch, part, lr, cfg), n_shards, cfg.fan_in).collect()
             bc.destroy()
-            vals = dict(zip(agg["pos"].to_numpy(), agg["v"].to_numpy()))
-            if -1 not in vals:
+            if not summed:
                 continue  # a part without rows
-            n_rows = vals[-1]
-            loss, batches = loss + vals[-2], batches + vals[-3]
-            t = int(round(vals[-4] / n_rows))
-            vec = np.array([vals[i] for i in range(n_p + 2 * n_t)]) / n_rows
+            vec = np.array(summed[0]["v"])
+            n_rows, loss, batches = vec[0], loss + vec[1], batches + vec[2]
+            t = int(round(vec[3] / n_rows))
+            vec = vec[4:] / n_rows
             P = unflatten(vec[:n_p], spec, names + bufs)
             M = unflatten(vec[n_p:n_p + n_t], spec, names)
             V = unflatten(vec[n_p + n_t:], spec, names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 from dataclasses import asdict
 
@@ -123,6 +124,47 @@ register("fit_ncf", _side_oracle("'ncf' as model_type, cast(10 as bigint) as epo
 register("fit_neumf", _side_oracle("'neumf' as model_type, cast(10 as bigint) as epochs"))(_fit_query("neumf"))
 
 
+#: A linear network (no hidden layer), small enough for its gradient to be SQL; one step over all training rows.
+STEP_SPEC = ModelSpec("ncf", embed_dim=FIXED_EMBED, hidden_dims=[], dropout=0.0)
+STEP_CONFIG = FitConfig(num_epochs=1, sync="step", replicas=1, sync_workers=1, batch_size=1 << 40, max_grad_norm=math.inf, out_bias_from_mean=False)
+
+
+def _step_oracle() -> str:
+    """Loss and Adam's first moments after one step: (1 - beta1) (gradient + weight decay x parameter)."""
+    P = fixed_params(STEP_SPEC)
+    w, E_ = P["out.w"][0], FIXED_EMBED
+    sums = {"d": "avg(2 * err)"}
+    sums |= {f"d{x}": f"avg(2 * err * {x})" for x in [f"u{j}" for j in range(E_)] + [f"m{j}" for j in range(E_)] + [f"g{i}" for i in range(18)]}
+    sums |= {f"ds{k}": f"avg(case when gender_idx = {k} then 2 * err else 0.0 end)" for k in (0, 1)}
+    terms = [("out.b", 0, "d", P["out.b"][0])]
+    terms += [("out.w", j, f"d{x}", w[j]) for j, x in enumerate([f"u{j}" for j in range(E_)] + [f"m{j}" for j in range(E_)])]
+    terms += [("user.proj_b", j, f"d * {float(w[j])!r}", P["user.proj_b"][j]) for j in range(E_)]
+    terms += [("movie.proj_w", j * 18 + i, f"dg{i} * {float(w[E_ + j])!r}", P["movie.proj_w"][j, i]) for j in range(E_) for i in range(18)]
+    fd = STEP_SPEC.field_dim
+    back = w[:E_] @ P["user.proj_w"][:, :fd]
+    terms += [("user.gender_emb", k * fd + c, f"ds{k} * {float(back[c])!r}", P["user.gender_emb"][k, c]) for k in (0, 1) for c in range(fd)]
+    values = " union all ".join(f"select '{n}' as name, cast({i} as bigint) as idx, round(0.1 * ({e} + 0.00001 * {float(p)!r}), 8) as moment from a"
+                                for n, i, e, p in terms)
+    return sql_with(["ratings", "users", "movies"], [
+        _FEATURES_CTE, _SPLIT_CTE, ("train", "select * from labelled where split = 'train'"),
+        ("scored", score_sql(Model(STEP_SPEC, P), f"select *, {_FLAGS} from train")),
+        ("e", "select *, raw - rating as err from scored"),
+        ("a", "select avg(err * err) as loss, " + ", ".join(f"{v} as {k}" for k, v in sums.items()) + " from e")],
+        body=f"select 'loss' as name, cast(0 as bigint) as idx, round(loss, 8) as moment from a union all {values}")
+
+
+@register("fit_step_fixed", _step_oracle())
+def q_fit_step_fixed(spark, sf_dir):
+    """Gradients of one synchronous training step from fixed parameters, as Adam's first moments."""
+    train, _ = S.hash_split(fixture_features(spark, sf_dir))
+    model = fit(train, STEP_SPEC, STEP_CONFIG, init=Model(STEP_SPEC, fixed_params(STEP_SPEC), {}))
+    first = model.meta["optimizer"]["m"]
+    rows = [("loss", 0, round(model.meta["history"][0][1], 8))]
+    for name in ("out.b", "out.w", "user.proj_b", "movie.proj_w", "user.gender_emb"):
+        rows += [(name, i, float(v)) for i, v in enumerate(first[name].ravel())]
+    return spark.createDataFrame(rows, "name string, idx long, moment double").withColumn("moment", F.round("moment", 8))
+
+
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     model, test = trained_model(spark, sf_dir, "ncf")
