@@ -207,7 +207,8 @@ def _step_job(shards: DataFrame, bc, epoch: int, n_steps: int, lr: float, cfg: F
         if rows and context.partitionId() == 0:
             yield pd.DataFrame({"_id": [0], "v": [np.concatenate([[1.0, loss, steps, t + steps], flatten(P, names + bufs), flatten(M, names), flatten(V, names)])]})
 
-    return ordered.mapInPandas(run, "_id long, v array<double>", barrier=True)
+    # The shuffle makes the barrier stage one that Spark can run again: it gives up on a failed barrier stage that ends a job.
+    return ordered.mapInPandas(run, "_id long, v array<double>", barrier=True).repartition(1)
 
 
 def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: Model | None = None,
