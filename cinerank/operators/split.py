@@ -7,6 +7,12 @@ in SQL (md5 exists in both Spark and DuckDB).
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,24 +61,58 @@ def split_summary(labelled: DataFrame) -> DataFrame:
     return counts.select("split", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
+#: Groups that tasks' samples are merged in, level by level: a task merges about 32 samples (of up to 100,000 tasks in all).
+MERGE_LEVELS = (1024, 32, 1)
+
+
+def _least(batches: Iterator[pa.RecordBatch], n: int, keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The ``n`` least rows by ``keys``, of which about 2 n (and one batch) are held at a time."""
+    held, rows, most = [], 0, None
+    order = [(k, "ascending") for k in keys]
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        part = pa.Table.from_batches([batch])
+        if most is not None:
+            part = part.filter(pc.less_equal(part[keys[0]], most))
+        if part.num_rows:
+            held.append(part)
+            rows += part.num_rows
+        if rows > 2 * n + 10_000:
+            best = pa.concat_tables(held)
+            best = best.take(pc.sort_indices(best, sort_keys=order, null_placement="at_start")[:n])
+            held, rows, most = [best], best.num_rows, best[keys[0]][-1] if n else None
+    if held:
+        best = pa.concat_tables(held)
+        best = best.take(pc.sort_indices(best, sort_keys=order, null_placement="at_start")[:n])
+        yield from best.cast(schema).combine_chunks().to_batches()
+
+
 def sample_cap(df: DataFrame, n: int, key_cols, seed: int = 42, order_cols=None) -> DataFrame:
-    """At most ``n`` rows: the ``n`` smallest by md5(key, seed), ties by ``order_cols``.
+    """At most ``n`` rows: the ``n`` smallest by md5(key, seed), ties by ``order_cols`` (columns that aren't
+    plain values, such as arrays, by a hash).
 
-    Exact and deterministic for every size. One pass counts the rows per hash range (1,024 ranges);
-    rows of the ranges below the one that holds the n-th row are taken as they are, and only
-    that one is sorted.
+    A mergeable bottom-k sample: each task keeps its ``n`` least rows while it reads, and samples are merged level by level, so the table is read
+    once, at most ``n`` rows of a task are shuffled, and no task holds more than about 2 n rows. Rows pass through Arrow.
     """
-    order_cols = list(order_cols or df.columns)
-    hashed = cut_lineage(df.withColumn("_h", hash_int(key_string(key_cols, seed), 15)))  # 60 bits
-    ranged = F.shiftright("_h", 50)
-    counts = sorted((r["_r"], r["count"]) for r in hashed.groupBy(ranged.alias("_r")).count().collect())  # at most 1,024 rows
-    before = 0
-    for r, count in counts:
-        if before + count > n:
-            rest = hashed.filter(ranged == r).orderBy("_h", *order_cols).limit(n - before)
-            return hashed.filter(ranged < r).unionByName(rest).drop("_h")
-        before += count
-    return hashed.drop("_h")
+    ties = []
+    for c in order_cols or df.columns:
+        plain = df.schema[c].dataType.typeName() not in ("array", "map", "struct", "variant", "binary", "boolean")
+        ties.append((F.col(c) if plain else F.xxhash64(c)).alias(f"_t{len(ties)}"))
+    keys = ["_h", *(f"_t{i}" for i in range(len(ties)))]
+    hashed = df.select("*", hash_int(key_string(key_cols, seed), 15).alias("_h"), *ties, F.spark_partition_id().alias("_g"))  # 60 bits
+
+    def least(batches):
+        yield from _least(batches, n, keys)
+
+    def merged(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_least(group.to_batches(), n, keys), group.schema)
+
+    out = hashed.mapInArrow(least, hashed.schema)
+    for groups in MERGE_LEVELS:
+        out = out.withColumn("_g", F.col("_g") % groups)
+        out = out.groupBy("_g").applyInArrow(merged, out.schema)
+    return out.select(*df.columns)
 
 
 def global_position(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -83,19 +123,76 @@ def global_position(df: DataFrame, order: list, name: str) -> DataFrame:
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
     before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (ranged.withColumn(name, inside).join(sizes.select("_part", before.alias("_before")), "_part")
+    # sizes: one row per range partition, so a broadcast of a known size.
+    return (ranged.withColumn(name, inside).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
             .withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before"))
 
 
+#: A prime under 2^31: squares of residues fit a bigint.
+PRIME = 2147483647
+ROUNDS = 6
+#: Repeats of the bijection that a row may need; rows leave the range with a chance of 1 / sqrt(n) each time.
+WALKS = 64
+
+
+def round_constants(seed: int, label: str) -> list[tuple[int, int]]:
+    """Multiplier and addend of each Feistel round, from md5 of seed, label and round."""
+    digits = [hashlib.md5(f"{seed}|{label}|{j}".encode()).hexdigest() for j in range(ROUNDS)]
+    return [(1 + int(d[:8], 16) % (PRIME - 1), int(d[8:16], 16) % PRIME) for d in digits]
+
+
+def bijection(pos: str, n: int, seed: int, label: str) -> Column:
+    """A keyed permutation of 0 .. n - 1, as an expression of the column ``pos``.
+
+    A Feistel network on (x mod a, x div a) with a = ceil(sqrt n), b = ceil(n / a): each round adds a function of one half to the
+    other, modulo a and b by turns. It permutes 0 .. ab - 1; results from n on (fewer than a) are sent through it again until
+    they are below n (cycle walking), which permutes 0 .. n - 1.
+    """
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1) if n > 1 else 1
+    b = max(1, -(-n // a))
+    rounds = ", ".join(f"named_struct('m', {(a, b)[j % 2]}L, 'c', {c}L, 'd', {d}L)" for j, (c, d) in enumerate(round_constants(seed, label)))
+    t = f"((s.r * k.c + k.d) % {PRIME}L)"
+
+    def once(x: str) -> str:
+        return (f"aggregate(array({rounds}), named_struct('l', {x} % {a}L, 'r', {x} div {a}L), "
+                f"(s, k) -> named_struct('l', s.r, 'r', (s.l + {t} * {t} % {PRIME}L) % k.m), s -> s.l + {a}L * s.r)")
+
+    first = once(f"cast({pos} as bigint)")
+    walks = min(a * b - n, WALKS)  # a walk outside the range is no longer than what lies outside
+    if walks <= 0:
+        return F.expr(first)
+    return F.expr(f"aggregate(sequence(1, {walks}), {first}, (x, i) -> if(x < {n}L, x, {once('x')}), "
+                  f"x -> if(x < {n}L, x, cast(raise_error('position left the range') as bigint)))")
+
+
+def bijection_sql(name: str, rows: str, seed: int, label: str) -> list[tuple[str, str]]:
+    """The same as CTEs of a recursive query for DuckDB: ``name``(pos, x) for the positions of the table ``rows``."""
+    steps = ["x % a as l0", "x // a as r0"]
+    for j, (c, d) in enumerate(round_constants(seed, label)):
+        t = f"((r{j} * {c} + {d}) % {PRIME})"
+        steps += [f"(l{j} + {t} * {t} % {PRIME}) % {'ab'[j % 2]} as r{j + 1}", f"r{j} as l{j + 1}"]
+    size = f"select count(*) as n, greatest(1, cast(ceil(sqrt(count(*))) as bigint)) as a from {rows}"
+    walk = (f"select pos, cast(pos as bigint) as x, true as again from {rows} union all "
+            f"select pos, l{ROUNDS} + a * r{ROUNDS} as x, l{ROUNDS} + a * r{ROUNDS} >= n as again from "
+            f"(select *, {', '.join(steps)} from {name}_walk, {name}_size where again) q")
+    return [(f"{name}_size", f"select n, a, greatest(1, (n + a - 1) // a) as b from ({size}) q"), (f"{name}_walk", walk),
+            (name, f"select pos, x from {name}_walk where not again")]
+
+
+def numbered(df: DataFrame, key_cols, seed: int = 42, order_cols=None) -> tuple[DataFrame, int]:
+    """(``df`` with ``_pos`` from 0 in the order of md5(key, seed), ties by ``order_cols``; number of rows). One sort, checkpointed."""
+    ties = [F.col(c) for c in (order_cols or df.columns)]
+    base = df.withColumn("_hr", F.md5(key_string(key_cols, seed)))
+    rows = cut_lineage(global_position(base, [F.col("_hr"), *ties], "_pos").withColumn("_pos", F.col("_pos") - 1).drop("_hr"))
+    return rows, rows.count()
+
+
 def permute_column(df: DataFrame, column: str, key_cols, seed: int = 42, order_cols=None) -> DataFrame:
     """Shuffle ``column`` against the other columns, over the whole table.
 
-    The row at position k in row order (md5 of key and seed) gets the value at position k in value
-    order (md5 of key, seed and column name). The column's multiset is kept and every other
-    column untouched. ``order_cols`` break md5 ties between rows with equal keys.
+    Rows are numbered once (md5 of key and seed; ``order_cols`` break ties between rows with equal keys), and the value of row q goes to the
+    row that a keyed bijection gives for q. The column's multiset is kept and every other column untouched.
     """
-    ties = [F.col(c) for c in (order_cols or df.columns)]
-    base = df.select("*", F.md5(key_string(key_cols, seed)).alias("_hr"), F.md5(key_string(key_cols, seed, column)).alias("_hv"))
-    rows = global_position(base.drop("_hv"), [F.col("_hr"), *ties], "_pos").drop("_hr", column)
-    vals = global_position(base.drop("_hr"), [F.col("_hv"), *ties], "_pos").select("_pos", column)
-    return rows.join(vals, "_pos").select(*df.columns)
+    rows, n = numbered(df, key_cols, seed, order_cols)
+    moved = rows.select(bijection("_pos", n, seed, column).alias("_pos"), column)
+    return rows.drop(column).join(moved, "_pos").select(*df.columns)

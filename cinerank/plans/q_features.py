@@ -15,6 +15,7 @@ from .registry import (age_idx_sql, gender_idx_sql, genre_parts_sql, multihot_st
 
 SEED = 42
 SAMPLE_CAP = 5_000           # the capped sample's size, less than the fixture's test rows
+SAMPLE_CAP_LARGE = 50_000    # as large as the default of a run; cuts from sf0.1 on
 
 _FEATURES_CTE = ("feat", f"""select r.user_id, r.movie_id, r.ts,
     {gender_idx_sql('u.gender')} as gender_idx, {age_idx_sql('u.age')} as age_idx,
@@ -93,28 +94,33 @@ def fixture_test_set(spark, sf_dir):
     return test
 
 
-@register("sample_cap", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE, _SPLIT_CTE], body=f"""
+def _sample_cap_query(name: str, cap: int) -> None:
+    @register(name, sql_with(["ratings", "users", "movies"], [_FEATURES_CTE, _SPLIT_CTE], body=f"""
 select {_REPORT_COLS} from labelled where split = 'test'
 order by cast('0x' || substr(md5({_KEY}), 1, 15) as bigint),
   user_id, movie_id, ts, {_REPORT_COLS}
-limit {SAMPLE_CAP}"""))
-def q_sample_cap(spark, sf_dir):
-    test = fixture_test_set(spark, sf_dir)
-    capped = S.sample_cap(test, SAMPLE_CAP, S.RATING_KEY, SEED)
-    return capped.drop("user_id", "movie_id", "ts")
+limit {cap}"""))
+    def q(spark, sf_dir):
+        return S.sample_cap(fixture_test_set(spark, sf_dir), cap, S.RATING_KEY, SEED).drop("user_id", "movie_id", "ts")
+
+
+_sample_cap_query("sample_cap", SAMPLE_CAP)
+_sample_cap_query("sample_cap_large", SAMPLE_CAP_LARGE)
 
 
-_PERM_KEY_V = "concat_ws('|', user_id, movie_id, ts, '42', 'age_idx')"
 _ALL_COLS = f"user_id, movie_id, ts, {_REPORT_COLS}"
 
 
-@register("permute_column", sql_with(["ratings", "users", "movies"], [
+def recursive(sql: str) -> str:
+    return sql.replace("with ", "with recursive ", 1)
+
+
+@register("permute_column", recursive(sql_with(["ratings", "users", "movies"], [
     _FEATURES_CTE, _SPLIT_CTE,
-    ("test", "select * from labelled where split = 'test'"),
-    ("r", f"""select gender_idx, occ_idx, zip_idx, genres, rating,
-        row_number() over (order by md5({_KEY}), {_ALL_COLS}) as pos from test"""),
-    ("v", f"select age_idx, row_number() over (order by md5({_PERM_KEY_V}), {_ALL_COLS}) as pos from test"),
-], body="select r.gender_idx, v.age_idx, r.occ_idx, r.zip_idx, r.genres, r.rating from r join v on r.pos = v.pos"))
+    ("test", f"select *, row_number() over (order by md5({_KEY}), {_ALL_COLS}) - 1 as pos from labelled where split = 'test'"),
+    *S.bijection_sql("moved", "test", SEED, "age_idx"),
+], body="""select r.gender_idx, v.age_idx, r.occ_idx, r.zip_idx, r.genres, r.rating
+from test r join moved on moved.x = r.pos join test v on v.pos = moved.pos""")))
 def q_permute_column(spark, sf_dir):
     test = fixture_test_set(spark, sf_dir)
     return S.permute_column(test, "age_idx", S.RATING_KEY, SEED, order_cols=test.columns).drop("user_id", "movie_id", "ts")

@@ -18,7 +18,7 @@ from ..operators import evaluate as EV
 from ..operators import split as S
 from ..session import ensure_checkpoint_dir
 from ..sources.model_store import load_model, save_model
-from .q_features import _FEATURES_CTE, _KEY, _REPORT_COLS, _SPLIT_CTE, fixture_features
+from .q_features import _FEATURES_CTE, _KEY, _REPORT_COLS, _SPLIT_CTE, fixture_features, recursive
 from .registry import (age_idx_sql, gender_idx_sql, genre_flags_sql, genre_mask_sql, genre_parts_sql,
                        register, sql_with, zip_idx_sql)
 
@@ -205,20 +205,19 @@ def q_evaluation_report_fixed(spark, sf_dir):
 
 def _importance_oracle() -> str:
     order = "user_id, movie_id, ts, gender_idx, age_idx, occ_idx, zip_idx, genre_mask, rating"
-    base = ("test", f"select *, {genre_mask_sql_of_flags()} as genre_mask from labelled where split = 'test'")
-    rows = ("r", f"select *, row_number() over (order by md5({_KEY}), {order}) as pos from test")
-    ctes, names = [_FEATURES_CTE, _SPLIT_CTE, base, rows, _fixed_test("test", "s_baseline")], [("baseline", "s_baseline")]
+    rows = ("r", f"select *, row_number() over (order by md5({_KEY}), {order}) - 1 as pos from "
+                 f"(select *, {genre_mask_sql_of_flags()} as genre_mask from labelled where split = 'test') q")
+    ctes, names = [_FEATURES_CTE, _SPLIT_CTE, rows, _fixed_test("r", "s_baseline")], [("baseline", "s_baseline")]
     for _, label, col in EV.FEATURE_GROUPS:
-        key = f"concat_ws('|', user_id, movie_id, ts, '42', '{col}')"
         value = "genres" if col == "genre_mask" else col
-        ctes.append((f"v_{col}", f"select {value} as val, row_number() over (order by md5({key}), {order}) as pos from test"))
-        ctes.append((f"p_{col}", f"select r.* replace (v.val as {value}) from r join v_{col} v on r.pos = v.pos"))
+        ctes += S.bijection_sql(f"to_{col}", "r", 42, col)
+        ctes.append((f"p_{col}", f"select r.* replace (v.{value} as {value}) from r join to_{col} t on t.x = r.pos join r v on v.pos = t.pos"))
         ctes.append(_fixed_test(f"p_{col}", f"s_{col}"))
         names.append((label, f"s_{col}"))
     ctes.append(("m", " union all ".join(f"select '{label}' as feature, sqrt(avg((score - rating) * (score - rating))) as rmse from {t}" for label, t in names)))
-    return sql_with(["ratings", "users", "movies"], ctes, body="""
+    return recursive(sql_with(["ratings", "users", "movies"], ctes, body="""
 select m.feature, round(m.rmse, 6) as shuffled_rmse, round(b.rmse, 6) as baseline_rmse, round(m.rmse - b.rmse, 6) as importance
-from m, (select rmse from m where feature = 'baseline') b where m.feature <> 'baseline'""")
+from m, (select rmse from m where feature = 'baseline') b where m.feature <> 'baseline'"""))
 
 
 def genre_mask_sql_of_flags() -> str:

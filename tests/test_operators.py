@@ -154,3 +154,23 @@ def test_validate_requests_reasons(spark):
     assert [got[i][0] for i in range(2, 9)] == ["occupation_range", "genre_count", "top_n_range",
                                                 "gender_unknown", "age_unknown", "genre_unknown",
                                                 "genre_count"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 1000, 4096, 70_001])
+def test_bijection_permutes_positions(spark, n):
+    got = [r[0] for r in spark.range(n).select(S.bijection("id", n, 42, "x")).collect()]
+    assert sorted(got) == list(range(n))
+    if n >= 1000:
+        other = [r[0] for r in spark.range(n).select(S.bijection("id", n, 42, "y")).collect()]
+        fixed = sum(a == i for i, a in enumerate(got))
+        assert got != other and fixed < 10 and abs(np.corrcoef(got, range(n))[0, 1]) < 0.1
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 10_000])
+def test_sample_cap_merges_over_levels(spark, n, monkeypatch):
+    """Many tasks, ties between equal keys, nulls and arrays: as a plain sort gives them."""
+    monkeypatch.setattr(S, "MERGE_LEVELS", (5, 2, 1))
+    df = spark.range(0, 6000, numPartitions=23).selectExpr("cast(id % 700 as int) k", "if(id % 5 = 0, null, id) v", "array(id) a")
+    got = S.sample_cap(df, n, ["k"], order_cols=["k", "v"]).collect()
+    want = df.withColumn("_h", S.hash_int(S.key_string(["k"], 42), 15)).orderBy("_h", "k", "v").limit(n).drop("_h").collect()
+    assert len(got) == min(n, 6000) and sorted((r.k, r.v or -1) for r in got) == sorted((r.k, r.v or -1) for r in want)
