@@ -61,8 +61,8 @@ def split_summary(labelled: DataFrame) -> DataFrame:
     return counts.select("split", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
-#: Groups that tasks' samples are merged in, level by level: a task merges about 32 samples (of up to 100,000 tasks in all).
-MERGE_LEVELS = (1024, 32, 1)
+#: Samples that a task merges.
+MERGE = 32
 
 
 def _least(batches: Iterator[pa.RecordBatch], n: int, keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +108,11 @@ def sample_cap(df: DataFrame, n: int, key_cols, seed: int = 42, order_cols=None)
     def merged(group: pa.Table) -> pa.Table:
         return pa.Table.from_batches(_least(group.to_batches(), n, keys), group.schema)
 
-    out = hashed.mapInArrow(least, hashed.schema)
-    for groups in MERGE_LEVELS:
-        out = out.withColumn("_g", F.col("_g") % groups)
+    out = cut_lineage(hashed.mapInArrow(least, hashed.schema))  # a sample per task, so that the number of tasks is known
+    samples = (out.agg(F.max("_g")).first()[0] or 0) + 1
+    while samples > 1:
+        samples = -(-samples // MERGE)
+        out = out.withColumn("_g", F.col("_g") % samples)
         out = out.groupBy("_g").applyInArrow(merged, out.schema)
     return out.select(*df.columns)
 

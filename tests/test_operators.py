@@ -169,7 +169,7 @@ def test_bijection_permutes_positions(spark, n):
 @pytest.mark.parametrize("n", [0, 1, 37, 10_000])
 def test_sample_cap_merges_over_levels(spark, n, monkeypatch):
     """Many tasks, ties between equal keys, nulls and arrays: as a plain sort gives them."""
-    monkeypatch.setattr(S, "MERGE_LEVELS", (5, 2, 1))
+    monkeypatch.setattr(S, "MERGE", 3)
     df = spark.range(0, 6000, numPartitions=23).selectExpr("cast(id % 700 as int) k", "if(id % 5 = 0, null, id) v", "array(id) a")
     got = S.sample_cap(df, n, ["k"], order_cols=["k", "v"]).collect()
     want = df.withColumn("_h", S.hash_int(S.key_string(["k"], 42), 15)).orderBy("_h", "k", "v").limit(n).drop("_h").collect()
