@@ -11,7 +11,9 @@
 3. Classifier. Logistic regression on the presence of the found words and beginnings and of the voters,
    trained on the posterior labels. It scores whole texts; labels, language, source and id never enter.
 
-Counting covers all labelled training rows. The label model and the classifier are fitted on at most
+Counting covers all labelled training rows: rows go to the partition of their family, where each feature is counted once a family, so that
+counts and not (feature, family) pairs are shuffled. Families with more rows than a partition holds on average are counted by pairs. The model keeps
+the ``most_features`` found features of highest bound (50,000), of which the best ``voters`` (128) vote. The label model and the classifier are fitted on at most
 ``fit_rows`` distinct training texts, weighted by their copies: whole hash ranges of the labelled and of the unlabelled ones
 (a documented bound: their features, not their texts, reach the driver).
 Everything is scored.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,18 +48,36 @@ STEMS = (4, 5, 6)
 MARKS = 1 << 24
 
 
-def features_of(text: str | None) -> set[str]:
-    """Words of the text, lower-cased, and their beginnings (marked by a trailing *)."""
-    out = set()
-    for token in set((text or "").lower().split()):
-        for word in (token,) if token.isalpha() else WORD.findall(token):
-            out.add(word)
-            for n in STEMS:
-                if len(word) > n:
-                    out.add(word[:n] + "*")
+def token_features(token: str) -> list[str]:
+    """Words of a lower-cased token and their beginnings (marked by a trailing *)."""
+    out = []
+    for word in (token,) if token.isalpha() else WORD.findall(token):
+        out.append(word)
+        out += [word[:n] + "*" for n in STEMS if len(word) > n]
     return out
 
 
+class Features(dict):
+    """Token -> its features that ``wanted`` maps to something other than None, as tuples; remembered for the latest tokens."""
+
+    def __init__(self, wanted=lambda feature: feature, most: int = 300_000):
+        super().__init__()
+        self.wanted, self.most = wanted, most
+
+    def __missing__(self, token: str) -> tuple:
+        if len(self) >= self.most:
+            self.clear()
+        found = [self.wanted(f) for f in token_features(token)]
+        self[token] = out = tuple(f for f in found if f is not None)
+        return out
+
+    def of(self, text: str | None) -> set:
+        out = set()
+        for token in set((text or "").lower().split()):
+            out.update(self[token])
+        return out
+
+
 def family(text: str | None, run: int = 5) -> int:
     """Near copies mostly share it: the smallest hash of five consecutive words."""
     words = word_hashes((text or "").lower().encode("utf-8", "replace"))[0]
@@ -64,19 +85,12 @@ def family(text: str | None, run: int = 5) -> int:
     return int(h.min().view(np.int64)) if len(h) else 0
 
 
-class Among(dict):
-    """Whether a feature's crc32 is marked in a bitmap, remembered per feature (for the latest ones)."""
-
-    def __init__(self, marks: bytes):
-        super().__init__()
-        self.marks = marks
-
-    def __missing__(self, feature: str) -> int:
-        if len(self) >= 200_000:
-            self.clear()
+def marked(marks: bytes):
+    """The feature if its crc32 is marked in a bitmap, else None."""
+    def wanted(feature: str) -> str | None:
         slot = zlib.crc32(feature.encode("utf-8", "replace")) % MARKS
-        self[feature] = yes = self.marks[slot >> 3] >> (slot & 7) & 1
-        return yes
+        return feature if marks[slot >> 3] >> (slot & 7) & 1 else None
+    return wanted
 
 
 def marks_of(features: DataFrame) -> bytes:
@@ -90,6 +104,15 @@ def marks_of(features: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def with_families(labelled: DataFrame) -> DataFrame:
+    """(text, toxic, family), written."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(family=[family(t) for t in batch["text"]])
+    rows = labelled.select("text", F.col("toxic").cast("int").alias("toxic"))
+    return written(rows.mapInPandas(run, "text string, toxic int, family long"), "toxicity-labelled")
+
+
 def found_features(labelled: DataFrame, z: float = 3.0) -> DataFrame:
     """(feature, toxic, clean, bound): in how many families of toxic and clean documents each feature occurs and the lower
     bound of the toxic share, for all features where that is over one half. ``labelled`` has text and toxic (0/1); all
@@ -97,24 +120,57 @@ def found_features(labelled: DataFrame, z: float = 3.0) -> DataFrame:
     features early, the join leaves out the rest."""
     least = int(np.floor(z * z)) + 1  # with fewer witnesses no bound reaches one half
 
-    def spelled(marks: bytes | None):
+    def features(marks: bytes | None) -> Features:
+        return Features() if marks is None else Features(marked(marks))
+
+    def pairs(marks: bytes | None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            among = None if marks is None else Among(marks)
+            known = features(marks)
             for batch in batches:
                 for i in range(0, len(batch), 256):
                     names, kin = [], []
-                    for text in batch["text"].iloc[i:i + 256]:
-                        has = features_of(text)
-                        if among is not None:
-                            has = [f for f in has if among[f]]
+                    for text, fam in zip(batch["text"].iloc[i:i + 256], batch["family"].iloc[i:i + 256]):
+                        has = known.of(text)
                         names += has
-                        kin += [family(text)] * len(has) if has else []
+                        kin += [fam] * len(has)
                     yield pd.DataFrame({"feature": pd.Series(names, dtype=object), "family": np.array(kin, np.int64)})
         return run
 
+    def tallied(marks: bytes | None):
+        """Rows in the order of family -> (feature, families) of this task."""
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known, seen, at, has = features(marks), Counter(), None, set()
+
+            def made() -> pd.DataFrame:
+                out = pd.DataFrame({"feature": pd.Series(list(seen), dtype=object), "n": np.fromiter(seen.values(), np.int64, len(seen))})
+                seen.clear()
+                return out
+            for batch in batches:
+                for text, fam in zip(batch["text"], batch["family"]):
+                    if fam != at:
+                        seen.update(has)
+                        at, has = fam, set()
+                    has |= known.of(text)
+                if len(seen) > 500_000:
+                    yield made()
+            seen.update(has)
+            yield made()
+        return run
+
+    labelled = labelled if "family" in labelled.columns else with_families(labelled)
+    partitions = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = labelled.groupBy("family").agg(F.count("*").alias("_n"))
+    limit = max(1000, labelled.count() // partitions)
+    # Fewer than partitions of them: each has more than the average partition's rows.
+    hot = written(sizes.where(F.col("_n") > limit).select("family"), "toxicity-hot")
+
     def counted(rows: DataFrame, marks: bytes | None, name: str) -> DataFrame:
-        rows = rows.select("text").mapInPandas(spelled(marks), "feature string, family long").distinct()
-        return rows.groupBy("feature").agg(F.count("*").alias(name))
+        rows = rows.select("text", "family")
+        calm = rows.join(F.broadcast(hot), "family", "left_anti").repartition("family").sortWithinPartitions("family")
+        calm = calm.select("text", "family").mapInPandas(tallied(marks), "feature string, n long")
+        large = rows.join(F.broadcast(hot), "family", "left_semi").select("text", "family").mapInPandas(pairs(marks), "feature string, family long")
+        large = large.distinct().select("feature", F.lit(1).cast("long").alias("n"))
+        return calm.unionByName(large).groupBy("feature").agg(F.sum("n").alias(name))
 
     toxic = written(counted(labelled.where("toxic = 1"), None, "toxic").where(F.col("toxic") >= least), "toxicity-features")
     clean = counted(labelled.where("toxic = 0"), marks_of(toxic), "clean")
@@ -222,15 +278,21 @@ class ToxicityModel:
 
     def score(self, text: Column) -> Column:
         """Probability of toxic, 0 to 1; a text without any feature (null, empty) has the bias's."""
-        names, weights = dict(zip(self.names, self.weights[:-1].tolist())), self.weights
+        names, weights = {f: i for i, f in enumerate(self.names)}, self.weights
         patterns = [(re.compile(p), names[p]) for p in PATTERNS if p in names]
 
         @F.pandas_udf("double")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known = Features(names.get)
             for texts in batches:
-                z = [weights[-1] + sum(names[f] for f in features_of(t) & names.keys())
-                     + (sum(w for p, w in patterns if p.search(t.lower())) if t else 0) for t in texts]
-                yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, float), -40, 40))))
+                z = np.empty(len(texts))
+                for i, t in enumerate(texts):
+                    has = known.of(t)
+                    if t:
+                        lower = t.lower()
+                        has.update(at for p, at in patterns if p.search(lower))
+                    z[i] = weights[-1] + sum(weights[at] for at in sorted(has))
+                yield pd.Series(1 / (1 + np.exp(-np.clip(z, -40, 40))))
         return run(text)
 
 
@@ -243,8 +305,12 @@ def sample_cuts(train: DataFrame, most: int) -> tuple[int, int]:
     """Hashes below which labelled and unlabelled rows are in the fitting sample, at most ``most`` (text, label) of them
     together, copies counted once. Either kind may take half of that, and what the other leaves. Whole hash ranges (of 4,096) are taken;
     where not even the first fits, it is cut into as many again."""
-    known = F.col("toxic").isNotNull().alias("known")
-    once = written(train.select(hash_of(F.col("text")).alias("h"), "toxic", known).distinct().select("h", "known"), "toxicity-hashes")
+    return cuts_of(train.select(hash_of(F.col("text")).alias("h"), "toxic"), most)
+
+
+def cuts_of(hashes: DataFrame, most: int) -> tuple[int, int]:
+    """``sample_cuts`` from (h, toxic) of the rows."""
+    once = written(hashes.select("h", "toxic", F.col("toxic").isNotNull().alias("known")).distinct().select("h", "known"), "toxicity-hashes")
     sizes = {r["known"]: r["count"] for r in once.groupBy("known").count().collect()}
 
     def cut(kind: bool, bound: int) -> int:
@@ -266,22 +332,28 @@ def sample_cuts(train: DataFrame, most: int) -> tuple[int, int]:
     return cut(True, max(half, most - of[1])), cut(False, max(half, most - of[0]))
 
 
-def fit(train: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100_000) -> ToxicityModel:
-    """From (text, toxic 0/1 or null): all rows of ``train`` may be learned from."""
-    counts = found_features(train.where("toxic is not null"), z).toPandas()
-    found = counts.sort_values(["bound", "toxic", "feature"], ascending=[False, False, True])["feature"].tolist()
+def fit(labelled: DataFrame, unlabelled: DataFrame, hashes: DataFrame, z: float = 3.0, voters: int = 128, fit_rows: int = 100_000,
+        most_features: int = 50_000) -> ToxicityModel:
+    """From ``labelled`` (text, toxic 0/1) and ``unlabelled`` (text) rows; ``hashes`` (h) are the ``hash_of`` the unlabelled ones. Every feature
+    is counted; the model holds the ``most_features`` that pass with the highest bound."""
+    labelled = with_families(labelled)
+    counts = found_features(labelled, z)
+    best = counts.orderBy(F.desc("bound"), F.desc("toxic"), "feature").limit(most_features).select("feature").collect()
+    found = [r["feature"] for r in best]
     names = [*LEXICON, *PATTERNS, *[f for f in found if f not in LEXICON]]
     at = {f: i for i, f in enumerate(names)}
     patterns = [(re.compile(p), at[p]) for p in PATTERNS]
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Features(at.get)
         for batch in batches:
-            has = [sorted({at[f] for f in features_of(t) & at.keys()} | {i for p, i in patterns if t and p.search(t.lower())}) for t in batch["text"]]
+            has = [sorted(known.of(t) | {i for p, i in patterns if t and p.search(t.lower())}) for t in batch["text"]]
             yield pd.DataFrame({"has": has, "toxic": batch["toxic"].astype("Int32")})
 
-    labelled, unlabelled = sample_cuts(train, fit_rows)
-    sample = train.where(hash_of(F.col("text")) < F.when(F.col("toxic").isNotNull(), F.lit(labelled)).otherwise(F.lit(unlabelled)))
-    rows = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInPandas(present, "has array<int>, toxic int")
+    nothing, h = F.lit(None).cast("int").alias("toxic"), hash_of(F.col("text"))
+    below, below_unlabelled = cuts_of(labelled.select(h.alias("h"), "toxic").unionByName(hashes.select("h", nothing)), fit_rows)
+    sample = labelled.where(h < below).select("text", "toxic").unionByName(unlabelled.where(h < below_unlabelled).select("text", nothing))
+    rows = sample.mapInPandas(present, "has array<int>, toxic int")
     rows = rows.groupBy("has", "toxic").agg(F.count("*").alias("w")).orderBy("has", "toxic").collect()
     start = np.where(np.arange(len(names)) < len(LEXICON) + len(PATTERNS), 4.0, 0.0)  # what built-in voters weigh before any evidence
     if not rows:
@@ -313,7 +385,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     train = docs.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit(written(train.join(known, "doc_id", "left").select("text", "toxic"), "toxicity-train"), **how)
+    known = known.hint("merge")  # never a broadcast: labels grow with the documents
+    labelled = train.join(known, "doc_id").select("text", "toxic")
+    # Of unlabelled rows only hashes go through the join, and the texts of the few that are sampled.
+    hashes = train.select("doc_id", hash_of(F.col("text")).alias("h")).join(known, "doc_id", "left_anti").select("h")
+    model = fit(labelled, train.join(known, "doc_id", "left_anti").select("text"), hashes, **how)
     score = model.score(F.col(text_col))
     return docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))

@@ -88,6 +88,32 @@ def test_toxicity_counts_every_feature_before_the_bound(spark):
     assert not any(f in got for f in ("aaaa", "bcde", "obbb"))
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_toxicity_counts_match_brute_force(spark, hot):
+    """Families, copies and rows of both classes in one family; with ``hot``, one family has most rows."""
+    from collections import defaultdict
+
+    from cinerank.llm.toxicity import family, lower_bound, token_features  # noqa: F401
+    rng, rows = np.random.default_rng(4), []
+    vocab = [f"{a}{b}word" for a in "abcdefgh" for b in "stuvw"]
+    for i in range(300):
+        text = " ".join(rng.choice(vocab, rng.integers(0, 30)))
+        rows += [(text + (" insultx" if i % 3 == 0 else ""), int(i % 3 == 0))] * int(rng.integers(1, 4))
+    base = "the same first words of a family " * 3
+    rows += [(base + f"tail{i} insulty", i % 4 // 3) for i in range(3000 if hot else 5)] + [(None, 0), ("", 1)]
+    has = defaultdict(lambda: (set(), set()))
+    for text, toxic in rows:
+        for token in (text or "").lower().split():
+            for f in token_features(token):
+                has[f][toxic].add(family(text))
+    def bound(k, n, z=3.0):
+        p = k / n
+        return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    want = {f: (len(t), len(c)) for f, (c, t) in has.items() if len(t) >= 10 and bound(len(t), len(t) + len(c)) > 0.5}
+    got = found_features(spark.createDataFrame(rows, "text string, toxic int").repartition(5)).collect()
+    assert {r.feature: (r.toxic, r.clean) for r in got} == want and "insultx" in want
+
+
 def test_toxicity_sample_counts_copies_once_and_labelled_rows_apart(spark):
     """A text of 500 copies neither ends the sample nor fills it, and unlabelled rows don't push labelled ones out."""
     rows = [(f"w{i}", i % 2 if i < 300 else None) for i in range(2000)]
