@@ -4,8 +4,8 @@ Design for scale: both dimension tables are encoded *before* the joins, so the
 regex, split and genre matching run once per user / movie instead of once per
 rating, and the dimension rows that meet the (huge) ratings side are a few
 ints wide. That keeps them under the broadcast threshold for much longer; when
-they are not, the join is a sort-merge join and AQE splits a hot user's or
-movie's partition (skew join). The multi-hot array is rebuilt from the int
+they are not, the join is a sort-merge join; AQE splits a hot user's or
+movie's partition (skew join), or ``hot_share`` salts the hot keys. The multi-hot array is rebuilt from the int
 genre mask after the joins.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import encoders as E
+from .skew import salted_join
 
 FEATURE_COLUMNS = ["gender_idx", "age_idx", "occ_idx", "zip_idx", "genres", "rating"]
 
@@ -38,17 +39,20 @@ def _occ_ok() -> F.Column:
     return F.col("occ_idx").isNotNull() & F.col("occ_idx").between(0, schema.NUM_OCCUPATION - 1)
 
 
-def joined_features(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
-    """All joined rows with keys, encoded features, genre mask and rating."""
-    return (ratings.select("user_id", "movie_id", "rating", "ts")
-            .join(encode_users(users), "user_id", "inner")
-            .join(encode_movies(movies), "movie_id", "inner")
+def joined_features(ratings: DataFrame, users: DataFrame, movies: DataFrame, hot_share: float | None = None) -> DataFrame:
+    """All joined rows with keys, encoded features, genre mask and rating. With ``hot_share``, users and movies with over
+    that share of the ratings are found first and their rows salted (``skew.salted_join``); else skew is left to adaptive execution."""
+    def met(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        return left.join(right, key, "inner") if hot_share is None else salted_join(left, right, key, share=hot_share)
+
+    rows = met(ratings.select("user_id", "movie_id", "rating", "ts"), encode_users(users), "user_id")
+    return (met(rows, encode_movies(movies), "movie_id")
             .select("user_id", "movie_id", "ts", "gender_idx", "age_idx", "occ_idx", "zip_idx",
                     "genre_mask", E.multihot_from_mask("genre_mask").alias("genres"), "rating"))
 
 
 def build_features(ratings: DataFrame, users: DataFrame, movies: DataFrame,
-                   keep_keys: bool = False) -> DataFrame:
+                   keep_keys: bool = False, hot_share: float | None = None) -> DataFrame:
     """Model-ready rows: gender_idx, age_idx, occ_idx, zip_idx (int), genres
     (array<float>[18]), rating (float); plus genre_mask. With ``keep_keys`` the
     rating keys (user_id, movie_id, ts) stay for splitting.
@@ -56,7 +60,7 @@ def build_features(ratings: DataFrame, users: DataFrame, movies: DataFrame,
     Rows whose occupation is null or outside 0-20 cannot be embedded; they go to
     :func:`feature_rejects` instead.
     """
-    df = joined_features(ratings, users, movies).filter(_occ_ok())
+    df = joined_features(ratings, users, movies, hot_share).filter(_occ_ok())
     cols = (["user_id", "movie_id", "ts"] if keep_keys else []) + FEATURE_COLUMNS + ["genre_mask"]
     return df.select(*cols)
 

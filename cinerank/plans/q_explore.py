@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from ..operators import daily as D
 from ..operators import explore as X
+from ..session import scratch_path
 from ..sources.fixtures import load_fixture
 from .registry import (age_idx_sql, age_label_sql, occupation_label_sql, register, sql_str,
                        sql_with)
@@ -32,7 +34,7 @@ def q_table_counts(spark, sf_dir):
     return X.table_counts(*load_fixture(spark, sf_dir))
 
 
-@register("dataset_summary", sql_with(["ratings"], body="""
+_SUMMARY = sql_with(["ratings"], body="""
 select cast(count(*) as bigint) as n_ratings,
   cast(count(distinct user_id) as bigint) as n_users,
   cast(count(distinct movie_id) as bigint) as n_movies,
@@ -40,11 +42,22 @@ select cast(count(*) as bigint) as n_ratings,
   cast(median(cast(rating as double)) as double) as rating_median,
   cast(epoch_ms(min(ts) * 1000) as date) as first_date,
   cast(epoch_ms(max(ts) * 1000) as date) as last_date
-from ratings"""))
+from ratings""")
+
+
+@register("dataset_summary", _SUMMARY)
 def q_dataset_summary(spark, sf_dir):
     return X.dataset_summary(load_fixture(spark, sf_dir).ratings)
 
 
+@register("dataset_summary_sketched", _SUMMARY)
+def q_dataset_summary_sketched(spark, sf_dir):
+    """From a table of yearly sketches that is written first; 2^18 slots tell the fixture's users and movies apart exactly."""
+    path = scratch_path(spark, "daily")
+    D.add_days(path, load_fixture(spark, sf_dir).ratings, lg_k=18, period="year")
+    return D.sketched_summary(D.read_days(spark, path))
+
+
 @register("rating_distribution", sql_with(["ratings"], body="""
 select cast(rating as double) as rating, cast(count(*) as bigint) as n from ratings group by 1"""))
 def q_rating_distribution(spark, sf_dir):

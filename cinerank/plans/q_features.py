@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import encoders as E
 from ..operators import features as FE
 from ..operators import split as S
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path
 from ..sources import dat
 from ..sources.fixtures import load_fixture
 from .registry import (age_idx_sql, gender_idx_sql, genre_parts_sql, multihot_string_sql, register,
@@ -58,6 +58,13 @@ def q_features(spark, sf_dir):
     return FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))
 
 
+@register("features_salted", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body=f"select {_REPORT_COLS} from feat"))
+def q_features_salted(spark, sf_dir):
+    """The same rows through joins that salt every user and movie with over 0.1 % of the ratings."""
+    t = load_fixture(spark, sf_dir)
+    return FE.features_report(FE.build_features(t.ratings, t.users, t.movies, hot_share=0.001))
+
+
 @register("feature_rejects", sql_with(["ratings", "users", "movies"], body="""
 select r.user_id, r.movie_id, u.occupation as occ_idx from ratings r
   join users u on r.user_id = u.user_id join movies m on r.movie_id = m.movie_id
@@ -82,11 +89,18 @@ def q_split_summary(spark, sf_dir):
     return S.split_summary(S.with_split(fixture_features(spark, sf_dir), seed=SEED))
 
 
-@register("random_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body=f"select {_REPORT_COLS} from feat"))
+@register("random_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body="""
+select cast(count(*) as bigint) as n, cast(0 as bigint) as in_both, cast(count(*) as bigint) as in_one, true as share_within from feat"""))
 def q_random_split(spark, sf_dir):
-    """Both sides together, without the label: no row is lost or doubled (the sides themselves are random)."""
-    train, test = S.random_split(cut_lineage(FE.features_report(fixture_features(spark, sf_dir, keep_keys=False))), 0.8, SEED)
-    return train.unionByName(test)
+    """The sides, judged: rows of both together, rows (numbered before the split) in both, rows in just one, and whether the train side
+    holds 0.8 of them to within five standard deviations."""
+    rows, _ = S.numbered(fixture_features(spark, sf_dir), S.RATING_KEY, SEED)
+    sides = S.random_split(rows, 0.8, SEED)
+    seen = sides[0].select("_pos", F.lit(1).alias("t"), F.lit(0).alias("e")).unionByName(sides[1].select("_pos", F.lit(0).alias("t"), F.lit(1).alias("e")))
+    per_row = seen.groupBy("_pos").agg(F.sum("t").alias("t"), F.sum("e").alias("e"))
+    n, k = F.sum(F.col("t") + F.col("e")), F.sum("t")
+    return per_row.agg(n.alias("n"), F.sum(((F.col("t") > 0) & (F.col("e") > 0)).cast("long")).alias("in_both"), F.sum((F.col("t") + F.col("e") == 1).cast("long")).alias("in_one"),
+                       (F.abs(k - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("share_within"))
 
 
 def fixture_test_set(spark, sf_dir):

@@ -7,7 +7,6 @@ import math
 import os
 from dataclasses import asdict
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions import encoders as E
@@ -82,15 +81,17 @@ RMSE_GATE = 0.62
 
 
 def trained_model(spark, sf_dir, model_type: str, cfg: FitConfig | None = None):
-    """(model, test rows). The fitted model is stored in the shared folder under its data, network and
+    """(model, test rows). The fitted model is stored in the shared folder under its training rows, network and
     configuration; a later query of the same application loads it instead of fitting again."""
     cfg = cfg or FitConfig()
     train, test = S.hash_split(fixture_features(spark, sf_dir))
-    key = hashlib.md5(repr((spark.sparkContext.applicationId, sf_dir, model_type, asdict(cfg))).encode()).hexdigest()
+    rows = F.xxhash64(*train.columns).cast("decimal(38,0)")
+    data = tuple(train.agg(F.count(F.lit(1)), F.sum(rows)).first())  # other rows are other data, whatever their path
+    key = hashlib.md5(repr((spark.sparkContext.applicationId, data, model_type, asdict(cfg))).encode()).hexdigest()
     path = os.path.join(ensure_checkpoint_dir(spark), "models", key)
     try:
         return load_model(spark, path), test
-    except AnalysisException:  # not stored yet
+    except FileNotFoundError:  # not stored yet
         model = fit(train, ModelSpec(model_type), cfg)
         save_model(spark, model, path)
         return model, test

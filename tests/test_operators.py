@@ -174,3 +174,73 @@ def test_sample_cap_merges_over_levels(spark, n, monkeypatch):
     got = S.sample_cap(df, n, ["k"], order_cols=["k", "v"]).collect()
     want = df.withColumn("_h", S.hash_int(S.key_string(["k"], 42), 15)).orderBy("_h", "k", "v").limit(n).drop("_h").collect()
     assert len(got) == min(n, 6000) and sorted((r.k, r.v or -1) for r in got) == sorted((r.k, r.v or -1) for r in want)
+
+
+@pytest.mark.parametrize("scale", [1, 10 ** 15])
+def test_exact_quantiles_equal_percentile(spark, scale):
+    from cinerank.operators.quantiles import exact_quantiles
+    df = spark.range(0, 3001, numPartitions=9).selectExpr("if(id % 3 = 0, 'a', 'b') g", f"if(id % 100 = 7, null, (id * id * 7919) % 1009 * {scale} - 5) v")
+    df = df.unionByName(spark.createDataFrame([("one", 42), ("none", None)], "g string, v long"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = exact_quantiles(df, F.col("v"), probs, F.col("g"))
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile(F.col("v").cast("double"), F.array(*map(F.lit, probs))).alias("q")).collect()}
+    assert want.pop("none") is None and set(got) == set(want) and got["one"] == [42.0] * 7
+    assert all(np.allclose(got[g], want[g], rtol=1e-12) for g in want)
+    assert exact_quantiles(df.where("v > 0 and v < 0"), F.col("v"), probs) == {}
+    halves = df.selectExpr("g", "v / 3.7 + 1e-9 * v * v as v")
+    got = exact_quantiles(halves, F.col("v"), probs)[0]
+    assert np.allclose(got, halves.agg(F.percentile("v", F.array(*map(F.lit, probs)))).first()[0], rtol=1e-12)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_with_a_third_of_the_rows_on_one_key(spark, how):
+    """Same rows as a plain join; the hot key is found, and no salted task has over twice the median."""
+    from cinerank.operators.skew import heavy_hitters, salted_join
+    big = spark.range(0, 30_000, numPartitions=8).selectExpr("if(id % 3 = 0, 7, if(id % 100 = 1, null, cast(id % 5000 as int))) k", "id")
+    small = spark.range(0, 4000).selectExpr("cast(id as int) k", "concat('u', id) name")
+    assert [r["key"] for r in heavy_hitters(big, "k", 0.01).collect()] == [7]
+    got, want = salted_join(big, small, "k", how), big.join(small, "k", how)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert heavy_hitters(big.where("k != 7"), "k", 0.01).count() == 0
+    empty = salted_join(big.limit(0), small, "k", how)
+    assert empty.count() == 0
+
+
+def test_salted_join_spreads_the_hot_key(spark):
+    from cinerank.operators.skew import salted_join
+    big = spark.range(0, 64_000, numPartitions=8).selectExpr("if(id % 3 = 0, 7, cast(id % 5000 as int)) k", "id")
+    small = spark.range(0, 5000).selectExpr("cast(id as int) k", "id as u")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c in before:
+            spark.conf.set(c, "false" if "adaptive" in c else "-1")
+        sizes = [r["count"] for r in salted_join(big, small, "k").groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in big.join(small, "k").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2] < max(plain)
+
+
+def test_daily_sketches_merge_and_replace_days(spark):
+    import os
+    import tempfile
+
+    from cinerank.operators import daily as D
+    path = os.path.join(tempfile.mkdtemp(prefix="cinerank-daily-"), "days")
+    rows = spark.range(0, 60_000).selectExpr("cast(id % 9000 as int) user_id", "cast(id * 7 % 3000 as int) movie_id", "cast(id * 7919 % 1000 / 10 as float) rating",
+                                             "cast(id % 3 * 86400 + id % 1000 as long) ts")
+    for day in (0, 1):
+        D.add_days(path, rows.where(f"ts div 86400 = {day}"))
+    first = sorted((f, os.stat(os.path.join(d, f)).st_mtime_ns) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+    for _ in range(2):  # a replay replaces its own day only
+        D.add_days(path, rows.where("ts div 86400 = 2"))
+    now = sorted((f, os.stat(os.path.join(d, f)).st_mtime_ns) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+    assert set(first) <= set(now) and D.read_days(spark, path).count() == 3
+    s = D.sketched_summary(D.read_days(spark, path)).first()
+    exact = rows.agg(F.round(F.avg("rating"), 6)).first()[0]
+    assert s.n_ratings == 60_000 and abs(s.rating_mean - exact) < 1e-5 and str(s.first_date) == "1970-01-01" and str(s.last_date) == "1970-01-03"
+    assert abs(s.n_users / 9000 - 1) < 0.05 and abs(s.n_movies / 3000 - 1) < 0.05
+    below = rows.where(F.col("rating") <= s.rating_median).count() / 60_000
+    assert abs(below - 0.5) < 0.03

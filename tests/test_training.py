@@ -162,3 +162,31 @@ def test_tree_sum(spark):
 def test_config_knows_its_modes():
     with pytest.raises(ValueError):
         FitConfig(sync="never")
+
+
+def test_a_killed_save_leaves_the_old_model(spark, monkeypatch):
+    """A save that dies before its commit, or in the middle of writing it, changes nothing for readers."""
+    from cinerank.model.score import Model
+    from cinerank.model.spec import init_params
+    from cinerank.sources import model_store as MS
+    path = os.path.join(tempfile.mkdtemp(prefix="cinerank-model-"), "m")
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
+    old, new = (Model(SMALL, init_params(SMALL, seed), {"epoch": seed}) for seed in (1, 2))
+    save_model(spark, old, path)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(MS, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            save_model(spark, new, path)
+    for half in ("", '{"vers'):  # commit files that were not finished
+        with open(os.path.join(path, "commits", f"{len(os.listdir(os.path.join(path, 'commits'))) + 1:010d}"), "w") as f:
+            f.write(half)
+        back = load_model(spark, path)
+        assert back.meta["epoch"] == 1 and all(np.array_equal(back.params[k], v) for k, v in old.params.items())
+    for model in (new, old, new):
+        save_model(spark, model, path)
+    assert load_model(spark, path).meta["epoch"] == 2
+    assert MS.prune_models(spark, path) == 2 and len(MS.commits(spark, path)) == 2 and load_model(spark, path).meta["epoch"] == 2
