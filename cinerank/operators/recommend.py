@@ -107,6 +107,19 @@ def candidate_counts(requests: DataFrame, movies: DataFrame) -> DataFrame:
     return enc.join(counts, "request_mask", "left").select("request_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_candidates"))
 
 
+def candidate_links(requests: DataFrame, movies: DataFrame) -> DataFrame:
+    """The candidates of all valid requests as classes, (kind, id, mask): 'link' rows say which request mask (id) shares a genre with which genre set
+    (mask), 'request' and 'movie' rows which class each request and movie belongs to, one row per row. Joined on the masks they
+    give every (request, movie) pair; spelled out, those grow with requests x movies."""
+    enc = encode_requests(validate_requests(requests).filter(F.col("reject_reason").isNull()))
+    sets = movie_genre_sets(movies)
+
+    def rows(df: DataFrame, kind: str, key: str, mask: str) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), F.col(mask).cast("long").alias("mask"))
+    return (rows(mask_overlaps(enc, sets), "link", "request_mask", "genre_mask").unionByName(rows(enc, "request", "request_id", "request_mask"))
+            .unionByName(rows(sets, "movie", "movie_id", "genre_mask")))
+
+
 def answer_lists(enc: DataFrame, movies: DataFrame, model: Model) -> DataFrame:
     """One row per distinct (profile, request_mask) with a candidate: items, the best ``MAX_TOP_N`` movies as an array
     of (rank, movie_id, title, genres, predicted_rating). Its size is bounded by the vocabularies."""
@@ -130,15 +143,16 @@ def answer_lists(enc: DataFrame, movies: DataFrame, model: Model) -> DataFrame:
     return titled.groupBy(*PROFILE, "request_mask").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
-def recommend_responses(requests: DataFrame, movies: DataFrame, model: Model) -> DataFrame:
+def recommend_responses(requests: DataFrame, movies: DataFrame, model: Model, known: DataFrame | None = None) -> DataFrame:
     """One row per request, in the order they came or not: the request's columns, status ('answered', 'empty' when no
     movie shares a genre, 'rejected' with reject_reason), the profile as labels and items (top_n movies at most).
 
-    Requests meet their answers by what they ask, not by their ids, so repeated or null ids get whole answers each."""
+    Requests meet their answers by what they ask, not by their ids, so repeated or null ids get whole answers each.
+    ``known``: rows of ``answer_lists`` that hold an answer for everything asked, instead of ranking the catalogue."""
     checked = validate_requests(requests)
     valid = F.col("reject_reason").isNull()
     enc = encode_requests(checked.filter(valid))
-    lists = answer_lists(enc, movies, model)
+    lists = answer_lists(enc, movies, model) if known is None else known
     answered = enc.join(lists, [*PROFILE, "request_mask"], "left").drop(*PROFILE, "request_mask")
     every = answered.unionByName(checked.filter(~valid), allowMissingColumns=True)
     items = F.filter(F.coalesce("items", F.array().cast(lists.schema["items"].dataType)), lambda i: i["rank"] <= F.col("top_n"))
@@ -158,6 +172,11 @@ def recommend(requests: DataFrame, movies: DataFrame, model: Model, with_tickets
     return out
 
 
+def asked_profiles(requests: DataFrame) -> DataFrame:
+    """Distinct (profile, request_mask) of the valid requests: what an answer depends on, besides catalogue and model."""
+    return encode_requests(validate_requests(requests).filter(F.col("reject_reason").isNull())).select(*PROFILE, "request_mask").distinct()
+
+
 def profile_labels(requests: DataFrame) -> DataFrame:
     """Request codes turned into labels; zip code and genres kept as given."""
     return requests.select("request_id", E.gender_label("gender").alias("gender"),

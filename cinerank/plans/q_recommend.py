@@ -11,7 +11,7 @@ from ..sources.fixtures import load_fixture, load_requests
 from ..streaming.recommend_stream import run_recommend_stream
 from ..model.score import score_sql
 from .q_model import fixed_model, trained_model
-from .registry import (age_idx_sql, gender_idx_sql, genre_flags_sql, genre_parts_sql, register, sql_str,
+from .registry import (age_idx_sql, gender_idx_sql, genre_flags_sql, genre_mask_sql, genre_parts_sql, register, sql_str,
                        sql_with, zip_idx_sql, age_label_sql, occupation_label_sql)
 
 _KNOWN = "[" + ", ".join(sql_str(g) for g in schema.GENRES) + "]"
@@ -48,6 +48,17 @@ def q_candidates(spark, sf_dir):
     return R.candidate_counts(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies)
 
 
+_MASK = " + ".join(f"{1 << i} * (case when list_contains(glist, {sql_str(g)}) then 1 else 0 end)" for i, g in enumerate(schema.GENRES))
+
+
+@register("candidate_links", sql_with(["requests", "movies"], [_REQ, _CHECKED, _MV, ("r", f"select request_id, cast({_MASK} as bigint) as mask from checked where reject_reason is null"),
+    ("m", f"select movie_id, cast({genre_mask_sql('gset')} as bigint) as mask from mv")], body="""
+select distinct 'link' as kind, r.mask as id, m.mask from r join m on (r.mask & m.mask) <> 0
+union all select 'request', request_id, mask from r union all select 'movie', movie_id, mask from m where mask <> 0"""))
+def q_candidate_links(spark, sf_dir):
+    return R.candidate_links(load_requests(spark, sf_dir), load_fixture(spark, sf_dir).movies)
+
+
 @register("profile_labels", sql_with(["requests"], body=f"""
 select request_id, case gender when 'M' then 'Male' when 'F' then 'Female' end as gender,
   {age_label_sql('age')} as age, {occupation_label_sql('occupation')} as occupation, zip_code,
