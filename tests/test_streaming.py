@@ -38,7 +38,7 @@ def test_answers_are_kept_until_the_model_changes(spark):
     req_dir, out_dir = (os.path.join(base, n) for n in ("req", "out"))
     os.makedirs(req_dir)
     reqs, movies, model = load_requests(spark, SF001).limit(60).cache(), load_fixture(spark, SF001).movies, fixed_model("ncf")
-    other = Model(model.spec, {k: -v for k, v in fixed_params(model.spec).items()})
+    other = Model(model.spec, fixed_params(model.spec, out_bias=2.25))
     flat = lambda df: df.select("request_id", "status", "reject_reason", "zip_code", "top_n", F.to_json("items"))
     kept = []
     for m in (model, model, other):
