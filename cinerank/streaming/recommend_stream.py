@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model.score import Model
 from ..operators.recommend import PROFILE, REQUEST_SCHEMA, answer_lists, asked_profiles, recommend_responses
@@ -48,8 +49,9 @@ def known_answers(batch: DataFrame, batch_id: int, movies: DataFrame, model: Mod
     spark = batch.sparkSession
     asked = asked_profiles(batch)
     lists = answer_lists(asked.limit(0), movies, model)
+    stored_schema = T.StructType([*lists.schema.fields, T.StructField("batch_id", T.LongType())])
     try:
-        stored = spark.read.schema(f"{lists.schema.simpleString()[7:-1]},batch_id:bigint").parquet(path).where(F.col("batch_id") != batch_id).drop("batch_id")
+        stored = spark.read.schema(stored_schema).parquet(path).where(F.col("batch_id") != batch_id).drop("batch_id")
     except AnalysisException:  # the first batch of this version
         stored = lists
     new = asked.join(stored.select(*KEY), KEY, "left_anti")
