@@ -27,11 +27,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place(docs: DataFrame) -> Column:
+    """The hidden file metadata of ``docs``, also where a column of its own is called ``_metadata``."""
+    return docs.metadataColumn("_metadata")
+
+
 def stored(docs: DataFrame) -> DataFrame:
     """``docs`` if it is read straight from Parquet, so that its rows have a place; else written first.
     Operators call it once, so that all their reads see the same rows at the same places."""
     try:
-        docs.select("_metadata.row_index")
+        docs.select(place(docs)["row_index"]).schema
         return docs
     except AnalysisException:
         return written(docs, "input")
@@ -40,7 +45,16 @@ def stored(docs: DataFrame) -> DataFrame:
 def with_locator(docs: DataFrame, *columns: Column | str, file: str = "_file", row: str = "_row") -> DataFrame:
     """The ``columns`` and where each row lies: a hash of its Parquet file's path and its row index there.
     The pair names one row and stays the same however often the file is read. ``docs`` is ``stored``."""
-    return docs.select(*columns, F.xxhash64(F.col("_metadata.file_path")).alias(file), F.col("_metadata.row_index").alias(row))
+    at = place(docs)
+    return docs.select(*columns, F.xxhash64(at["file_path"]).alias(file), at["row_index"].alias(row))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

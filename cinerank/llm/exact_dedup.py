@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import SPACE, stored, with_locator, written
+from .common import SPACE, place, stored, with_locator, written
 
 LOG = "digest string, n_points long, no_id boolean, doc_id long, _file long, _row long, path string, call string"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -97,7 +97,8 @@ def exact_dedup(docs: DataFrame, state: DedupState | None = None, digest: Callab
     spark = docs.sparkSession
     continued, state, call = state is not None, state or DedupState(spark), uuid.uuid4().hex
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    located = with_locator(stored(docs), F.col(id_col).cast("long").alias("doc_id"), text, F.col("_metadata.file_path").alias("path"))
+    docs = stored(docs)
+    located = with_locator(docs, F.col(id_col).cast("long").alias("doc_id"), text, place(docs)["file_path"].alias("path"))
     norm = normalised(F.col("text"))
     log = located.select(digest(norm).alias("digest"), F.length("text").cast("long").alias("n_points"),
                          F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row", "path", F.lit(call).alias("call"))
