@@ -12,19 +12,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import SPACE, stored, table, with_locator, written
+from cinerank.llm.common import SPACE, free_name, stored, table, with_locator, written
 from cinerank.llm.exact_dedup import exact_dedup
 from cinerank.llm.lang_id import UNDETERMINED, held_out, learn
 from cinerank.llm.mixing import mix
 from cinerank.llm.packing import pack_documents
 from cinerank.llm.simhash_dedup import simhash_dedup
 
-PLACE = ["__file", "__row"]
-
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    located = with_locator(docs, "*", file=PLACE[0], row=PLACE[1])
-    return located.join(dropped.select(F.col("_file").alias(PLACE[0]), F.col("_row").alias(PLACE[1])), PLACE, "left_anti").drop(*PLACE)
+    file, row = free_name(docs, "__file"), free_name(docs, "__row")
+    located = with_locator(docs, "*", file=file, row=row)
+    return located.join(dropped.select(F.col("_file").alias(file), F.col("_row").alias(row)), [file, row], "left_anti").drop(file, row)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
     if not model.langs:  # nothing to learn from, nothing to reject by
         return docs
-    return docs.withColumn("__lang", model.predict(F.col("text"))).where(F.col("__lang.lang") != UNDETERMINED).drop("__lang")
+    found = free_name(docs, "__lang")
+    return docs.withColumn(found, model.predict(F.col("text"))).where(F.col(f"{found}.lang") != UNDETERMINED).drop(found)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,14 +51,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per document and epoch of the mix, up to three: the words taken, or the text as it
     is where all of them are. Documents of which nothing is taken go."""
     docs = stored(docs)
-    taken = mix(docs).placements.groupBy("_file", "_row", "epoch").agg(
-        F.sort_array(F.collect_list(F.struct("from", "length"))).alias("__parts"), F.sum("length").alias("__taken"))
-    taken = taken.select(F.col("_file").alias(PLACE[0]), F.col("_row").alias(PLACE[1]), "__parts", "__taken")
+    file, row, parts, size = (free_name(docs, c) for c in ("__file", "__row", "__parts", "__taken"))
+    taken = mix(docs).placements.groupBy(F.col("_file").alias(file), F.col("_row").alias(row), "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("from", "length"))).alias(parts), F.sum("length").alias(size))
+    taken = taken.drop("epoch")
     words = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r")), f"{SPACE}+")
     # The outer array makes the words once per row, not once per part.
-    some = F.transform(F.array(words), lambda w: F.when(F.size(w) == F.col("__taken"), F.col("text")).otherwise(F.array_join(
-        F.flatten(F.transform("__parts", lambda p: F.slice(w, (p["from"] + 1).cast("int"), p["length"].cast("int")))), " ")))[0]
-    mixed = with_locator(docs, "*", file=PLACE[0], row=PLACE[1]).join(taken, PLACE).withColumn("text", some)
+    some = F.transform(F.array(words), lambda w: F.when(F.size(w) == F.col(size), F.col("text")).otherwise(F.array_join(
+        F.flatten(F.transform(parts, lambda p: F.slice(w, (p["from"] + 1).cast("int"), p["length"].cast("int")))), " ")))[0]
+    mixed = with_locator(docs, "*", file=file, row=row).join(taken, [file, row]).withColumn("text", some)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return mixed.select(*docs.columns)
