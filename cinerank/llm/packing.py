@@ -6,7 +6,8 @@ is packed best-fit decreasing. Dual feasible functions give a lower bound of its
 a partition that reaches the bound is certified and done. Partitions with a gap exchange
 documents: their worst filled bins (and, on later tries, other bins) go into one pool, which is dealt
 again to fewer partitions and packed best-fit decreasing; the new bins are taken if they are
-fewer than those given up. This goes on until no gap is left or ``tries`` exchanges in a row
+fewer than those given up. What a partition keeps is judged anew by its own bound and takes part in the
+next exchange if a gap is left. This goes on until no gap is left or ``tries`` exchanges in a row
 win nothing. A task holds the sizes of one partition; the driver sees sums only.
 """
 
@@ -92,55 +93,72 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, np.array(left, np.int64)
 
 
+FIELDS = [c.split()[0] for c in PIECE.split(", ")]
+
+
+def _judged(sizes: np.ndarray, left: np.ndarray, capacity: int, give_up: float) -> tuple[int, np.ndarray]:
+    """Bins over the lower bound of ``sizes``, and whether each bin, with ``left`` space, is among the worst filled."""
+    worst = np.zeros(len(left), bool)
+    order = np.argsort(-left, kind="stable")[:int(np.ceil(give_up * len(left)))]
+    worst[order[left[order] > 0]] = True
+    return len(left) - lower_bound(sizes, capacity), worst
+
+
 def _packed(items: DataFrame, turn: int, capacity: int, items_per_partition: int, give_up: float) -> DataFrame:
     parts = max(1, -(-items.count() // items_per_partition))
-    fields = [c.split()[0] for c in PIECE.split(", ")]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "_h", *fields], ascending=[False] + [True] * (1 + len(fields)), ignore_index=True)
+        group = group.sort_values(["length", "_h", *FIELDS], ascending=[False] + [True] * (1 + len(FIELDS)), ignore_index=True)
         sizes = group["length"].to_numpy()
         bins, offsets, left = best_fit_decreasing(sizes, capacity)
-        worst = np.zeros(len(left), bool)
-        order = np.argsort(-left, kind="stable")[:int(np.ceil(give_up * len(left)))]
-        worst[order[left[order] > 0]] = True
-        return group[[*fields, "part"]].assign(round=turn, bin=bins, offset=offsets, free=left[bins],
-                                               gap=len(left) - lower_bound(sizes, capacity), worst=worst[bins])
+        gap, worst = _judged(sizes, left, capacity, give_up)
+        return group[[*FIELDS, "part"]].assign(round=turn, bin=bins, offset=offsets, free=left[bins], gap=gap, worst=worst[bins])
 
-    dealt = items.select(*fields).withColumn("_h", F.xxhash64(F.lit(turn), "doc_id", "piece", "_row", "ids_crc32"))
+    dealt = items.select(*FIELDS).withColumn("_h", F.xxhash64(F.lit(turn), "doc_id", "piece", "_row", "ids_crc32"))
     dealt = dealt.withColumn("part", F.pmod("_h", F.lit(parts)))
     return written(dealt.groupBy("part").applyInPandas(run, PLACED), f"packing-{turn}")
 
 
+def _kept(rest: DataFrame, capacity: int, give_up: float) -> DataFrame:
+    """Partitions without the bins they gave up: gap and worst bins of what is left."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bins, first, which = np.unique(group["bin"].to_numpy(), return_index=True, return_inverse=True)
+        gap, worst = _judged(group["length"].to_numpy(), group["free"].to_numpy()[first], capacity, give_up)
+        return group.assign(gap=gap, worst=worst[which])
+
+    return rest.groupBy("round", "part").applyInPandas(run, PLACED)
+
+
 def _bins(placed: DataFrame) -> int:
     return placed.where("offset = 0").count()
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, items_per_partition: int = 65536, give_up: float = 0.25, tries: int = 2,
-         max_rounds: int = 12) -> DataFrame:
-    """Adds sequence_id and offset to rows of ``PIECE`` (lengths 1 to ``capacity``), and whether the
-    row's partition reached its lower bound (certified). Rows that repeat are packed as often as they come."""
+def pack(pieces: DataFrame, capacity: int = 2048, items_per_partition: int = 65536, give_up: float = 0.25, tries: int = 2) -> DataFrame:
+    """Adds sequence_id and offset to rows of ``PIECE`` (lengths 1 to ``capacity``), and whether the bins that the
+    row's partition has now reach their lower bound (certified). Rows that repeat are packed as often as they come."""
     current = _packed(written(pieces, "packing-pieces"), 0, capacity, items_per_partition, give_up)
     done, failed, turn = [], 0, 0
-    while failed < tries and turn < max_rounds:
+    while failed < tries:
         released = F.col("worst")
         if failed:  # another mixture: worst bins with a third of the rest
             released = released | (F.pmod(F.xxhash64("part", "bin", F.lit(turn)), F.lit(3)) == 0)
-        released = released & (F.col("gap") > 0)
-        pool = current.where(released)
+        pool = current.where((F.col("gap") > 0) & released)
         before = _bins(pool)
         if not before:
             break
         turn += 1
         again = _packed(pool, turn, capacity, items_per_partition, give_up)
         if _bins(again) < before:
-            done.append(current.where(~released))
-            current, failed = again, 0
+            done.append(current.where("gap <= 0"))
+            rest = _kept(current.where((F.col("gap") > 0) & ~released), capacity, give_up)
+            current, failed = written(again.unionByName(rest), f"packing-{turn}-kept"), 0
         else:
             failed += 1
     out = current
     for x in done:
         out = out.unionByName(x)
-    sequence = F.col("round").cast("long") * (1 << 56) + F.col("part") * (1 << 28) + F.col("bin")
+    # Up to 2^24 bins of a partition, 2^26 partitions, 2^14 rounds.
+    sequence = F.shiftleft(F.col("round").cast("long"), 50) + F.shiftleft("part", 24) + F.col("bin")
     return out.withColumn("sequence_id", sequence).withColumn("certified", F.col("gap") <= 0).drop(
         "round", "part", "bin", "free", "gap", "worst")
 

@@ -1,14 +1,16 @@
-"""Token ids of texts under a lower-casing word BPE tokenizer (Hugging Face ``tokenizers`` file).
-
-The tokenizer library is slow mostly because it normalises and splits every text anew. Here texts
-are split in numpy, words that repeat are found by hash and compared letter by letter, and only
-words not met before in this worker go to the BPE model. Texts with characters outside the plain
-range below (where lower-casing and normalisation are one character to one) go through the
-library as they are, so ids always equal ``Tokenizer.encode(..., add_special_tokens=False)``.
+"""Token ids of texts: what ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives.
+
+The tokenizer library is slow mostly because it normalises and splits every text anew. Under a lower-casing
+word BPE file (``LAYOUT``) texts are split in numpy, words that repeat are found by hash and compared
+letter by letter, and only words not met before in this worker go to the BPE model. Texts with characters outside
+the plain range below (where lower-casing and normalisation are one character to one), and texts that hold
+the string of an added token (which becomes that token, as in the library), go through the library as they are.
+Under any other file all texts do.
 """
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +26,15 @@ BLANK, LETTER, NUMBER, SYMBOL = range(4)
 KIND = np.array([LETTER if chr(i).isalpha() else NUMBER if chr(i).isnumeric() else SYMBOL if PLAIN[i] and i > 32 else BLANK
                  for i in range(TOP + 1)], np.uint8)
 KIND[~PLAIN] = BLANK
+#: The settings of the tokenizer files that are split in numpy.
+LAYOUT = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>",
+              "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}}
 _draw = np.random.Generator(np.random.PCG64(7))
 WEIGHT = _draw.integers(0, 1 << 63, TOP + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 WEIGHT[KIND == BLANK] = 0
@@ -79,11 +90,20 @@ class WordTokens:
 
     def __init__(self, path: str, keep: int = 500_000, chunk: int = 1 << 19):
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        self.added, self.splits = self._settings()
         self.model, self.letters = self.full.model, byte_letters()
         self.keep, self.chunk = keep, chunk
         self.known, self.recent = Known(), {}  # recent: by hash, until there are enough to merge
 
+    def _settings(self) -> tuple[list[str], bool]:
+        """The strings of added tokens, and whether texts can be split here."""
+        file = json.loads(self.full.to_str())
+        added = file["added_tokens"]
+        layout = {k: file[k] for k in LAYOUT}
+        layout["model"] = {k: v for k, v in layout["model"].items() if k not in ("vocab", "merges")}
+        simple = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in added)
+        return [t["content"] for t in added], layout == LAYOUT and simple and not file["truncation"] and not file["padding"]
+
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, np.int32)
 
@@ -119,6 +139,8 @@ class WordTokens:
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        if not self.splits:
+            return [self._library(text or "") for text in texts]
         parts, owner = [], []
         for i, text in enumerate(texts):
             for part in self._parts(text or ""):
@@ -141,6 +163,7 @@ class WordTokens:
         begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         codes = np.minimum(codes, TOP).astype(np.uint16)
         odd = np.add.reduceat(~PLAIN[codes], begin[:-1]) > 0
+        odd |= np.array([any(a in t for a in self.added) for t in texts], bool)
         for i in np.flatnonzero(odd):
             codes[begin[i]:begin[i + 1]] = 10
         out = self._plain(codes, begin)

@@ -13,7 +13,8 @@ WORD = "[^\x20\x09-\x0D]+"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside: extra columns of these names must not disturb them.
 CLASHES = ("fp", "_file", "_row", "digest", "norm", "n", "best", "size", "sid", "piece", "part", "key", "text_key", "places", "score", "tile",
-           "block", "cid", "v", "code", "group", "host", "node", "rank", "kept", "component_id", "_h", "_b", "toxic", "bad", "spans", "whole")
+           "block", "cid", "v", "code", "group", "host", "node", "rank", "kept", "component_id", "_h", "_b", "toxic", "bad", "spans", "whole",
+           "_metadata", "__lang", "__file", "__row", "__parts", "__taken", "epoch")
 
 
 def words(text):
@@ -34,7 +35,7 @@ def awkward(spark, clashes=True):
             (5, "one", "de", "b", 3), (6, "one ", "de", "b", 4), (7, "one two", "en", None, 7), (None, "one two", "en", "c", 7),
             (None, None, None, None, None), (8, base, "en", "a", len(base)), (9, base + " tail", "en", "a", None), (10, base.replace(" ", "  "), "fr", "c", 1),
             (11, "A " + base + " " + base, "fr", "c", 1), (12, "same row", "es", "d", 8), (12, "same row", "es", "d", 8), (12, "other text", "es", "d", 8),
-            (13, " ".join(rng.choice(vocab, 30_000)), "en", "a", 9), (14, "日本 語 \U0001F600 é e\u0301 İ", "en", "é", 1), (15, "word " * 200, "en", "z", 1)]
+            (13, " ".join(rng.choice(vocab, 30_000)), "en", "a", 9), (14, "日本 語 \U0001F600 é e\u0301 İ", "en", "é", 1), (15, "word " * 200, "en", "z", 1), (16, "Don't <|endoftext|> x<|startoftext|>", "en", "z", 1)]
     df = spark.createDataFrame(rows, DOCS)
     return with_clashes(df) if clashes else df
 

@@ -208,21 +208,27 @@ def test_mix_shards(spark):
 
 
 def test_word_tokens_equal_the_library():
-    w = WordTokens(tokenizer_path(), keep=500, chunk=300)
     rng = np.random.default_rng(9)
     odd = list("abcstmdrevl'’ \t\n\r.,!?123²½ÀÉßŉſΣσİ́é\xa0\xad日<|>")
     texts = ["".join(rng.choice(odd, rng.integers(0, 60))) for _ in range(1500)]
     texts += ["don't I'll 've 'rest '' 's!'s we're've", "<|endoftext|> x <|startoftext|>", "", "x" * 700, "ab " * 400]
-    got = w.encode([*texts, None])
-    want = [e.ids for e in w.full.encode_batch(texts, add_special_tokens=False)] + [[]]
-    assert [x.tolist() for x in got] == want
-
-
-def check_pack(df):
+    texts += ["a" * 310 + " Don't<|endoftext|>x " + "b " * 300]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+        path = public_tokenizers.path(name)
+        w = WordTokens(path, keep=500, chunk=300)
+        assert w.splits == name.startswith("word")
+        got = w.encode([*texts, None])
+        want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)] + [[]]
+        assert [x.tolist() for x in got] == want
+
+
+def check_pack(df, name="word_bpe_49k.json"):
+    import public_tokenizers
     from tokenizers import Tokenizer
-    tokens = Tokenizer.from_file(tokenizer_path())
-    tokens.encode_special_tokens = True
-    got = pack_documents(df, tokenizer_path()).collect()
+    tokens = Tokenizer.from_file(public_tokenizers.path(name))
+    got = pack_documents(df, public_tokenizers.path(name)).collect()
     want = Counter()
     for r in df.select("doc_id", "text").collect():
         ids = tokens.encode(r.text or "", add_special_tokens=False).ids + [0]
@@ -247,6 +253,7 @@ def test_pack_awkward_empty_and_documents(spark):
     check_pack(brute.awkward(spark))
     assert pack_documents(brute.empty(spark), tokenizer_path()).collect() == []
     check_pack(spark.read.parquet(f"{SF001}/documents.parquet"))
+    check_pack(brute.awkward(spark), "byte_bpe_50k.json")
 
 
 def test_bounds_and_best_fit():
@@ -272,6 +279,25 @@ def test_partitions_with_gaps_exchange(spark):
     assert whole <= split <= first and split - whole <= 0.5 * (first - whole) + 2
 
 
+def test_certified_means_that_the_final_bins_reach_their_bound(spark):
+    """Partitions that gave bins up are judged by what they have left; every piece is placed once."""
+    rng = np.random.default_rng(12)
+    rows = [(i, 0, i, 0, 0, int(n), i) for i, n in enumerate(rng.integers(300, 1100, 2000))]
+    pieces = spark.createDataFrame(rows, "doc_id long, _file long, _row long, piece int, start long, length long, ids_crc32 long")
+    got = pack(pieces, items_per_partition=60, give_up=0.1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(2000))
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert all(o == sum(n for p, n in b if p < o) for b in bins.values() for o, _ in b)
+    parts = defaultdict(list)
+    for r in got:
+        parts[r.sequence_id >> 24].append(r)
+    for rs in parts.values():
+        bound = lower_bound(np.array([r.length for r in rs], np.int64), 2048)
+        assert {r.certified for r in rs} == {len({r.sequence_id for r in rs}) <= bound}
+
+
 def test_urls(spark):
     rows = [("https://A.Example.NET/en/1?x#y", "a.example.net", "/en/1", "example.net/en/", "allow"), ("http://b.net/x", "b.net", "/x", "net/", "block"),
             ("http://b.net", "b.net", "", None, None), ("http://net/", "net", "/", "net/", "block"), ("x://example.com/de/#a://b", "example.com", "/de/", "example.com/de/", "block"),
