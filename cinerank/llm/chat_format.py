@@ -11,6 +11,9 @@ node belongs to the first conversation that has it. For each node the output has
 * start and last: where it begins in the depth-first order, and where its subtree ends. A node
   attends to the nodes whose interval start..last holds its own start: its ancestors and itself.
 
+``read_back`` rebuilds conversations from these alone: nodes are dealt to ranges of the depth-first order, together with the
+ancestors open there (one path), and read in order with a stack that the intervals fill and empty.
+
 A node's key is a chained hash of roles and texts, so equal beginnings meet in a group-by (combined
 before the shuffle; a first turn of a third of all conversations costs a row per task). The order and
 all offsets are running sums made in two steps, over ranges of ordered conversations and
@@ -62,23 +65,20 @@ def read_turn(formatted: str) -> tuple[str, str]:
     return unescape(role), unescape(text)
 
 
-def _chained(max_shared: int):
+def _chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by conversation and turn: adds the turn's number, the chained hash of the path that ends there, and the
     one before. Only the running state of one conversation is held."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        conv, depth, chain = None, 0, b""
-        for batch in batches:
-            out = []
-            for cid, no_id, text in zip(batch["cid"], batch["no_id"], batch["text"]):
-                if conv != (cid, no_id):
-                    conv, depth, chain = (cid, no_id), 0, b""
-                parent = chain
-                own = f"{cid} {no_id}".encode() if depth >= max_shared else b""
-                chain = hashlib.sha256(parent + own + text.encode("utf-8", "surrogatepass")).digest()[:16]
-                out.append((depth, chain.hex(), parent.hex()))
-                depth += 1
-            yield pd.concat([batch.reset_index(drop=True), pd.DataFrame(out, columns=["depth", "node", "parent"])], axis=1)
-    return run
+    conv, depth, chain = None, 0, b""
+    for batch in batches:
+        out = []
+        for cid, no_id, text in zip(batch["cid"], batch["no_id"], batch["text"]):
+            if conv != (cid, no_id):
+                conv, depth, chain = (cid, no_id), 0, b""
+            parent = chain
+            chain = hashlib.sha256(parent + text.encode("utf-8", "surrogatepass")).digest()[:16]
+            out.append((depth, chain.hex(), parent.hex()))
+            depth += 1
+        yield pd.concat([batch.reset_index(drop=True), pd.DataFrame(out, columns=["depth", "node", "parent"])], axis=1)
 
 
 def _tokenised(path: str):
@@ -111,16 +111,16 @@ def _running(rows: DataFrame, keys: list[str], value: Column, name: str) -> Data
     return ranged.join(sums, "_part").withColumn(name, F.col("_before") + F.sum(value).over(inside) - value).drop("_part", "_before")
 
 
-def prefix_tree(turns: DataFrame, tokenizer: str | None = None, max_shared: int = 1024) -> tuple[DataFrame, DataFrame]:
+def prefix_tree(turns: DataFrame, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(nodes, paths). nodes: one row per distinct beginning: node, parent (empty for a first turn), depth, role, text,
     n, loss_from, loss_n, position, start, last (see the module's text) and body_from, body_chars, token_ids. With a tokenizer's file
     the unit of n, loss, position, start and last is its tokens, else characters and token_ids is null.
     paths: (conv_id, cid, no_id, depth, node), one row per turn.
 
     Turns (conv_id, turn, role, text) are ordered by turn, then role, then text (nulls first; repeated turns are turns
-    of their own). A null role or text counts as empty; rows with a null conv_id are one conversation. Turns after
-    the first ``max_shared`` of a conversation are nodes of their own, not merged with others'. Other columns are
-    ignored; an empty table gives empty results.
+    of their own). A null role or text counts as empty; rows with a null conv_id are one conversation. Equal beginnings
+    are merged at any depth: a conversation's path is one sort key of 16 bytes a turn, less than its text. Other
+    columns are ignored; an empty table gives empty results.
     """
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     head, body = F.concat(F.lit(BEGIN), escape_role(role), F.lit(MIDDLE)), escape(text)
@@ -130,7 +130,7 @@ def prefix_tree(turns: DataFrame, tokenizer: str | None = None, max_shared: int
                         F.length(head).alias("body_from"), F.length(body).alias("body_chars"))
     rows = rows.repartition("no_id", "cid").sortWithinPartitions("no_id", "cid", "turn", "role", "raw").drop("turn", "raw")
     columns = "cid long, no_id boolean, role string, text string, body_from int, body_chars int"
-    chained = written(rows.mapInPandas(_chained(max_shared), columns + ", depth int, node string, parent string"), "chat-turns")
+    chained = written(rows.mapInPandas(_chained, columns + ", depth int, node string, parent string"), "chat-turns")
     paths = chained.select(F.when(~F.col("no_id"), F.col("cid")).alias("conv_id"), "cid", "no_id", "depth", "node")
 
     nodes = chained.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "role", "text", "body_from", "body_chars")])
@@ -143,8 +143,8 @@ def prefix_tree(turns: DataFrame, tokenizer: str | None = None, max_shared: int
     nodes = written(nodes.withColumn("loss_n", F.when(F.col("role") == "assistant", F.col("loss_n")).otherwise(0)), "chat-nodes")
 
     # Conversations in the order of their paths: equal beginnings stand together.
-    shared = paths.where(F.col("depth") < max_shared)
-    order = shared.groupBy("cid", "no_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("depth", "node"))), lambda s: s["node"]).alias("path"))
+    order = paths.groupBy("cid", "no_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("depth", F.unhex("node").alias("key")))), lambda s: s["key"]).alias("path"))
     order = _running(order, ["path", "no_id", "cid"], F.lit(1).cast("long"), "rank").select("cid", "no_id", "rank")
     along = Window.partitionBy("cid", "no_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
     met = paths.join(nodes.select("node", "n"), "node").withColumn("position", F.sum("n").over(along) - F.col("n"))
@@ -159,41 +159,62 @@ def prefix_tree(turns: DataFrame, tokenizer: str | None = None, max_shared: int
                         (F.col("before") + F.col("position") - F.col("skip")).alias("start"), "last", "body_from", "body_chars", "token_ids"), paths
 
 
-def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Nodes of each conversation in order: digests of the turns and of the text under the loss mask."""
-    conv, state = None, None
+READ = "node string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
-    def done():
-        return (*conv, state["n"], state["turns"].hexdigest(), state["loss_chars"], state["loss"].hexdigest(), state["chars"])
 
-    for batch in batches:
-        out = []
-        for cid, no_id, text, begin, size, loss in zip(*(batch[c] for c in ("cid", "no_id", "text", "body_from", "body_chars", "loss_n"))):
-            if conv != (cid, no_id):
-                if conv:
-                    out.append(done())
-                conv, state = (cid, no_id), {"n": 0, "turns": hashlib.sha256(), "loss_chars": 0, "loss": hashlib.sha256(), "chars": 0}
-            role, said = read_turn(text)
-            state["n"] += 1
-            state["chars"] += len(text)
-            state["turns"].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-            if loss:
-                masked = unescape(text[begin:begin + size])
-                state["loss_chars"] += len(masked)
-                state["loss"].update(masked.encode("utf-8", "surrogatepass"))
-        if out:
-            yield pd.DataFrame(out, columns=READ.replace(" long", "").replace(" string", "").replace(" boolean", "").split(", "))
-    if conv:
-        yield pd.DataFrame([done()], columns=READ.replace(" long", "").replace(" string", "").replace(" boolean", "").split(", "))
-
-
-READ = "cid long, no_id boolean, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-
-
-def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """One row per conversation, read from the emitted nodes: conv_id, n_turns, turns_sha256 (role, line end, text, line end
-    of each turn), loss_chars and loss_sha256 (all text under the loss mask, unescaped), formatted_chars."""
-    rows = paths.select("cid", "no_id", "depth", "node").join(nodes.select("node", "text", "body_from", "body_chars", "loss_n"), "node")
-    rows = rows.repartition("no_id", "cid").sortWithinPartitions("no_id", "cid", "depth")
-    found = rows.select("cid", "no_id", "text", "body_from", "body_chars", "loss_n").mapInPandas(_read_back, READ)
-    return found.select(F.when(~F.col("no_id"), F.col("cid")).alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+def _read_ranges(tokenizer: str | None):
+    """Rows sorted by range and start: what the path to each node of a range says, from units and intervals."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if tokenizer:
+            from tokenizers import Tokenizer
+            library = Tokenizer.from_file(tokenizer)
+
+            def written_as(units) -> str:
+                return library.decode(units.tolist(), skip_special_tokens=False) if len(units) else ""
+        else:
+            def written_as(units) -> str:
+                return units
+        here, path = None, []  # path: (last, end position, digests and counts up to here) of the open nodes
+        for batch in batches:
+            out = []
+            for part, home, node, start, last, position, n, begin, size, units in zip(*(batch[c] for c in (
+                    "part", "home", "node", "start", "last", "position", "n", "loss_from", "loss_n", "units"))):
+                if part != here:
+                    here, path = part, []
+                while path and path[-1][0] <= start:
+                    path.pop()
+                _, at, turns, loss, loss_chars, chars = path[-1] if path else (0, 0, hashlib.sha256(), hashlib.sha256(), 0, 0)
+                if position != at or len(units) != n:
+                    raise ValueError("positions don't follow the intervals")
+                text, turns = written_as(units), turns.copy()
+                role, said = read_turn(text)
+                turns.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+                if size:
+                    masked, loss = unescape(written_as(units[begin:begin + size])), loss.copy()
+                    loss_chars += len(masked)
+                    loss.update(masked.encode("utf-8", "surrogatepass"))
+                path.append((last, at + n, turns, loss, loss_chars, chars + len(text)))
+                if home == part:
+                    out.append((node, len(path), turns.hexdigest(), loss_chars, loss.hexdigest(), chars + len(text)))
+            if out:
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in READ.split(", ")])
+    return run
+
+
+def read_back(nodes: DataFrame, paths: DataFrame, tokenizer: str | None = None, width: int = 1 << 18) -> DataFrame:
+    """One row per conversation, read from the emitted tree: conv_id, n_turns, turns_sha256 (role, line end, text, line end
+    of each turn), loss_chars and loss_sha256 (all text under the loss mask, unescaped), formatted_chars.
+
+    A conversation is the path to its last node: the nodes whose start..last holds that node's start, put together by
+    position (a position that doesn't follow raises ValueError). With the tree's ``tokenizer`` texts and the text under the mask are
+    decoded from token_ids, else they are cut from ``text`` by characters. Ranges of ``width`` units of the depth-first order
+    are read apart; a node comes to each range that its interval meets, at most one path of them to a range besides its own nodes.
+    """
+    units = F.col("token_ids") if tokenizer else F.col("text")
+    home, until = F.floor(F.col("start") / width), F.floor((F.col("last") - 1) / width)
+    rows = nodes.select("node", "start", "last", "position", "n", "loss_from", "loss_n", units.alias("units"), home.alias("home"),
+                        F.explode(F.sequence(home, until)).alias("part"))
+    found = rows.repartition("part").sortWithinPartitions("part", "start").mapInPandas(_read_ranges(tokenizer), READ)
+    ends = paths.groupBy("cid", "no_id").agg(F.max_by("node", "depth").alias("node"))
+    return ends.join(found, "node").select(F.when(~F.col("no_id"), F.col("cid")).alias("conv_id"), "n_turns", "turns_sha256", "loss_chars",
+                                           "loss_sha256", "formatted_chars")

@@ -66,7 +66,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return read_back(*prefix_tree(turns, tokenizer or public_tokenizers.path("byte_bpe_50k.json")))
+    tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return read_back(*prefix_tree(turns, tokenizer), tokenizer)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,20 +33,20 @@ def by_conversation(rows):
     return {c: [(r, x) for _, _, r, x in sorted(v)] for c, v in out.items()}
 
 
-@pytest.mark.parametrize("tokenizer,max_shared", [(None, 1024), ("byte_bpe_50k.json", 1024), (None, 1)])
-def test_tree(spark, tokenizer, max_shared):
+@pytest.mark.parametrize("tokenizer", [None, "byte_bpe_50k.json"])
+def test_tree(spark, tokenizer):
     import public_tokenizers
     path = public_tokenizers.path(tokenizer) if tokenizer else None
     rows = awkward_turns()
     want = by_conversation(rows)
-    nodes, paths = prefix_tree(brute.with_clashes(spark.createDataFrame(rows, TURNS)), path, max_shared)
+    nodes, paths = prefix_tree(brute.with_clashes(spark.createDataFrame(rows, TURNS)), path)
     nodes, paths = nodes.collect(), paths.collect()
     # Depth first, without gaps; each shared beginning once.
     at = 0
     for n in sorted(nodes, key=lambda n: n.start):
         assert n.start == at
         at += n.n
-    beginnings = {tuple(turns[:i + 1]) + ((c,) if i >= max_shared else ()) for c, turns in want.items() for i in range(len(turns))}
+    beginnings = {tuple(turns[:i + 1]) for turns in want.values() for i in range(len(turns))}
     assert len(nodes) == len(beginnings)
     # A conversation is its last node with the nodes whose interval holds that node's start, in order.
     of, depth = {n.node: n for n in nodes}, defaultdict(int)
@@ -73,9 +73,20 @@ def test_tree(spark, tokenizer, max_shared):
                 assert tokens.decode(n.token_ids[n.loss_from:n.loss_from + n.loss_n]) == n.text[n.body_from:n.body_from + n.body_chars]
 
 
-def test_read_back(spark):
-    rows = awkward_turns()
-    got = {r.conv_id: r for r in read_back(*prefix_tree(spark.createDataFrame(rows, TURNS))).collect()}
+def long_turns():
+    """Two conversations that part after 1,500 turns, and one that ends there."""
+    return [(c, t, "user" if t % 2 else "assistant", f"{t}" if t < 1500 else f"{c} {t}") for c, end in ((50, 1600), (51, 1510), (52, 1500)) for t in range(end)]
+
+
+@pytest.mark.parametrize("tokenizer,width", [(None, 1 << 18), (None, 40), ("byte_bpe_50k.json", 1 << 18), ("byte_bpe_50k.json", 25)])
+def test_read_back(spark, tokenizer, width):
+    import public_tokenizers
+    path = public_tokenizers.path(tokenizer) if tokenizer else None
+    rows = awkward_turns() + (long_turns() if width > 100 else [])
+    nodes, paths = prefix_tree(spark.createDataFrame(rows, TURNS), path)
+    if width > 100:
+        assert nodes.where("depth between 1000 and 1499").count() == 500
+    got = {r.conv_id: r for r in read_back(nodes, paths, path, width).collect()}
     want = by_conversation(rows)
     assert set(got) == set(want)
     for c, turns in want.items():
@@ -83,7 +94,26 @@ def test_read_back(spark):
         assert got[c].n_turns == len(turns) and got[c].loss_chars == len(said)
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
         assert got[c].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
-    assert read_back(*prefix_tree(spark.createDataFrame([], TURNS))).collect() == []
+    assert read_back(*prefix_tree(spark.createDataFrame([], TURNS), path), path).collect() == []
+
+
+@pytest.mark.parametrize("broken", ["start", "last", "position", "loss_from", "token_ids"])
+def test_read_back_sees_a_broken_tree(spark, broken):
+    import public_tokenizers
+    from pyspark.errors import PythonException
+    from pyspark.sql import functions as F
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    nodes, paths = prefix_tree(spark.createDataFrame(awkward_turns(), TURNS), path)
+    good = sorted(map(str, read_back(nodes, paths, path).collect()))
+    second = (F.col("depth") == 1) & (F.col("text").contains("hi"))  # the node shared by conversations 1, 2 and 3, with children
+    wrong = {"start": F.col("start") + F.col("n"), "last": F.col("start") + F.col("n"), "position": F.col("position") + 1,
+             "loss_from": F.col("loss_from") + 1, "token_ids": F.reverse("token_ids")}[broken]
+    where = F.col("loss_n") > 0 if broken == "loss_from" else second
+    nodes = nodes.withColumn(broken, F.when(where, wrong).otherwise(F.col(broken)))
+    try:
+        assert sorted(map(str, read_back(nodes, paths, path).collect())) != good
+    except PythonException:
+        pass
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
