@@ -10,7 +10,7 @@ from cinerank.llm import common, word_hashes
 from cinerank.llm.embedding_dedup import embedding_dedup
 from cinerank.llm.exact_dedup import DedupState, exact_dedup, normalised, sha256
 from cinerank.llm.simhash_dedup import bit_totals, fingerprint, fingerprint_links, simhash_dedup
-from cinerank.llm.substring_dedup import repeated_spans, substring_dedup
+from cinerank.llm.substring_dedup import lengths, repeated_spans, substring_dedup
 from cinerank.session import scratch_path
 
 
@@ -131,8 +131,8 @@ def test_substring_awkward_and_empty(spark):
     assert substring_dedup(brute.empty(spark)).collect() == []
 
 
-@pytest.mark.parametrize("window", [2, 5, 35])
-def test_substring_random(spark, window, monkeypatch):
+@pytest.mark.parametrize("window,first", [(2, None), (5, None), (35, None), (5, 1), (35, 5), (35, 9)])
+def test_substring_random(spark, window, first):
     """Passages shared by documents, inside one document, and overlapping themselves."""
     rng = np.random.default_rng(window)
     passages = [" ".join(rng.choice(list("abcdefgh"), n)) for n in (34, 35, 36, 80, 200)]
@@ -143,7 +143,25 @@ def test_substring_random(spark, window, monkeypatch):
             t += " " + p + " " + f"u{i}"
         texts.append(t)
     texts += ["x " * 34, "y " * 35, "z " * 36, texts[3], texts[3]]
-    check_substring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), window=window)
+    check_substring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), window=window, first=first)
+
+
+def test_substring_levels():
+    assert lengths(35, 35) == [18] and lengths(35, 9) == [9, 18] and lengths(35, 5) == [5, 9, 18] and lengths(2, 1) == [1]
+
+
+@pytest.mark.parametrize("first", [None, 9])
+def test_substring_different_texts_with_one_key(spark, monkeypatch, first):
+    """Texts that share the first hash are not taken for copies of each other."""
+    from cinerank.llm import substring_dedup as module
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(module, "_text_keys", lambda text: (F.pmod(F.xxhash64(text), F.lit(3)), F.xxhash64(F.lit(1), text)))
+    check_substring(brute.awkward(spark), first=first)
+
+
+def test_substring_ends_where_no_candidate_survives(spark):
+    rows = [(i, " ".join(f"w{i} {k}" for k in range(60))) for i in range(5)]
+    check_substring(spark.createDataFrame(rows, "doc_id long, text string"), first=9)
 
 
 def test_parts_cover_windows():
