@@ -149,14 +149,16 @@ def prefix_tree(turns: DataFrame, tokenizer: str | None = None) -> tuple[DataFra
     along = Window.partitionBy("cid", "no_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
     met = paths.join(nodes.select("node", "n"), "node").withColumn("position", F.sum("n").over(along) - F.col("n"))
     met = met.join(order, ["cid", "no_id"]).groupBy("node").agg(F.min("rank").alias("first"), F.max("rank").alias("final"), F.min("position").alias("position"))
-    nodes = nodes.join(met, "node")
+    # Offsets are found without texts and ids, which are joined once.
+    places = nodes.select("node", "n").join(met, "node")
     # The nodes that a conversation is the first to have are the end of its path.
-    fresh = nodes.groupBy(F.col("first").alias("rank")).agg(F.sum("n").alias("fresh"), F.min("position").alias("skip"))
+    fresh = places.groupBy(F.col("first").alias("rank")).agg(F.sum("n").alias("fresh"), F.min("position").alias("skip"))
     ranks = _running(order.join(fresh, "rank", "left").fillna(0, ["fresh", "skip"]), ["rank"], F.col("fresh"), "before")
-    nodes = nodes.join(ranks.select(F.col("rank").alias("first"), "before", "skip"), "first").join(
+    places = places.join(ranks.select(F.col("rank").alias("first"), "before", "skip"), "first").join(
         ranks.select(F.col("rank").alias("final"), (F.col("before") + F.col("fresh")).alias("last")), "final")
-    return nodes.select("node", "parent", "depth", "role", "text", "n", "loss_from", "loss_n", "position",
-                        (F.col("before") + F.col("position") - F.col("skip")).alias("start"), "last", "body_from", "body_chars", "token_ids"), paths
+    places = places.select("node", "position", (F.col("before") + F.col("position") - F.col("skip")).alias("start"), "last")
+    return nodes.join(places, "node").select("node", "parent", "depth", "role", "text", "n", "loss_from", "loss_n", "position",
+                                             "start", "last", "body_from", "body_chars", "token_ids"), paths
 
 
 READ = "node string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
