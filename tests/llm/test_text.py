@@ -39,7 +39,7 @@ def test_language_ignores_what_it_may_not_see(spark):
 
 def test_language_awkward_and_empty(spark):
     got = language_id(brute.awkward(spark)).collect()
-    assert len(got) == 19
+    assert len(got) == 20
     assert {r.doc_id for r in got if r.lang_pred == "und"} == {1, 2, 3, None}
     assert language_id(brute.empty(spark)).collect() == []
     unlabelled = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
