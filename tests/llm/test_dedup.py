@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 from cinerank.llm import common, word_hashes
+from cinerank.llm import embedding_dedup as embedding
 from cinerank.llm.embedding_dedup import embedding_dedup
 from cinerank.llm.exact_dedup import DedupState, exact_dedup, normalised, sha256
 from cinerank.llm.simhash_dedup import bit_totals, fingerprint, fingerprint_links, simhash_dedup
@@ -247,6 +248,33 @@ def test_embedding_recall_with_a_common_mean_and_few_dimensions(spark, dim, comm
     assert all(got[r[0]] <= r[1] for r in want)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.5, 2.0])
+def test_embedding_index_with_separated_labels(spark, spread):
+    """Labels around centres ``spread`` times the vectors' own norm: the index finds nine tenths of the links and compares few pairs."""
+    rng = np.random.default_rng(11)
+    rows, centres = [], spread * rng.normal(size=(3, 64))
+    for i in range(3000):
+        v, label = rng.normal(size=64), i % 3 if i % 2 else 0
+        rows += [(2 * i, (centres[label] + v).tolist(), label), (2 * i + 1, (centres[label] + v + 0.25 * rng.normal(size=64)).tolist(), label)]
+    df = vectors(spark, rows, False)
+    want = {}
+    for label in range(3):
+        ids = [r[0] for r in rows if r[2] == label]
+        x = np.array([r[1] for r in rows if r[2] == label], np.float32).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        want |= dict(zip(ids, ((x @ x.T >= 0.93).sum(axis=1) - 1).tolist()))
+    got = {r.vec_id: r.n_links for r in embedding_dedup(df, row_cost=1.0, block=256).collect()}
+    assert sum(want.values()) > 3000 and 0.9 * sum(want.values()) <= sum(got.values())
+    assert all(got[k] <= n for k, n in want.items())
+    classes = df.select(F.monotonically_increasing_id().alias("cid"), F.col("label").cast("long").alias("group"), F.lit(1).cast("long").alias("n"),
+                        F.col("embedding").cast("array<double>").alias("v"), F.xxhash64("vec_id").alias("k1"), F.lit(0).cast("long").alias("k2"))
+    buckets = embedding._dealt(*embedding._index(classes, 64, len(rows), 0.93, 2_000_000, 1.0), 64, "float32").groupBy("group", "place", "key").count()
+    met = buckets.agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    every = sum(n * (n - 1) / 2 for n in Counter(r[2] for r in rows).values())
+    print("candidates over pairs of a label:", spread, met / every)
+    assert met < (0.2 if spread < 1 else 0.6) * every
+
+
 def test_embeddings_empty_and_few_dimensions(spark):
     assert embedding_dedup(vectors(spark, [])).collect() == []
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (3, [0.0, 1.0], 1)]
