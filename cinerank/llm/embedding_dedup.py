@@ -227,10 +227,10 @@ def _index(classes: DataFrame, dim: int, n: int, threshold: float, fit_numbers:
     fit, wide = max(1, fit_numbers // dim), 1 << 40
     order = F.pmod(F.xxhash64("k2", "k1"), F.lit(wide))
     sample = classes.where(F.col("mean").isNotNull()).where(order < min(wide, int(wide * 2 * (fit + 100) / n) + 1))
-    sample = sample.orderBy(order, "k1", "k2").select("v", "mean").limit(fit).collect()
-    if not sample:
+    sample = sample.orderBy(order, "k1", "k2").select("v", "mean").limit(fit).toArrow()
+    if not sample.num_rows:
         return classes, Tables([], {t: (0, 1) for t in tiers})
-    x, m = (_matrix([r[c] for r in sample], dim) for c in ("v", "mean"))
+    x, m = (_matrix(sample[c].to_pandas(), dim) for c in ("v", "mean"))
     return classes, learn_tables(_unit(x), m, threshold, tiers, row_cost)
 
 
