@@ -19,7 +19,8 @@ blocks of ``block`` words. The mix is a number of output shards of block slots:
 
 Running sums over a source (places of documents, ranks of blocks) are made in two steps, sums
 of 4,096 hash buckets and then within each bucket, so a source with a third of all rows is
-spread like any other.
+spread like any other. Sources themselves may be many (hosts): they are numbered by range partitions, sums
+over them are made in two steps as well, and a draw looks its source up in a cell of the unit interval that few sources share.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.split import global_position
 from .common import SPACE, stored, with_locator, written
 
 BUCKETS, CELLS = 4096, 1024
@@ -51,23 +53,31 @@ def word_count(text: Column) -> Column:
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     """From (source, source_size): sid, weight and target. One row per source throughout."""
-    ordered = Window.orderBy(F.col("source").isNull(), "source")
-    ranked = sizes.withColumn("sid", (F.row_number().over(ordered) - 1).cast("int"))
+    ranked = global_position(sizes, [F.col("source").isNull(), F.col("source")], "_at").withColumn("sid", (F.col("_at") - 1).cast("int")).drop("_at")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("sid") % len(weights) + 1)
     ranked = ranked.withColumn("weight", weight.cast("double")).withColumn("most", (cap * F.col("source_size")).cast("double"))
     # The first source, by cap per weight, that isn't stopped sets the level; those before it are stopped.
-    by_level = Window.orderBy(F.col("most") / F.col("weight"), "sid")
-    before, everything = by_level.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    total = F.sum("source_size").over(everything)
-    left = F.coalesce(F.sum("most").over(before), F.lit(0.0))
-    open_weight = F.sum("weight").over(by_level.rowsBetween(0, Window.unboundedFollowing))
-    level = (total - left) / open_weight
-    ranked = ranked.withColumn("_level", level).withColumn("_open", F.col("_level") <= F.col("most") / F.col("weight"))
-    level = F.min(F.when(F.col("_open"), F.struct((F.col("most") / F.col("weight")).alias("r"), "sid", "_level"))).over(everything)
-    return ranked.withColumn("target", F.least("most", F.col("weight") * F.coalesce(level["_level"], F.lit(0.0)))).select(
+    sums = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    ranked = global_position(ranked.withColumn("_r", F.col("most") / F.col("weight")), [F.col("_r"), F.col("sid")], "_at")
+    bucket = F.floor(F.col("_at") / BUCKETS)
+    steps = _running(ranked, bucket, ["_at"], F.col("most"), "_left")
+    steps = _running(steps, bucket, ["_at"], F.col("weight"), "_weights")
+    level = (F.lit(sums[0]) - (F.col("_left") - F.col("most"))) / (F.lit(sums[1]) - F.col("_weights") + F.col("weight"))
+    found = steps.select("_r", "sid", level.alias("_level")).where("_level <= _r").agg(F.min(F.struct("_r", "sid", "_level")).alias("l")).first()["l"]
+    return ranked.withColumn("target", F.least("most", F.col("weight") * F.lit(float(found["_level"]) if found else 0.0))).select(
         "source", "sid", "source_size", "weight", "target")
 
 
+def _running(df: DataFrame, bucket: Column, order: list[str], value: Column, name: str) -> DataFrame:
+    """Adds the running sum of ``value`` over the whole table, by ``bucket`` and in it by ``order``: one row per bucket is
+    added up in one place, and each bucket on its own."""
+    df = df.withColumn("_g", bucket).withColumn("_v", value)
+    sums = df.groupBy("_g").agg(F.sum("_v").alias("_s"))
+    before = sums.select("_g", (F.sum("_s").over(Window.orderBy("_g")) - F.col("_s")).alias("_before"))
+    inside = F.sum("_v").over(Window.partitionBy("_g").orderBy(*order))
+    return df.join(before, "_g").withColumn(name, F.col("_before") + inside).drop("_g", "_v", "_before")
+
+
 def _numbers(first: Column, last: Column, chunk: int = 1 << 16) -> tuple[Column, Column]:
     """first..last in two explodes, so that no row holds a long array: explode the first as _c, then the second."""
     return (F.explode(F.sequence(F.floor(first / chunk), F.floor(last / chunk))),
@@ -96,7 +106,9 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     sources = sources.withColumn("n_blocks", n_blocks.cast("long")).withColumn("rest", rest).withColumn("quota", (epochs * n_blocks + partial).cast("long"))
     sources = written(sources.withColumn("last", F.when(F.col("rest") > 0, F.col("rest") - (partial - 1) * block).otherwise(block).cast("long"))
                       .drop("rest"), "mix-sources")
-    slots = int(sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0])
+    slots, n_sources = sources.agg(F.coalesce(F.sum("quota"), F.lit(0)).cast("long"), F.count("*")).first()
+    # As many cells as sources or more, so that a cell has few sources, and at most some thousands of slots.
+    n_cells = min(max(CELLS, 1 << n_sources.bit_length(), 1 << (slots // 4096).bit_length()), (1 << 62) // max(1, slots))
 
     # Documents' places in their sources, and their parts by block.
     rows = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select(rows["*"], "sid", "source_size", "target")
@@ -124,13 +136,14 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     blocks = blocks.hint("merge").join(sums, ["sid", "_b"]).select("sid", "block", (F.col("_before") + rank).alias("index"))
 
     # Multinomial counts of each shard, found through cells of the unit interval.
-    share = sources.where("quota > 0").select("sid", "quota", F.sum("quota").over(Window.orderBy("sid")).alias("_hi"))
+    by_sid = F.floor(F.col("sid") / BUCKETS)
+    share = _running(sources.where("quota > 0").select("sid", "quota"), by_sid, ["sid"], F.col("quota"), "_hi")
     share = share.withColumn("_lo", F.col("_hi") - F.col("quota"))
-    cells = share.select("sid", "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") * CELLS / F.lit(max(1, slots))),
-                                                                    F.floor((F.col("_hi") - 1) * CELLS / F.lit(max(1, slots))))).alias("_cell"))
+    outer, inner = _numbers(F.floor(F.col("_lo") * n_cells / F.lit(max(1, slots))), F.floor((F.col("_hi") - 1) * n_cells / F.lit(max(1, slots))))
+    cells = share.withColumn("_c", outer).withColumn("_cell", inner).select("sid", "_lo", "_hi", "_cell")
     u = spark.range(slots).select(F.floor(F.col("id") / slots_per_shard).alias("shard"),
                                   F.pmod(F.xxhash64(F.lit(seed + 2), "id"), F.lit(max(1, slots))).alias("_u"))
-    u = u.withColumn("_cell", F.floor(F.col("_u") * CELLS / F.lit(max(1, slots))))
+    u = u.withColumn("_cell", F.floor(F.col("_u") * n_cells / F.lit(max(1, slots))))
     drawn = u.join(cells, "_cell").where("_u >= _lo and _u < _hi").groupBy("shard", "sid").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     drawn = drawn.join(share.select("sid", "quota"), "sid").withColumn("_k", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
@@ -139,10 +152,10 @@ def mix(docs: DataFrame, block: int = 64, slots_per_shard: int = 16384, weights:
     # What the last shards drew beyond a quota goes to the sources that fell short, one by one.
     kept = drawn.where("_keep > 0").select("shard", "sid", F.explode(F.sequence("_k", F.col("_k") + F.col("_keep") - 1)).alias("k"))
     over = drawn.where("n > _keep").select("shard", F.col("sid").alias("_s"), (F.col("n") - F.col("_keep")).alias("_n"))
-    over = over.withColumn("_hi", F.sum("_n").over(Window.orderBy("shard", "_s")))
+    over = _running(over, F.floor(F.col("shard") / 64), ["shard", "_s"], F.col("_n"), "_hi")
     over = over.select("shard", F.explode(F.sequence(F.col("_hi") - F.col("_n"), F.col("_hi") - 1)).alias("_r"))
     short = share.join(drawn.groupBy("sid").agg(F.sum("_keep").alias("_had")), "sid", "left").fillna(0, ["_had"]).where("_had < quota")
-    short = short.withColumn("_hi", F.sum(F.col("quota") - F.col("_had")).over(Window.orderBy("sid")))
+    short = _running(short, by_sid, ["sid"], F.col("quota") - F.col("_had"), "_hi")
     short = short.withColumn("_lo", F.col("_hi") - F.col("quota") + F.col("_had"))
     short = short.select("sid", "_had", "_lo", F.explode(F.sequence("_lo", F.col("_hi") - 1)).alias("_r"))
     filled = over.hint("merge").join(short, "_r").select("shard", "sid", (F.col("_had") + F.col("_r") - F.col("_lo")).alias("k"))

@@ -182,6 +182,18 @@ def test_mix_takes_tiny_sources_to_their_target(spark):
     assert len(got) == 90 and all(abs(r.taken - want[f"s{r.doc_id:03d}"]) <= 0.51 for r in got)
 
 
+def test_mix_of_many_sources(spark):
+    """100,000 sources of 0 to 9 words: every one ends at its target."""
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), F.col("id")).alias("source"),
+                                       F.repeat(F.lit("word "), (F.col("id") % 10).cast("int")).alias("text"))
+    m = mix(docs, block=4)
+    want = brute.targets({f"host{i}": i % 10 for i in range(100_000)})
+    got = m.documents.collect()
+    assert len(got) == 100_000
+    assert all(abs(r.target - want[f"host{r.doc_id}"]) < 1e-6 * max(1, r.target) for r in got)
+    assert all(r.target - 4 <= r.taken <= r.target + 1 and r.taken <= 3 * r.size for r in got)
+
+
 def test_mix_awkward_empty_and_alike_in_reruns(spark, tmp_path):
     check_mix(brute.awkward(spark), block=8)
     assert mix(brute.empty(spark)).documents.collect() == []
