@@ -155,6 +155,15 @@ class LanguageModel:
         return run(text)
 
 
+    def rejects(self, text: Column, predicted: Column) -> Column:
+        """Whether ``text`` is in none of the languages, ``predicted`` being its prediction: ``und``, or a text of at least
+        32 characters, 10 of them different, no nearer to any prototype than two standard deviations of the cosine of
+        unrelated random vectors (others have too few n-grams to say so)."""
+        by_chance = 2 / self.dim ** 0.5
+        return (predicted["lang"] == UNDETERMINED) | (
+            (predicted["score"] < by_chance) & (F.length(text) >= 32) & (F.size(F.array_distinct(F.split(text, ""))) >= 10))
+
+
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = 1024, n: int = 3,
           seed: int = 42, max_langs: int = 4096) -> LanguageModel:
     """Prototypes from all rows with a non-null language. Each task bundles its rows, so a

@@ -185,6 +185,18 @@ def test_stages_against_brute_force(spark):
     assert sum(r.offset == 0 for r in packed) == len({r.sequence_id for r in packed})
 
 
+def test_language_stage_uses_the_prediction(spark):
+    """Texts in no language learned go, of those learned none does, short ones included."""
+    docs = table(spark, SF001, "documents")
+    other = ["xqzv jkwq zxv ybkq wvxz gjfq " * 20, "в чащах юга жил бы цитрус да но фальшивый экземпляр " * 10, "12 34 " * 20, None]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(other)], "doc_id long, text string")
+    got = stage("language_id")(spark, docs.unionByName(more, allowMissingColumns=True), SF001)
+    kept = {r.doc_id for r in got.select("doc_id").collect()}
+    assert not any(i < 0 for i in kept)
+    clean = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert kept == clean
+
+
 def test_stages_on_an_empty_table(spark):
     docs = brute.empty(spark)
     for name, f in corpus_pipeline.STAGES:
