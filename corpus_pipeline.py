@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cinerank.llm.common import SPACE, free_name, stored, table, with_locator, written
 from cinerank.llm.exact_dedup import exact_dedup
-from cinerank.llm.lang_id import UNDETERMINED, held_out, learn
+from cinerank.llm.lang_id import held_out, learn
 from cinerank.llm.mixing import mix
 from cinerank.llm.packing import pack_documents
 from cinerank.llm.simhash_dedup import simhash_dedup
@@ -27,12 +27,13 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents without a language: null texts and texts without a letter."""
+    """Drops the documents in none of the languages of ``docs``: null texts, texts without a letter, and texts of 32 or more
+    characters (10 of them different) whose cosine with the nearest language is no more than chance gives."""
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
     if not model.langs:  # nothing to learn from, nothing to reject by
         return docs
     found = free_name(docs, "__lang")
-    return docs.withColumn(found, model.predict(F.col("text"))).where(F.col(f"{found}.lang") != UNDETERMINED).drop(found)
+    return docs.withColumn(found, model.predict(F.col("text"))).where(~model.rejects(F.col("text"), F.col(found))).drop(found)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
