@@ -16,7 +16,9 @@ Shape of the job
   ``tree_sum`` adds groups of ``fan_in`` arrays level by level, in the order of the shards: a shard is one shuffled row, a task holds
   ``fan_in`` arrays, and only the sum (size of the network) reaches the driver. ``averages_per_epoch`` times an epoch; raise
   it with the number of shards.
-* ``sync="step"``: synchronous SGD. An epoch is one barrier stage. A row's step and its replica (one of ``replicas`` parts of each batch, which
+* ``sync="step"``: synchronous SGD. Where a network without batch normalisation takes one step an epoch over all rows (one replica), the step is
+  a plain sum over the rows: each task adds up the gradients of its Arrow batches, ``tree_sum`` adds up the tasks, and the driver makes
+  the update; no task holds the batch. Else an epoch is one barrier stage. A row's step and its replica (one of ``replicas`` parts of each batch, which
   batch normalisation sees alone) are hashes of its key, so they are the same on any number of workers, and so is the result. In each step
   the workers exchange their replicas' summed gradients, loss and running moments with one ``allGather`` and make the same update. If one task
   fails, Spark runs the whole stage again from the parameters of the epoch's start. The exchange passes the driver (workers squared
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.tree import tree_sum
-from ..session import cut_lineage
+from ..session import cut_lineage, stored_rows
 from . import kernel as K
 from .score import Model
 from .spec import ModelSpec, flatten, init_params, unflatten
@@ -70,10 +72,10 @@ class FitConfig:
 
 
 def _keyed_rows(train: DataFrame) -> tuple[DataFrame, int]:
-    """Training columns with a hash of each row's key, checkpointed, and their number. Fewer than two are an error."""
+    """Training columns with a hash of each row's key, stored, and their number. Fewer than two are an error."""
     key_cols = [c for c in ("user_id", "movie_id", "ts") if c in train.columns] or TRAIN_COLS
-    rows = cut_lineage(train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"),
-                                    F.xxhash64(*key_cols).alias("_rk")))
+    rows = stored_rows(train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"),
+                                    F.xxhash64(*key_cols).alias("_rk")), "training-rows")
     n = rows.count()
     if n < 2:
         raise ValueError(f"cannot train on {n} rows: batches are normalised, which takes two at least")
@@ -89,7 +91,10 @@ def prepare_shards(train: DataFrame, rows_per_shard: int) -> DataFrame:
 
 def prepare_replicas(train: DataFrame, replicas: int, workers: int) -> DataFrame:
     """Training rows with the replica of each (_replica, by its key), whole replicas on each of ``workers`` partitions, checkpointed."""
-    rows, _ = _keyed_rows(train)
+    return _replicas(_keyed_rows(train)[0], replicas, workers)
+
+
+def _replicas(rows: DataFrame, replicas: int, workers: int) -> DataFrame:
     rows = rows.withColumn("_replica", F.pmod(F.xxhash64("_rk", F.lit("replica")), F.lit(replicas)).cast("int"))
     return cut_lineage(rows.repartitionById(min(workers, replicas), F.col("_replica") % min(workers, replicas)))
 
@@ -211,6 +216,39 @@ def _step_job(shards: DataFrame, bc, epoch: int, n_steps: int, lr: float, cfg: F
     return ordered.mapInPandas(run, "_id long, v array<double>", barrier=True).repartition(1)
 
 
+def _sum_job(rows: DataFrame, bc, cfg: FitConfig) -> DataFrame:
+    """Rows, loss and gradients of one step over all rows, added up by task. For networks without batch normalisation, in which rows
+    don't depend on each other."""
+    def run(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        spec, P, *_, names, _ = bc.value
+        total = None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            g, a, o, z, mask = (pdf[c].to_numpy(np.int64) for c in TRAIN_COLS[:5])
+            loss, G = K.loss_and_grads(P, spec, g, a, o, z, K.multihot(mask), pdf["rating"].to_numpy(np.float64), clamp_in_training=cfg.clamp_in_training)
+            part = n * np.concatenate([[1.0, loss], flatten(G, names)])
+            total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"_id": [TaskContext.get().partitionId()], "v": [total]})
+
+    return rows.select(*TRAIN_COLS).mapInPandas(run, "_id long, v array<double>")
+
+
+def _stepped(total: np.ndarray, P: dict, M: dict, V: dict, t: int, spec: ModelSpec, names: list, lr: float, cfg: FitConfig) -> np.ndarray:
+    """What ``_step_job`` emits, after one step by the sums of ``_sum_job``."""
+    n = total[0]
+    G = {k: v.copy() for k, v in unflatten(total[2:] / n, spec, names).items()}
+    K.clip_grad_norm(G, cfg.max_grad_norm)
+    P, M, V = dict(P), dict(M), dict(V)
+    K.adam_step(P, G, M, V, t + 1, lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay)
+    return np.concatenate([[1.0, total[1] / n, 1.0, t + 1], flatten(P, names), flatten(M, names), flatten(V, names)])
+
+
 def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: Model | None = None,
         shards: DataFrame | None = None, on_better=None) -> Model:
     """Train ``spec`` on a feature DataFrame (gender_idx, age_idx, occ_idx, zip_idx,
@@ -224,12 +262,18 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
     cfg = cfg or FitConfig()
     spark = train.sparkSession
     stepwise = cfg.sync == "step"
-    if shards is None:
+    names, bufs = spec.trainable_names(), spec.buffer_names()
+    one_sum = False
+    if not stepwise:
+        shards = prepare_shards(train, cfg.rows_per_shard) if shards is None else shards
+        n_steps = 0
+    else:
+        rows, n = _keyed_rows(train) if shards is None else (shards, shards.count())
+        n_steps = max(1, -(-n // (cfg.batch_size * cfg.replicas)))
+        one_sum = n_steps == 1 and cfg.replicas == 1 and not bufs
         workers = min(cfg.sync_workers, spark.sparkContext.defaultParallelism)
-        shards = prepare_replicas(train, cfg.replicas, workers) if stepwise else prepare_shards(train, cfg.rows_per_shard)
+        shards = rows if one_sum or shards is not None else _replicas(rows, cfg.replicas, workers)
     n_shards = shards.rdd.getNumPartitions()
-    n_steps = max(1, -(-shards.count() // (cfg.batch_size * cfg.replicas))) if stepwise else 0
-    names, bufs = spec.trainable_names(), spec.buffer_names()
     opt = (init.meta.get("optimizer") if init else None) or {}
     if init:
         P = init.params
@@ -248,7 +292,10 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
         loss = batches = 0.0
         for part in range(1 if stepwise else cfg.averages_per_epoch):
             bc = spark.sparkContext.broadcast((spec, P, M, V, t, names, bufs))
-            if stepwise:
+            if one_sum:
+                summed = [{"v": _stepped(np.array(r["v"]), P, M, V, t, spec, names, lr, cfg)}
+                          for r in tree_sum(_sum_job(shards, bc, cfg), n_shards, cfg.fan_in).collect()]
+            elif stepwise:
                 summed = _step_job(shards, bc, epoch, n_steps, lr, cfg).collect()
             else:
                 summed = tree_sum(_epoch_job(shards, bc, epoch, part, lr, cfg), n_shards, cfg.fan_in).collect()

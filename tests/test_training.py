@@ -190,3 +190,36 @@ def test_a_killed_save_leaves_the_old_model(spark, monkeypatch):
         save_model(spark, model, path)
     assert load_model(spark, path).meta["epoch"] == 2
     assert MS.prune_models(spark, path) == 2 and len(MS.commits(spark, path)) == 2 and load_model(spark, path).meta["epoch"] == 2
+
+
+def test_one_step_over_all_rows_is_a_sum_over_tasks(spark, split01, monkeypatch):
+    """A network without batch normalisation: the rows of a batch of all rows stay in the tasks that hold them, and the step is that of the joined batch."""
+    import math
+
+    from cinerank.model import kernel as K
+    from cinerank.model import train as T
+    from cinerank.model.score import Model
+    from cinerank.model.spec import fixed_params
+    train, _ = split01
+    small = train.orderBy(*S.RATING_KEY).limit(3000).cache()
+    spec = ModelSpec("ncf", embed_dim=4, hidden_dims=[], dropout=0.0)
+    cfg = FitConfig(num_epochs=2, sync="step", replicas=1, sync_workers=1, batch_size=1 << 40, max_grad_norm=math.inf, out_bias_from_mean=False)
+    init = Model(spec, fixed_params(spec), {})
+    with monkeypatch.context() as m:
+        for name in ("_replicas", "_step_job"):  # they would bring all rows to one worker
+            m.setattr(T, name, None)
+        seen = []
+        m.setattr(T, "tree_sum", lambda parts, n, fan_in: seen.append(parts.count()) or tree(parts, n, fan_in))
+        from cinerank.operators.tree import tree_sum as tree
+        got = fit(small.repartition(5), spec, cfg, init=init)
+    assert min(seen) >= 2
+    cols = small.select(*T.TRAIN_COLS).toPandas()
+    P = fixed_params(spec)
+    Mo, Vo = ({n: np.zeros_like(P[n]) for n in spec.trainable_names()} for _ in range(2))
+    x = [cols[c].to_numpy(np.int64) for c in T.TRAIN_COLS[:4]]
+    for t in (1, 2):
+        loss, G = K.loss_and_grads(P, spec, *x, K.multihot(cols["genre_mask"].to_numpy()), cols["rating"].to_numpy(np.float64))
+        assert got.meta["history"][t - 1][1] == pytest.approx(loss, rel=1e-12)
+        K.adam_step(P, G, Mo, Vo, t, K.cosine_lr(t - 1, 2, cfg.lr, cfg.min_lr_ratio))
+    assert all(np.allclose(got.params[k], v, atol=1e-10) for k, v in P.items())
+    assert all(np.array_equal(init.params[k], v) for k, v in fixed_params(spec).items())
