@@ -89,18 +89,23 @@ def q_split_summary(spark, sf_dir):
     return S.split_summary(S.with_split(fixture_features(spark, sf_dir), seed=SEED))
 
 
-@register("random_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body="""
-select cast(count(*) as bigint) as n, cast(0 as bigint) as in_both, cast(count(*) as bigint) as in_one, true as share_within from feat"""))
+@register("random_split", sql_with(["ratings", "users", "movies"], [_FEATURES_CTE], body=f"""
+select {_REPORT_COLS}, cast(1 as bigint) as sides, cast(count(*) over () as bigint) as n, cast(0 as bigint) as in_both,
+  cast(count(*) over () as bigint) as in_one, true as share_within from feat"""))
 def q_random_split(spark, sf_dir):
-    """The sides, judged: rows of both together, rows (numbered before the split) in both, rows in just one, and whether the train side
-    holds 0.8 of them to within five standard deviations."""
+    """The rows of both sides, each with the number of sides it is in, and the sides judged: rows of both together, rows (numbered before
+    the split) in both, rows in just one, and whether the train side holds 0.8 of them to within five standard deviations."""
     rows, _ = S.numbered(fixture_features(spark, sf_dir), S.RATING_KEY, SEED)
     sides = S.random_split(rows, 0.8, SEED)
-    seen = sides[0].select("_pos", F.lit(1).alias("t"), F.lit(0).alias("e")).unionByName(sides[1].select("_pos", F.lit(0).alias("t"), F.lit(1).alias("e")))
-    per_row = seen.groupBy("_pos").agg(F.sum("t").alias("t"), F.sum("e").alias("e"))
+    both = sides[0].withColumn("_t", F.lit(1)).unionByName(sides[1].withColumn("_t", F.lit(0)))
+    per_row = both.groupBy("_pos").agg(F.sum("_t").cast("long").alias("t"), F.sum(1 - F.col("_t")).cast("long").alias("e"))
     n, k = F.sum(F.col("t") + F.col("e")), F.sum("t")
-    return per_row.agg(n.alias("n"), F.sum(((F.col("t") > 0) & (F.col("e") > 0)).cast("long")).alias("in_both"), F.sum((F.col("t") + F.col("e") == 1).cast("long")).alias("in_one"),
-                       (F.abs(k - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("share_within"))
+    judged = per_row.agg(n.alias("n"), F.sum(((F.col("t") > 0) & (F.col("e") > 0)).cast("long")).alias("in_both"), F.sum((F.col("t") + F.col("e") == 1).cast("long")).alias("in_one"),
+                         (F.abs(k - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("share_within"))
+    counted = both.join(per_row.select("_pos", (F.col("t") + F.col("e")).alias("sides")), "_pos")
+    report = FE.features_report(counted).columns
+    return (counted.withColumn("genres", E.multihot_string("genres")).withColumn("rating", F.col("rating").cast("double"))
+            .select(*report, "sides").crossJoin(F.broadcast(judged)))  # one row
 
 
 def fixture_test_set(spark, sf_dir):

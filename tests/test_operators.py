@@ -244,3 +244,18 @@ def test_daily_sketches_merge_and_replace_days(spark):
     assert abs(s.n_users / 9000 - 1) < 0.05 and abs(s.n_movies / 3000 - 1) < 0.05
     below = rows.where(F.col("rating") <= s.rating_median).count() / 60_000
     assert abs(below - 0.5) < 0.03
+
+
+def test_random_split_returns_the_rows_of_both_sides(spark):
+    from cinerank.plans import registry
+    from cinerank.plans.q_features import fixture_features
+    got = registry.queries()["random_split"](spark, SF001)
+    rows = FE_report(fixture_features(spark, SF001))
+    assert got.select(*rows.columns).exceptAll(rows).count() == 0 and got.count() == rows.count() > 1
+    judged = got.drop(*rows.columns).distinct().collect()
+    assert [r.asDict() for r in judged] == [{"sides": 1, "n": rows.count(), "in_both": 0, "in_one": rows.count(), "share_within": True}]
+
+
+def FE_report(features):
+    from cinerank.operators.features import features_report
+    return features_report(features)
