@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import encoders as E
-from .skew import salted_join
+from .skew import salted_join, salts, with_salt
 
 FEATURE_COLUMNS = ["gender_idx", "age_idx", "occ_idx", "zip_idx", "genres", "rating"]
 
@@ -41,12 +41,18 @@ def _occ_ok() -> F.Column:
 
 def joined_features(ratings: DataFrame, users: DataFrame, movies: DataFrame, hot_share: float | None = None) -> DataFrame:
     """All joined rows with keys, encoded features, genre mask and rating. With ``hot_share``, users and movies with over
-    that share of the ratings are found first and their rows salted (``skew.salted_join``); else skew is left to adaptive execution."""
-    def met(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-        return left.join(right, key, "inner") if hot_share is None else salted_join(left, right, key, share=hot_share)
-
-    rows = met(ratings.select("user_id", "movie_id", "rating", "ts"), encode_users(users), "user_id")
-    return (met(rows, encode_movies(movies), "movie_id")
+    that share of the ratings are found first, in the ratings alone, and their rows salted there for both joins (``skew.salted_join``); else skew
+    is left to adaptive execution. Movies come first: a mask is one column to carry through the second join, a user four."""
+    rows = ratings.select("user_id", "movie_id", "rating", "ts")
+    if hot_share is None:
+        rows = rows.join(encode_movies(movies), "movie_id").join(encode_users(users), "user_id")
+    else:
+        hot = salts(rows, ["movie_id", "user_id"], hot_share)
+        for key in hot:
+            rows = with_salt(rows, key, hot[key], f"_salt_{key}")
+        rows = salted_join(rows, encode_movies(movies), "movie_id", table=hot["movie_id"], salt="_salt_movie_id")
+        rows = salted_join(rows, encode_users(users), "user_id", table=hot["user_id"], salt="_salt_user_id")
+    return (rows
             .select("user_id", "movie_id", "ts", "gender_idx", "age_idx", "occ_idx", "zip_idx",
                     "genre_mask", E.multihot_from_mask("genre_mask").alias("genres"), "rating"))
 

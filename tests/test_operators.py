@@ -246,6 +246,26 @@ def test_daily_sketches_merge_and_replace_days(spark):
     assert abs(below - 0.5) < 0.03
 
 
+def test_hot_keys_are_found_in_one_pass_over_the_ratings(spark):
+    """Salted features read the ratings twice, however many joins: to find the hot keys of all joins, and to join."""
+    from cinerank.operators import features as FE
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    ratings = spark.range(4000).selectExpr("cast(if(id % 3 = 0, 1, id % 50) as int) user_id", "cast(if(id % 4 = 0, 2, id % 70) as int) movie_id",
+                                           "cast(1 + id % 5 as float) rating", "id % 900 as ts")
+    users = spark.range(48).selectExpr("cast(id as int) user_id", "if(id % 2 = 0, 'M', 'F') gender", "18 age", "cast(id % 21 as int) occupation", "'12345' zip")
+    movies = spark.range(66).selectExpr("cast(id as int) movie_id", "if(id % 2 = 0, 'Drama|War', 'Comedy') genres")
+    want = FE.build_features(ratings, users, movies, keep_keys=True)
+    got = FE.build_features(ratings.mapInArrow(counted, ratings.schema), users, movies, keep_keys=True, hot_share=0.02).collect()
+    assert seen.value == 2 * 4000
+    assert sorted(map(str, got)) == sorted(map(str, want.collect()))
+
+
 def test_random_split_returns_the_rows_of_both_sides(spark):
     from cinerank.plans import registry
     from cinerank.plans.q_features import fixture_features
