@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 
-from .spec import BN_EPS, BN_MOMENTUM, ModelSpec, bn_fold
+from .spec import BN_EPS, BN_MOMENTUM, ModelSpec, bn_fold, flatten, unflatten
 
 N_GENRES = 18
 
@@ -25,19 +25,38 @@ def multihot(mask: np.ndarray, n: int = N_GENRES) -> np.ndarray:
 # Towers
 # ---------------------------------------------------------------------------
 
+EMBEDDINGS = ("gender_emb", "age_emb", "occ_emb", "zip_emb")
+
+
 def _user_fwd(P, p, g, a, o, z):
-    x = np.concatenate([P[f"{p}.gender_emb"][g], P[f"{p}.age_emb"][a],
-                        P[f"{p}.occ_emb"][o], P[f"{p}.zip_emb"][z]], axis=1)
-    return x @ P[f"{p}.proj_w"].T + P[f"{p}.proj_b"], x
+    """The projection of the four embeddings: each table is projected, then its rows are looked up and added."""
+    fd = P[f"{p}.gender_emb"].shape[1]
+    out = P[f"{p}.proj_b"] + np.zeros((len(g), 1))
+    for k, (name, ix) in enumerate(zip(EMBEDDINGS, (g, a, o, z))):
+        out += (P[f"{p}.{name}"] @ P[f"{p}.proj_w"][:, k * fd:(k + 1) * fd].T)[ix]
+    return out
 
 
-def _user_bwd(P, G, p, x, du, idx):
-    G[f"{p}.proj_w"] += du.T @ x
+def _one_hot(P, p, idx):
+    """Ones at each row's four embeddings, the tables side by side."""
+    sizes = [len(P[f"{p}.{name}"]) for name in EMBEDDINGS]
+    hot = np.zeros((len(idx[0]), sum(sizes)))
+    rows = np.arange(len(hot))
+    for start, ix in zip(np.cumsum([0] + sizes), idx):
+        hot[rows, start + ix] = 1.0
+    return hot
+
+
+def _user_bwd(P, G, p, hot, du):
     G[f"{p}.proj_b"] += du.sum(0)
-    dx = du @ P[f"{p}.proj_w"]
-    fd = P[f"{p}.gender_emb"].shape[1]
-    for k, (name, ix) in enumerate(zip(("gender_emb", "age_emb", "occ_emb", "zip_emb"), idx)):
-        np.add.at(G[f"{p}.{name}"], ix, dx[:, k * fd:(k + 1) * fd])
+    sums = hot.T @ du  # of each embedding's rows
+    fd, at = P[f"{p}.gender_emb"].shape[1], 0
+    for k, name in enumerate(EMBEDDINGS):
+        table, block = P[f"{p}.{name}"], slice(k * fd, (k + 1) * fd)
+        part = sums[at:at + len(table)]
+        G[f"{p}.proj_w"][:, block] += part.T @ table
+        G[f"{p}.{name}"] += part @ P[f"{p}.proj_w"][:, block]
+        at += len(table)
 
 
 def _movie_fwd(P, p, gen):
@@ -53,50 +72,68 @@ def _movie_bwd(P, G, p, gen, dm):
 # MLP stack
 # ---------------------------------------------------------------------------
 
-def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None):
+def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scratch: dict | None = None):
+    """Output and, per layer, what the gradient needs. Arrays are changed in place: a batch is walked as few times as can be.
+    ``scratch`` keeps the arrays from batch to batch, so that the system need not clear new memory for each."""
+    def array(name, kind=np.float64):
+        key, shape = (name, i, kind), (len(h), len(P[f"mlp.{i}.b"]))
+        if scratch is None:
+            return np.empty(shape, kind)
+        if key not in scratch or scratch[key].shape != shape:
+            scratch[key] = np.empty(shape, kind)
+        return scratch[key]
+
     caches = []
     for i in range(len(spec.hidden_dims)):
-        zlin = h @ P[f"mlp.{i}.w"].T + P[f"mlp.{i}.b"]
-        if train:
-            mu = zlin.mean(0)
-            var = zlin.var(0)
-            inv = 1.0 / np.sqrt(var + BN_EPS)
-            zhat = (zlin - mu) * inv
-            y = P[f"mlp.{i}.gamma"] * zhat + P[f"mlp.{i}.beta"]
-            if bn_stats is not None:
-                n = zlin.shape[0]
-                unbiased = var * n / max(n - 1, 1)
-                bn_stats[f"mlp.{i}.run_mean"] = (1 - BN_MOMENTUM) * bn_stats[f"mlp.{i}.run_mean"] + BN_MOMENTUM * mu
-                bn_stats[f"mlp.{i}.run_var"] = (1 - BN_MOMENTUM) * bn_stats[f"mlp.{i}.run_var"] + BN_MOMENTUM * unbiased
-        else:
+        if not train:
             scale, shift = bn_fold(P, i)
-            y = zlin * scale + shift
-            zhat = inv = None
-        a = np.maximum(y, 0.0)
-        if train and spec.dropout > 0:
-            keep = (rng.random(a.shape) >= spec.dropout) / (1.0 - spec.dropout)
-        else:
-            keep = None
-        out = a * keep if keep is not None else a
-        caches.append((h, zhat, inv, y, keep))
+            h = h @ P[f"mlp.{i}.w"].T
+            h += P[f"mlp.{i}.b"]
+            h *= scale
+            h += shift
+            np.maximum(h, 0.0, out=h)
+            continue
+        zhat = np.matmul(h, P[f"mlp.{i}.w"].T, out=array("zhat"))  # without the bias, which normalisation takes away again
+        n = len(zhat)
+        mu = np.ones(n) @ zhat / n
+        zhat -= mu
+        var = np.einsum("ij,ij->j", zhat, zhat) / n
+        inv = 1.0 / np.sqrt(var + BN_EPS)
+        zhat *= inv
+        if bn_stats is not None:
+            unbiased = var * n / max(n - 1, 1)
+            bn_stats[f"mlp.{i}.run_mean"] = (1 - BN_MOMENTUM) * bn_stats[f"mlp.{i}.run_mean"] + BN_MOMENTUM * (mu + P[f"mlp.{i}.b"])
+            bn_stats[f"mlp.{i}.run_var"] = (1 - BN_MOMENTUM) * bn_stats[f"mlp.{i}.run_var"] + BN_MOMENTUM * unbiased
+        out = np.multiply(zhat, P[f"mlp.{i}.gamma"], out=array("out"))
+        out += P[f"mlp.{i}.beta"]
+        kept = np.greater(out, 0, out=array("kept", np.bool_))
+        passes = array("passes")
+        if spec.dropout > 0:
+            draws = rng.random(out=passes) if isinstance(rng, np.random.Generator) else rng.random(out.shape)
+            kept &= np.greater_equal(draws, spec.dropout, out=array("stays", np.bool_))
+        np.divide(kept, 1.0 - spec.dropout, out=passes)  # what an output is multiplied by: 0 or the dropout's scale
+        out *= passes
+        caches.append((h, zhat, inv, passes))
         h = out
     return h, caches
 
 
 def _mlp_bwd(P, G, spec, caches, dh):
+    """``dh`` and the caches are used up."""
     for i in reversed(range(len(spec.hidden_dims))):
-        h_in, zhat, inv, y, keep = caches[i]
-        if keep is not None:
-            dh = dh * keep
-        dy = dh * (y > 0)
-        G[f"mlp.{i}.gamma"] += (dy * zhat).sum(0)
-        G[f"mlp.{i}.beta"] += dy.sum(0)
-        dzhat = dy * P[f"mlp.{i}.gamma"]
-        n = dzhat.shape[0]
-        dz = inv / n * (n * dzhat - dzhat.sum(0) - zhat * (dzhat * zhat).sum(0))
-        G[f"mlp.{i}.w"] += dz.T @ h_in
-        G[f"mlp.{i}.b"] += dz.sum(0)
-        dh = dz @ P[f"mlp.{i}.w"]
+        h_in, zhat, inv, passes = caches[i]
+        n = len(zhat)
+        dh *= passes
+        dgamma, dbeta = np.einsum("ij,ij->j", dh, zhat), np.ones(n) @ dh
+        G[f"mlp.{i}.gamma"] += dgamma
+        G[f"mlp.{i}.beta"] += dbeta
+        zhat *= dgamma / n
+        dh -= zhat
+        dh -= dbeta / n
+        dh *= P[f"mlp.{i}.gamma"] * inv
+        G[f"mlp.{i}.w"] += dh.T @ h_in
+        G[f"mlp.{i}.b"] += np.ones(n) @ dh
+        dh = dh @ P[f"mlp.{i}.w"]
     return dh
 
 
@@ -104,23 +141,23 @@ def _mlp_bwd(P, G, spec, caches, dh):
 # Whole network
 # ---------------------------------------------------------------------------
 
-def forward(P, spec: ModelSpec, g, a, o, z, gen, train=False, rng=None, bn_stats=None):
+def forward(P, spec: ModelSpec, g, a, o, z, gen, train=False, rng=None, bn_stats=None, scratch=None):
     """Raw (unclamped) output and the cache needed by :func:`backward`."""
     E = spec.embed_dim
     if spec.model_type == "ncf":
-        u, xu = _user_fwd(P, "user", g, a, o, z)
+        u = _user_fwd(P, "user", g, a, o, z)
         m = _movie_fwd(P, "movie", gen)
-        h, caches = _mlp_fwd(P, spec, np.concatenate([u, m], axis=1), train, rng, bn_stats)
+        h, caches = _mlp_fwd(P, spec, np.concatenate([u, m], axis=1), train, rng, bn_stats, scratch)
         raw = h @ P["out.w"][0] + P["out.b"][0]
-        return raw, {"xu": xu, "h": h, "caches": caches}
-    gu, xg = _user_fwd(P, "gmf_user", g, a, o, z)
+        return raw, {"h": h, "caches": caches}
+    gu = _user_fwd(P, "gmf_user", g, a, o, z)
     gm = _movie_fwd(P, "gmf_movie", gen)
-    mu_, xm = _user_fwd(P, "mlp_user", g, a, o, z)
+    mu_ = _user_fwd(P, "mlp_user", g, a, o, z)
     mm = _movie_fwd(P, "mlp_movie", gen)
-    h, caches = _mlp_fwd(P, spec, np.concatenate([mu_, mm], axis=1), train, rng, bn_stats)
+    h, caches = _mlp_fwd(P, spec, np.concatenate([mu_, mm], axis=1), train, rng, bn_stats, scratch)
     comb = np.concatenate([gu * gm, h], axis=1)
     raw = comb @ P["out.w"][0] + P["out.b"][0]
-    return raw, {"xg": xg, "xm": xm, "gu": gu, "gm": gm, "comb": comb, "caches": caches, "E": E}
+    return raw, {"gu": gu, "gm": gm, "comb": comb, "caches": caches, "E": E}
 
 
 def predict(P, spec: ModelSpec, g, a, o, z, gen) -> np.ndarray:
@@ -128,36 +165,36 @@ def predict(P, spec: ModelSpec, g, a, o, z, gen) -> np.ndarray:
     return np.clip(raw, spec.rating_min, spec.rating_max)
 
 
-def backward(P, spec: ModelSpec, cache, draw, g, a, o, z, gen) -> dict:
-    """Gradients of all trainable parameters given d(loss)/d(raw)."""
-    G = {n: np.zeros_like(P[n]) for n in spec.trainable_names()}
-    idx = (g, a, o, z)
+def backward(P, spec: ModelSpec, cache, draw, g, a, o, z, gen, out: dict | None = None) -> dict:
+    """Gradients of all trainable parameters given d(loss)/d(raw), added to ``out`` (zeros if none is given). The cache is used up."""
+    G = {n: np.zeros_like(P[n]) for n in spec.trainable_names()} if out is None else out
     E = spec.embed_dim
+    hot = _one_hot(P, "user" if spec.model_type == "ncf" else "mlp_user", (g, a, o, z))
     if spec.model_type == "ncf":
         h = cache["h"]
         G["out.w"][0] += draw @ h
         G["out.b"][0] += draw.sum()
         dh = np.outer(draw, P["out.w"][0])
         d0 = _mlp_bwd(P, G, spec, cache["caches"], dh)
-        _user_bwd(P, G, "user", cache["xu"], d0[:, :E], idx)
+        _user_bwd(P, G, "user", hot, d0[:, :E])
         _movie_bwd(P, G, "movie", gen, d0[:, E:])
         return G
     comb = cache["comb"]
     G["out.w"][0] += draw @ comb
     G["out.b"][0] += draw.sum()
     dcomb = np.outer(draw, P["out.w"][0])
-    dgmf, dh = dcomb[:, :E], dcomb[:, E:]
-    _user_bwd(P, G, "gmf_user", cache["xg"], dgmf * cache["gm"], idx)
+    dgmf, dh = dcomb[:, :E], dcomb[:, E:].copy()
+    _user_bwd(P, G, "gmf_user", hot, dgmf * cache["gm"])
     _movie_bwd(P, G, "gmf_movie", gen, dgmf * cache["gu"])
     d0 = _mlp_bwd(P, G, spec, cache["caches"], dh)
-    _user_bwd(P, G, "mlp_user", cache["xm"], d0[:, :E], idx)
+    _user_bwd(P, G, "mlp_user", hot, d0[:, :E])
     _movie_bwd(P, G, "mlp_movie", gen, d0[:, E:])
     return G
 
 
-def loss_and_grads(P, spec, g, a, o, z, gen, y, rng=None, bn_stats=None, clamp_in_training=False):
-    """Mean squared error of one mini-batch and its gradients."""
-    raw, cache = forward(P, spec, g, a, o, z, gen, train=True, rng=rng, bn_stats=bn_stats)
+def loss_and_grads(P, spec, g, a, o, z, gen, y, rng=None, bn_stats=None, clamp_in_training=False, out=None, scratch=None):
+    """Mean squared error of one mini-batch and its gradients, added to ``out`` if given."""
+    raw, cache = forward(P, spec, g, a, o, z, gen, train=True, rng=rng, bn_stats=bn_stats, scratch=scratch)
     if clamp_in_training:
         pred = np.clip(raw, spec.rating_min, spec.rating_max)
         inside = (raw >= spec.rating_min) & (raw <= spec.rating_max)
@@ -168,7 +205,7 @@ def loss_and_grads(P, spec, g, a, o, z, gen, y, rng=None, bn_stats=None, clamp_i
     draw = 2.0 * err / len(y)
     if inside is not None:
         draw = draw * inside
-    return loss, backward(P, spec, cache, draw, g, a, o, z, gen)
+    return loss, backward(P, spec, cache, draw, g, a, o, z, gen, out)
 
 
 class KeyedDraws:
@@ -212,6 +249,35 @@ def adam_step(P, G, M, V, t: int, lr: float, betas=(0.9, 0.999), eps=1e-8, weigh
         P[n] = P[n] - lr * (M[n] / c1) / (np.sqrt(V[n] / c2) + eps)
 
 
+class FlatAdam:
+    """Clipping and Adam over all trainable parameters at once: ``params``, ``grads`` and the moments are views of one vector each, changed in place.
+    The same numbers as :func:`clip_grad_norm` and :func:`adam_step`, but for the order in which the norm is added up."""
+
+    def __init__(self, P: dict, M: dict, V: dict, spec: ModelSpec, names: list):
+        self.p, self.m, self.v = (flatten(x, names) for x in (P, M, V))
+        self.g, self.a, self.b = (np.zeros_like(self.p) for _ in range(3))
+        self.params, self.grads, self.M, self.V = (unflatten(x, spec, names) for x in (self.p, self.g, self.m, self.v))
+
+    def step(self, t: int, lr: float, betas=(0.9, 0.999), eps=1e-8, weight_decay=1e-5, max_norm: float = 1.0) -> None:
+        """One step by the gradients in ``grads``, which are zero afterwards."""
+        (b1, b2), g, a, b = betas, self.g, self.a, self.b
+        coef = max_norm / (math.sqrt(float(g @ g)) + 1e-6)
+        if coef < 1.0:
+            g *= coef
+        if weight_decay:
+            g += np.multiply(self.p, weight_decay, out=a)
+        self.m *= b1
+        self.m += np.multiply(g, 1 - b1, out=a)
+        self.v *= b2
+        np.multiply(g, 1 - b2, out=a)
+        self.v += np.multiply(a, g, out=a)
+        np.sqrt(np.divide(self.v, 1.0 - b2 ** t, out=b), out=b)
+        b += eps
+        np.multiply(np.divide(self.m, 1.0 - b1 ** t, out=a), lr, out=a)
+        self.p -= np.divide(a, b, out=a)
+        g[:] = 0.0
+
+
 def cosine_lr(epoch: int, num_epochs: int, lr: float, min_ratio: float = 0.01) -> float:
     """Learning rate of ``epoch`` (0-based) under cosine annealing to lr * min_ratio."""
     eta_min = lr * min_ratio

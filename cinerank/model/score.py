@@ -233,9 +233,9 @@ def _tower_job(df: DataFrame, model: Model, kind: str, prefix: str, out_col: str
             if len(pdf) == 0:
                 continue
             if kind == "user":
-                vec, _ = K._user_fwd(P, prefix, pdf["gender_idx"].to_numpy(np.int64),
-                                     pdf["age_idx"].to_numpy(np.int64), pdf["occ_idx"].to_numpy(np.int64),
-                                     pdf["zip_idx"].to_numpy(np.int64))
+                vec = K._user_fwd(P, prefix, pdf["gender_idx"].to_numpy(np.int64),
+                                  pdf["age_idx"].to_numpy(np.int64), pdf["occ_idx"].to_numpy(np.int64),
+                                  pdf["zip_idx"].to_numpy(np.int64))
             else:
                 vec = K._movie_fwd(P, prefix, K.multihot(pdf["genre_mask"].to_numpy()))
             pdf = pdf.copy()

@@ -110,21 +110,20 @@ def _epoch_job(shards: DataFrame, bc, epoch: int, part: int, lr: float, cfg: Fit
 
         spec, P0, M0, V0, t0, names, bufs = bc.value
         pid = TaskContext.get().partitionId()
-        P = {n: v.copy() for n, v in P0.items()}
-        M = {n: v.copy() for n, v in M0.items()}
-        V = {n: v.copy() for n, v in V0.items()}
+        adam = K.FlatAdam(P0, M0, V0, spec, names)
+        P, M, V = {**P0, **adam.params}, adam.M, adam.V
         rng = np.random.default_rng([cfg.seed, epoch, part, pid])
         state = {"t": t0, "loss": 0.0, "batches": 0, "rows": 0}
         B = cfg.batch_size
+        scratch: dict = {}
 
         def step(arr):
             g, a, o, z, mask = (arr[:, i].astype(np.int64) for i in range(5))
             y = arr[:, 5]
-            loss, G = K.loss_and_grads(P, spec, g, a, o, z, K.multihot(mask), y, rng=rng,
-                                       bn_stats=P, clamp_in_training=cfg.clamp_in_training)
-            K.clip_grad_norm(G, cfg.max_grad_norm)
+            loss, _ = K.loss_and_grads(P, spec, g, a, o, z, K.multihot(mask), y, rng=rng,
+                                       bn_stats=P, clamp_in_training=cfg.clamp_in_training, out=adam.grads, scratch=scratch)
             state["t"] += 1
-            K.adam_step(P, G, M, V, state["t"], lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay)
+            adam.step(state["t"], lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay, cfg.max_grad_norm)
             state["loss"] += loss
             state["batches"] += 1
             state["rows"] += len(y)

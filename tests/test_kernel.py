@@ -41,3 +41,26 @@ def test_param_counts_at_defaults():
 def test_cosine_schedule_endpoints():
     assert K.cosine_lr(0, 10, 1e-3) == pytest.approx(1e-3)
     assert K.cosine_lr(10, 10, 1e-3) == pytest.approx(1e-5)
+
+
+@pytest.mark.parametrize("model_type", ["ncf", "neumf"])
+def test_flat_adam_in_kept_arrays_is_clipping_and_adam(model_type):
+    """Steps on one vector, in arrays kept from batch to batch (also of other sizes), equal steps array by array."""
+    spec = ModelSpec(model_type, embed_dim=4, hidden_dims=[5, 3], dropout=0.3)
+    P = init_params(spec, seed=1, out_bias=3.0)
+    names, bufs = spec.trainable_names(), spec.buffer_names()
+    M, V = ({n: np.zeros_like(P[n]) for n in names} for _ in range(2))
+    adam, scratch = K.FlatAdam(P, M, V, spec, names), {}
+    flat = {**P, **adam.params}
+    draws, flat_draws, rng = np.random.default_rng(3), np.random.default_rng(3), np.random.default_rng(0)
+    for t, n in enumerate((12, 12, 7, 12), 1):
+        batch = _batch(rng, n)
+        loss, G = K.loss_and_grads(P, spec, *batch, rng=draws, bn_stats=P)
+        K.clip_grad_norm(G, 0.5)
+        K.adam_step(P, G, M, V, t, 1e-2)
+        got, _ = K.loss_and_grads(flat, spec, *batch, rng=flat_draws, bn_stats=flat, out=adam.grads, scratch=scratch)
+        adam.step(t, 1e-2, max_norm=0.5)
+        assert got == pytest.approx(loss, rel=1e-12)
+    for name in names + bufs:
+        assert np.allclose(flat[name], P[name], rtol=1e-9, atol=1e-8), name  # biases before a normalisation move by rounding alone
+    assert all(np.allclose(adam.M[n], M[n], atol=1e-12) and np.allclose(adam.V[n], V[n], atol=1e-12) for n in names)
