@@ -15,7 +15,7 @@ from ..model.spec import ModelSpec, fixed_params
 from ..model.train import FitConfig, fit, learning_curve
 from ..operators import evaluate as EV
 from ..operators import split as S
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stored_rows
 from ..sources.model_store import load_model, save_model
 from .q_features import _FEATURES_CTE, _KEY, _REPORT_COLS, _SPLIT_CTE, fixture_features, recursive
 from .registry import (age_idx_sql, gender_idx_sql, genre_flags_sql, genre_mask_sql, genre_parts_sql,
@@ -84,7 +84,10 @@ def trained_model(spark, sf_dir, model_type: str, cfg: FitConfig | None = None):
     """(model, test rows). The fitted model is stored in the shared folder under its training rows, network and
     configuration; a later query of the same application loads it instead of fitting again."""
     cfg = cfg or FitConfig()
-    train, test = S.hash_split(fixture_features(spark, sf_dir))
+    # Joined and split once, then read from storage: by the hash below, by the training and by all that reads the test rows.
+    feats = S.with_split(fixture_features(spark, sf_dir).select(*S.RATING_KEY, *KEY_COLS, "rating"))
+    feats = stored_rows(feats, "features")
+    train, test = (feats.where(F.col("split") == side).drop("split") for side in ("train", "test"))
     rows = F.xxhash64(*train.columns).cast("decimal(38,0)")
     data = tuple(train.agg(F.count(F.lit(1)), F.sum(rows)).first())  # other rows are other data, whatever their path
     key = hashlib.md5(repr((spark.sparkContext.applicationId, data, model_type, asdict(cfg))).encode()).hexdigest()

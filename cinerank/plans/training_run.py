@@ -15,6 +15,7 @@ import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema
 from ..model.spec import ModelSpec, param_count
@@ -22,6 +23,7 @@ from ..model.train import FitConfig, fit
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import split as S
+from ..session import stored_rows
 from ..sources import dat
 from ..sources.fixtures import load_fixture
 from ..sources.model_store import save_model
@@ -34,8 +36,9 @@ def run_training(spark: SparkSession, ratings: DataFrame, users: DataFrame, movi
     spec = spec or ModelSpec()
     cfg = cfg or FitConfig()
     t0 = time.time()
-    feats = FE.build_features(ratings, users, movies, keep_keys=True)
-    train, test = S.hash_split(feats, seed=cfg.seed, train_ratio=train_ratio)
+    feats = FE.build_features(ratings, users, movies, keep_keys=True).drop("genres")  # the mask says the same
+    feats = stored_rows(S.with_split(feats, seed=cfg.seed, train_ratio=train_ratio), "features")  # joined once for training and evaluation
+    train, test = (feats.where(F.col("split") == side).drop("split") for side in ("train", "test"))
     model = fit(train, spec, cfg, on_better=lambda m: save_model(spark, m, os.path.join(out_dir, "model")))
     save_model(spark, model, os.path.join(out_dir, "model"))  # with the history of all epochs
     metrics = EV.evaluate(test, model).first().asDict()

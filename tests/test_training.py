@@ -223,3 +223,13 @@ def test_one_step_over_all_rows_is_a_sum_over_tasks(spark, split01, monkeypatch)
         K.adam_step(P, G, Mo, Vo, t, K.cosine_lr(t - 1, 2, cfg.lr, cfg.min_lr_ratio))
     assert all(np.allclose(got.params[k], v, atol=1e-10) for k, v in P.items())
     assert all(np.array_equal(init.params[k], v) for k, v in fixed_params(spec).items())
+
+
+def test_trained_queries_join_once(spark):
+    """Model and test rows come from stored features: nothing that reads them joins again."""
+    from cinerank.plans.q_model import trained_model
+    from conftest import SF001
+    model, test = trained_model(spark, SF001, "ncf", FitConfig(num_epochs=1))
+    assert "Join" not in test._jdf.queryExecution().optimizedPlan().toString()
+    _, want = S.hash_split(fixture_features(spark, SF001).drop("genres"))
+    assert test.exceptAll(want.select(*test.columns)).count() == 0 and test.count() == want.count()
