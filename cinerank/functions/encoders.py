@@ -109,6 +109,11 @@ def multihot_string(multihot) -> Column:
     return F.concat_ws("", F.transform(_col(multihot), lambda x: x.cast("int").cast("string")))
 
 
+def mask_string(mask) -> Column:
+    """``multihot_string`` of a genre mask, without the array: its binary digits, the first genre first."""
+    return F.reverse(F.lpad(F.bin(_col(mask)), len(GENRES), "0"))
+
+
 def epoch_to_timestamp(ts) -> Column:
     return F.timestamp_seconds(_col(ts))
 

@@ -108,3 +108,9 @@ def test_write_dat_fails_on_what_it_cannot_hold(spark, title):
     df = spark.createDataFrame([(1, title, "Drama")], schema.MOVIES_SCHEMA)
     with pytest.raises(Exception, match="can't be written"):
         dat.write_dat(df, os.path.join(tempfile.mkdtemp(prefix="cinerank-dat-"), "m.dat"))
+
+
+def test_mask_string_is_the_multihot_as_text(spark):
+    masks = spark.createDataFrame([(m,) for m in (0, 1, 2, 1 << 17, (1 << 18) - 1, 0b101000000000000110)], "m int")
+    rows = masks.select(E.mask_string("m").alias("a"), E.multihot_string(E.multihot_from_mask("m")).alias("b")).collect()
+    assert all(r.a == r.b and len(r.a) == 18 for r in rows)
