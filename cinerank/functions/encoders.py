@@ -110,8 +110,11 @@ def multihot_string(multihot) -> Column:
 
 
 def mask_string(mask) -> Column:
-    """``multihot_string`` of a genre mask, without the array: its binary digits, the first genre first."""
-    return F.reverse(F.lpad(F.bin(_col(mask)), len(GENRES), "0"))
+    """``multihot_string`` of a genre mask, without the array: digits of six genres at a time from a constant array, the first genre first."""
+    m, n = _col(mask), len(GENRES)
+    digits = F.array(*[F.lit(f"{i:06b}"[::-1]) for i in range(64)])
+    return F.concat(*[F.substring(part, 1, n - at) if n - at < 6 else part
+                      for at in range(0, n, 6) for part in [digits[F.shiftright(m, at).bitwiseAND(63)]]])
 
 
 def epoch_to_timestamp(ts) -> Column:

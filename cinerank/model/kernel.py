@@ -72,6 +72,14 @@ def _movie_bwd(P, G, p, gen, dm):
 # MLP stack
 # ---------------------------------------------------------------------------
 
+def _normalised(P, i, h):
+    """What follows hidden layer ``i``'s linear part in evaluation, in place: batch normalisation and the positive part."""
+    scale, shift = bn_fold(P, i)
+    h *= scale
+    h += shift
+    np.maximum(h, 0.0, out=h)
+
+
 def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scratch: dict | None = None):
     """Output and, per layer, what the gradient needs. Arrays are changed in place: a batch is walked as few times as can be.
     ``scratch`` keeps the arrays from batch to batch, so that the system need not clear new memory for each."""
@@ -86,12 +94,9 @@ def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scr
     caches = []
     for i in range(len(spec.hidden_dims)):
         if not train:
-            scale, shift = bn_fold(P, i)
             h = h @ P[f"mlp.{i}.w"].T
             h += P[f"mlp.{i}.b"]
-            h *= scale
-            h += shift
-            np.maximum(h, 0.0, out=h)
+            _normalised(P, i, h)
             continue
         zhat = np.matmul(h, P[f"mlp.{i}.w"].T, out=array("zhat"))  # without the bias, which normalisation takes away again
         n = len(zhat)
@@ -160,6 +165,70 @@ def forward(P, spec: ModelSpec, g, a, o, z, gen, train=False, rng=None, bn_stats
     return raw, {"gu": gu, "gm": gm, "comb": comb, "caches": caches, "E": E}
 
 
+class Scorer:
+    """Raw outputs in evaluation, as :func:`forward` gives them, for many batches of one network.
+
+    What a row's user adds to the first layer, and to its GMF vector, is looked up in tables made once: fields share a table, a row for each
+    combination of theirs, as long as it has at most ``MOST_ROWS`` (the four default fields make one of 3,234). A movie's is the sum of
+    two rows, one for each half of its genre mask: no multi-hot, and no product but those after the first layer.
+    """
+
+    MOST_ROWS = 4096
+    HALF = N_GENRES // 2
+
+    def __init__(self, P, spec: ModelSpec):
+        self.P, self.spec = P, spec
+        E, gmf = spec.embed_dim, spec.model_type == "neumf"
+        user, movie = ("mlp_user", "mlp_movie") if gmf else ("user", "movie")
+        self.gmf = E if gmf else 0  # columns of a table before those of the first layer
+        # Without a hidden layer, the output is the first layer.
+        w, b = (P["mlp.0.w"], P["mlp.0.b"]) if spec.hidden_dims else (P["out.w"][:, self.gmf:], np.zeros(1))
+
+        def columns(tower, block, part):
+            own = part(tower) @ w[:, block].T
+            return np.hstack([part("gmf_" + tower.split("_")[-1]), own]) if gmf else own
+
+        self.users = []  # (table, [what each value of a field adds to the row's number])
+        for k, name in enumerate(EMBEDDINGS):
+            def part(p):
+                fd = P[f"{p}.gender_emb"].shape[1]
+                return P[f"{p}.{name}"] @ P[f"{p}.proj_w"][:, k * fd:(k + 1) * fd].T
+            table = columns(user, slice(0, E), part)
+            n = len(table)
+            if self.users and len(self.users[-1][0]) * n <= self.MOST_ROWS:
+                held, numbers = self.users.pop()
+                self.users.append(((held[:, None] + table).reshape(-1, table.shape[1]), [x * n for x in numbers] + [np.arange(n)]))
+            else:
+                self.users.append((table, [np.arange(n)]))
+        self.users[0][0][:] += columns(user, slice(0, E), lambda p: P[f"{p}.proj_b"][None])
+        self.users[0][0][:, self.gmf:] += b
+        bits = multihot(np.arange(1 << self.HALF), self.HALF)
+        self.low, self.high = (columns(movie, slice(E, 2 * E), lambda p: bits @ P[f"{p}.proj_w"][:, start:start + self.HALF].T) for start in (0, self.HALF))
+        self.low += columns(movie, slice(E, 2 * E), lambda p: P[f"{p}.proj_b"][None])
+
+    def __call__(self, g, a, o, z, mask) -> np.ndarray:
+        fields, u = iter((g, a, o, z)), None
+        for table, numbers in self.users:
+            rows = table.take(sum(x.take(next(fields)) for x in numbers), axis=0)
+            u = rows if u is None else u + rows
+        m = self.low.take(mask & ((1 << self.HALF) - 1), axis=0)
+        m += self.high.take((mask >> self.HALF) & ((1 << self.HALF) - 1), axis=0)
+        P, w, h = self.P, self.P["out.w"][0], u[:, self.gmf:] + m[:, self.gmf:]
+        if self.spec.hidden_dims:
+            _normalised(P, 0, h)
+            for i in range(1, len(self.spec.hidden_dims)):
+                h = h @ P[f"mlp.{i}.w"].T
+                h += P[f"mlp.{i}.b"]
+                _normalised(P, i, h)
+            raw = h @ w[self.gmf:]
+        else:
+            raw = h[:, 0]
+        if self.gmf:
+            raw += (u[:, :self.gmf] * m[:, :self.gmf]) @ w[:self.gmf]
+        raw += P["out.b"][0]
+        return raw
+
+
 def predict(P, spec: ModelSpec, g, a, o, z, gen) -> np.ndarray:
     raw, _ = forward(P, spec, g, a, o, z, gen, train=False)
     return np.clip(raw, spec.rating_min, spec.rating_max)

@@ -1,10 +1,11 @@
 """Scoring a feature DataFrame with a model.
 
-* :func:`score_arrow` - an Arrow UDF over five ints: per batch, the distinct feature
-  keys (profile x genre mask) are scored once with numpy and scattered back.
-  No shuffle, no join: the model sees only genres on the movie side and four
-  small categoricals on the user side, so a batch of 10k rows has far fewer
-  distinct keys. Parameters travel once per executor by broadcast.
+* :func:`score_arrow` - an Arrow UDF over five ints that gives one double. No
+  shuffle, no join: the model sees only genres on the movie side and four small
+  categoricals on the user side, so each task makes tables of what they add to the
+  first layer and looks rows up (``kernel.Scorer``). Networks with many weights score
+  the distinct feature keys (profile x genre mask) of a batch once and scatter them
+  back. Parameters travel once per executor by broadcast.
 * :func:`score_expr` - the same forward pass as Catalyst expressions (CASE
   lookups, sums of products, greatest/least), for small models and for
   cross-engine checks. :func:`forward_sql_stages` emits the same pass as SQL text
@@ -16,15 +17,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernel as K
-from .spec import ModelSpec, bn_fold
+from .spec import ModelSpec, bn_fold, param_count
 
 KEY_COLS = ["gender_idx", "age_idx", "occ_idx", "zip_idx", "genre_mask"]
+SORT_COST = 1_000  # weights of a network on which a row costs as much as its part in sorting a batch
 
 
 class Model:
@@ -47,24 +49,28 @@ def score_arrow(df: DataFrame, model: Model, out_col: str = "prediction", raw_co
     clamped prediction (double) and optionally the raw output. Only the five key
     columns go through Python; the others stay in the JVM."""
     bc = df.sparkSession.sparkContext.broadcast((model.spec, model.params))
+    repeats = param_count(model.spec) > SORT_COST
 
-    @F.pandas_udf("score double, raw double")
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         spec, params = bc.value
-        for columns in batches:
-            g, a, o, z, mask = (c.to_numpy(np.int64) for c in columns)
+        scorer = K.Scorer(params, spec)
+        for *user, mask in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in (*user, mask.fill_null(0))]
+            if not repeats or not len(mask):
+                yield pa.array(scorer(*columns))
+                continue
+            g, a, o, z, mask = (c.astype(np.int64) for c in columns)
             # gender < 2^4, age < 2^4, occ < 2^8, zip < 2^4, mask < 2^18: fits in 38 bits
             keys = (g << 34) | (a << 30) | (o << 22) | (z << 18) | mask
             _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-            raw = np.empty(0)
-            if len(first):
-                raw, _ = K.forward(params, spec, g[first], a[first], o[first], z[first], K.multihot(mask[first]), train=False)
-                raw = raw[inverse.ravel()]
-            yield pd.DataFrame({"score": np.clip(raw, spec.rating_min, spec.rating_max), "raw": raw})
-
-    out = df.withColumn("_scored", run(*[F.col(c) for c in KEY_COLS]))
-    return out.select(*df.columns, F.col("_scored.score").alias(out_col),
-                      *([F.col("_scored.raw").alias(raw_col)] if raw_col else []))
+            yield pa.array(scorer(*(c[first] for c in columns))[inverse.ravel()])
+
+    raw = F.col("_raw")
+    clamped = F.least(F.greatest(raw, F.lit(float(model.spec.rating_min))), F.lit(float(model.spec.rating_max)))
+    out = df.withColumn("_raw", run(*[F.col(c) for c in KEY_COLS]))
+    return out.select(*df.columns, F.when(F.isnan(raw), raw).otherwise(clamped).alias(out_col),  # greatest takes NaN for a number above all
+                      *([raw.alias(raw_col)] if raw_col else []))
 
 
 # ---------------------------------------------------------------------------

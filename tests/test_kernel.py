@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 
 from cinerank.model import kernel as K
-from cinerank.model.spec import ModelSpec, init_params, param_count
+from cinerank.model.spec import ModelSpec, fixed_params, init_params, param_count
 
 
 def _batch(rng, n=12):
@@ -64,3 +64,34 @@ def test_flat_adam_in_kept_arrays_is_clipping_and_adam(model_type):
     for name in names + bufs:
         assert np.allclose(flat[name], P[name], rtol=1e-9, atol=1e-8), name  # biases before a normalisation move by rounding alone
     assert all(np.allclose(adam.M[n], M[n], atol=1e-12) and np.allclose(adam.V[n], V[n], atol=1e-12) for n in names)
+
+
+@pytest.mark.parametrize("model_type", ["ncf", "neumf"])
+@pytest.mark.parametrize("hidden", [[], [4], [6, 5]])
+@pytest.mark.parametrize("most_rows", [1, 50, 4096])  # a table per field, some fields together, one for all
+def test_scorer_from_tables_equals_forward(monkeypatch, model_type, hidden, most_rows):
+    monkeypatch.setattr(K.Scorer, "MOST_ROWS", most_rows)
+    spec, rng = ModelSpec(model_type, embed_dim=4, hidden_dims=hidden), np.random.default_rng(0)
+    P = {n: v + rng.uniform(0.1, 0.4, v.shape) for n, v in init_params(spec, seed=1).items()}
+    kept = {n: v.copy() for n, v in P.items()}
+    score = K.Scorer(P, spec)
+    for n in (200, 0, 1):
+        g, a, o, z = (rng.integers(0, size, n).astype(np.int32) for size in (2, 7, 21, 11))
+        mask = rng.integers(0, 1 << 18, n).astype(np.int32)
+        raw, _ = K.forward(P, spec, g, a, o, z, K.multihot(mask))
+        assert np.allclose(score(g, a, o, z, mask), raw, rtol=1e-12, atol=1e-12)
+    assert all((P[n] == kept[n]).all() for n in P)
+    one = np.zeros(1, int)
+    for field, size in enumerate((2, 7, 21, 11)):  # no value of a field is taken for one of its neighbour
+        with pytest.raises(IndexError):
+            score(*(np.full(1, size) if k == field else one for k in range(4)), one)
+
+
+@pytest.mark.parametrize("model_type", ["ncf", "neumf"])
+def test_scorer_gives_the_same_bits_for_dyadic_parameters(model_type):
+    spec = ModelSpec(model_type, embed_dim=4, hidden_dims=[4], dropout=0.0)
+    P, rng = fixed_params(spec), np.random.default_rng(0)
+    g, a, o, z = (rng.integers(0, size, 500) for size in (2, 7, 21, 11))
+    mask = rng.integers(0, 1 << 18, 500)
+    raw, _ = K.forward(P, spec, g, a, o, z, K.multihot(mask))
+    assert (K.Scorer(P, spec)(g, a, o, z, mask) == raw).all()
