@@ -80,24 +80,41 @@ def _normalised(P, i, h):
     np.maximum(h, 0.0, out=h)
 
 
-def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scratch: dict | None = None):
-    """Output and, per layer, what the gradient needs. Arrays are changed in place: a batch is walked as few times as can be.
-    ``scratch`` keeps the arrays from batch to batch, so that the system need not clear new memory for each."""
+def _arrays(shape: tuple, i: int, scratch: dict | None):
+    """Arrays of layer ``i`` by their name, kept in ``scratch`` from batch to batch."""
     def array(name, kind=np.float64):
-        key, shape = (name, i, kind), (len(h), len(P[f"mlp.{i}.b"]))
+        key = (name, i, kind)
         if scratch is None:
             return np.empty(shape, kind)
         if key not in scratch or scratch[key].shape != shape:
             scratch[key] = np.empty(shape, kind)
         return scratch[key]
+    return array
+
+
+def _passed(spec: ModelSpec, out, rng, array):
+    """The positive part and dropout of a layer, in place; what an output was multiplied by: 0 or the dropout's scale."""
+    kept = np.greater(out, 0, out=array("kept", np.bool_))
+    passes = array("passes")
+    if spec.dropout > 0:
+        draws = rng.random(out=passes) if isinstance(rng, np.random.Generator) else rng.random(out.shape)
+        kept &= np.greater_equal(draws, spec.dropout, out=array("stays", np.bool_))
+    np.multiply(kept, 1.0 / (1.0 - spec.dropout), out=passes)
+    out *= passes
+    return passes
 
+
+def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scratch: dict | None = None, first: int = 0):
+    """Output and, per layer from ``first`` on, what the gradient needs. Arrays are changed in place: a batch is walked as few times as can be.
+    ``scratch`` keeps the arrays from batch to batch, so that the system need not clear new memory for each."""
     caches = []
-    for i in range(len(spec.hidden_dims)):
+    for i in range(first, len(spec.hidden_dims)):
         if not train:
             h = h @ P[f"mlp.{i}.w"].T
             h += P[f"mlp.{i}.b"]
             _normalised(P, i, h)
             continue
+        array = _arrays((len(h), len(P[f"mlp.{i}.b"])), i, scratch)
         zhat = np.matmul(h, P[f"mlp.{i}.w"].T, out=array("zhat"))  # without the bias, which normalisation takes away again
         n = len(zhat)
         mu = np.ones(n) @ zhat / n
@@ -111,22 +128,15 @@ def _mlp_fwd(P, spec: ModelSpec, h, train: bool, rng, bn_stats: dict | None, scr
             bn_stats[f"mlp.{i}.run_var"] = (1 - BN_MOMENTUM) * bn_stats[f"mlp.{i}.run_var"] + BN_MOMENTUM * unbiased
         out = np.multiply(zhat, P[f"mlp.{i}.gamma"], out=array("out"))
         out += P[f"mlp.{i}.beta"]
-        kept = np.greater(out, 0, out=array("kept", np.bool_))
-        passes = array("passes")
-        if spec.dropout > 0:
-            draws = rng.random(out=passes) if isinstance(rng, np.random.Generator) else rng.random(out.shape)
-            kept &= np.greater_equal(draws, spec.dropout, out=array("stays", np.bool_))
-        np.divide(kept, 1.0 - spec.dropout, out=passes)  # what an output is multiplied by: 0 or the dropout's scale
-        out *= passes
-        caches.append((h, zhat, inv, passes))
+        caches.append((h, zhat, inv, _passed(spec, out, rng, array)))
         h = out
     return h, caches
 
 
-def _mlp_bwd(P, G, spec, caches, dh):
-    """``dh`` and the caches are used up."""
-    for i in reversed(range(len(spec.hidden_dims))):
-        h_in, zhat, inv, passes = caches[i]
+def _mlp_bwd(P, G, spec, caches, dh, first: int = 0):
+    """``dh`` and the caches (of the layers from ``first`` on) are used up."""
+    for i in reversed(range(first, len(spec.hidden_dims))):
+        h_in, zhat, inv, passes = caches[i - first]
         n = len(zhat)
         dh *= passes
         dgamma, dbeta = np.einsum("ij,ij->j", dh, zhat), np.ones(n) @ dh
@@ -170,9 +180,12 @@ class Scorer:
 
     What a row's user adds to the first layer, and to its GMF vector, is looked up in tables made once: fields share a table, a row for each
     combination of theirs, as long as it has at most ``MOST_ROWS`` (the four default fields make one of 3,234). A movie's is the sum of
-    two rows, one for each half of its genre mask: no multi-hot, and no product but those after the first layer.
+    two rows, one for each half of its genre mask: no multi-hot, and no product but those after the first layer. Batch normalisation is part of
+    the weights. Rows are scored ``TILE`` at a time, so that what is made of them stays in a core's cache.
     """
 
+    TILE = 256
+
     MOST_ROWS = 4096
     HALF = N_GENRES // 2
 
@@ -182,7 +195,9 @@ class Scorer:
         user, movie = ("mlp_user", "mlp_movie") if gmf else ("user", "movie")
         self.gmf = E if gmf else 0  # columns of a table before those of the first layer
         # Without a hidden layer, the output is the first layer.
-        w, b = (P["mlp.0.w"], P["mlp.0.b"]) if spec.hidden_dims else (P["out.w"][:, self.gmf:], np.zeros(1))
+        w, b = (P["out.w"][:, self.gmf:], np.zeros(1))
+        if spec.hidden_dims:
+            (w, b), *self.layers = (self._folded(P, i) for i in range(len(spec.hidden_dims)))
 
         def columns(tower, block, part):
             own = part(tower) @ w[:, block].T
@@ -206,7 +221,20 @@ class Scorer:
         self.low, self.high = (columns(movie, slice(E, 2 * E), lambda p: bits @ P[f"{p}.proj_w"][:, start:start + self.HALF].T) for start in (0, self.HALF))
         self.low += columns(movie, slice(E, 2 * E), lambda p: P[f"{p}.proj_b"][None])
 
+    @staticmethod
+    def _folded(P, i):
+        """Weights and bias of hidden layer ``i``, with its normalisation."""
+        scale, shift = bn_fold(P, i)
+        return P[f"mlp.{i}.w"] * scale[:, None], P[f"mlp.{i}.b"] * scale + shift
+
     def __call__(self, g, a, o, z, mask) -> np.ndarray:
+        out = np.empty(len(mask))
+        for start in range(0, len(mask), self.TILE):
+            rows = slice(start, start + self.TILE)
+            out[rows] = self._scored(g[rows], a[rows], o[rows], z[rows], mask[rows])
+        return out
+
+    def _scored(self, g, a, o, z, mask) -> np.ndarray:
         fields, u = iter((g, a, o, z)), None
         for table, numbers in self.users:
             rows = table.take(sum(x.take(next(fields)) for x in numbers), axis=0)
@@ -215,11 +243,11 @@ class Scorer:
         m += self.high.take((mask >> self.HALF) & ((1 << self.HALF) - 1), axis=0)
         P, w, h = self.P, self.P["out.w"][0], u[:, self.gmf:] + m[:, self.gmf:]
         if self.spec.hidden_dims:
-            _normalised(P, 0, h)
-            for i in range(1, len(self.spec.hidden_dims)):
-                h = h @ P[f"mlp.{i}.w"].T
-                h += P[f"mlp.{i}.b"]
-                _normalised(P, i, h)
+            np.maximum(h, 0.0, out=h)
+            for weights, bias in self.layers:
+                h = h @ weights.T
+                h += bias
+                np.maximum(h, 0.0, out=h)
             raw = h @ w[self.gmf:]
         else:
             raw = h[:, 0]
@@ -277,6 +305,121 @@ def loss_and_grads(P, spec, g, a, o, z, gen, y, rng=None, bn_stats=None, clamp_i
     return loss, backward(P, spec, cache, draw, g, a, o, z, gen, out)
 
 
+def design(P, spec: ModelSpec, g, a, o, z, mask) -> np.ndarray:
+    """Rows as :func:`train_step` takes them: ones at the four embeddings, the genre flags, and a last column of ones."""
+    tower = "user" if spec.model_type == "ncf" else "mlp_user"
+    sizes = [len(P[f"{tower}.{name}"]) for name in EMBEDDINGS]
+    X = np.zeros((len(g), sum(sizes) + N_GENRES + 1))
+    rows = np.arange(0, X.size, X.shape[1])
+    for start, n, ix in zip(np.cumsum([0] + sizes), sizes, (g, a, o, z)):
+        if len(ix) and not (0 <= ix.min() and ix.max() < n):
+            raise IndexError(f"a feature index is not in 0 to {n - 1}")
+        X.reshape(-1)[rows + (start + ix)] = 1.0
+    X[:, sum(sizes):-1] = (mask[:, None] >> np.arange(N_GENRES)) & 1
+    X[:, -1] = 1.0
+    return X
+
+
+def train_step(P, spec: ModelSpec, X, y, rng, bn_stats: dict, out: dict, scratch: dict, clamp_in_training: bool = False) -> float:
+    """:func:`loss_and_grads` of a network with a hidden layer, for rows of :func:`design`: the same loss, gradients, running moments and
+    draws, but for the order in which sums are added up.
+
+    Towers and first layer are one product: the towers are linear in X, so the layer is X @ C with a small C made for each step (less its means, by
+    the column of ones). Its variances follow from X.T @ X, and normalisation is a scale and shift of C, so that the rows are
+    walked for the product and the positive part only; backwards, all but X.T @ d is as small as C. A bias before normalisation has no gradient.
+    """
+    n, E, gmf = len(y), spec.embed_dim, spec.model_type == "neumf"
+    user, movie = ("mlp_user", "mlp_movie") if gmf else ("user", "movie")
+    W, F = P["mlp.0.w"], X.shape[1] - 1 - N_GENRES
+    tables = _side_by_side(P, user, scratch)
+    both = _kept(scratch, "both", (F + N_GENRES, 2 * E))  # user tower and movie tower, as one matrix
+    np.matmul(tables, P[f"{user}.proj_w"].T, out=both[:F, :E])
+    both[F:, E:] = P[f"{movie}.proj_w"].T
+    C = _kept(scratch, "C", (F + N_GENRES + 1, len(W)))
+    np.matmul(both, W.T, out=C[:-1])
+    moments = X.T @ X
+    mean = moments[-1, :-1] / n
+    mu = mean @ C[:-1]
+    np.negative(mu, out=C[-1])
+    XZ = moments @ C  # X.T @ Z, Z = X @ C
+    var = np.maximum(np.einsum("ij,ij->j", C, XZ), 0.0)
+    var /= n
+    inv = 1.0 / np.sqrt(var + BN_EPS)
+    shift = W @ np.concatenate([P[f"{user}.proj_b"], P[f"{movie}.proj_b"]]) + P["mlp.0.b"]
+    bn_stats["mlp.0.run_mean"] = (1 - BN_MOMENTUM) * bn_stats["mlp.0.run_mean"] + BN_MOMENTUM * (mu + shift)
+    bn_stats["mlp.0.run_var"] = (1 - BN_MOMENTUM) * bn_stats["mlp.0.run_var"] + BN_MOMENTUM * (var * n / max(n - 1, 1))
+    scale = P["mlp.0.gamma"] * inv
+    array = _arrays((n, len(scale)), 0, scratch)
+    layer = C * scale
+    layer[-1] += P["mlp.0.beta"]
+    h0 = np.matmul(X, layer, out=array("out"))
+    passes = _passed(spec, h0, rng, array)
+    h, caches = _mlp_fwd(P, spec, h0, True, rng, bn_stats, scratch, first=1)
+    G, w = out, P["out.w"][0]
+    raw = h @ w[-h.shape[1]:]
+    raw += P["out.b"][0]
+    if gmf:
+        hot, gen = X[:, :F], X[:, F:-1]
+        gu = hot @ (_side_by_side(P, "gmf_user", scratch) @ P["gmf_user.proj_w"].T) + P["gmf_user.proj_b"]
+        gm = _movie_fwd(P, "gmf_movie", gen)
+        product = gu * gm
+        raw += product @ w[:E]
+    err, inside = raw, None
+    if clamp_in_training:
+        inside = (raw >= spec.rating_min) & (raw <= spec.rating_max)
+        err = np.clip(raw, spec.rating_min, spec.rating_max)
+    err = err - y
+    loss = float(err @ err) / n
+    draw = err * (2.0 / n)
+    if inside is not None:
+        draw *= inside
+    G["out.w"][0, -h.shape[1]:] += draw @ h
+    G["out.b"][0] += draw.sum()
+    if gmf:
+        G["out.w"][0, :E] += draw @ product
+        dgmf = np.outer(draw, w[:E])
+        _user_bwd(P, G, "gmf_user", hot, dgmf * gm)
+        _movie_bwd(P, G, "gmf_movie", gen, dgmf * gu)
+    d = _mlp_bwd(P, G, spec, caches, np.outer(draw, w[-h.shape[1]:]), first=1)
+    d *= passes
+    sums = X.T @ d
+    dgamma = inv * np.einsum("ij,ij->j", C, sums)
+    G["mlp.0.gamma"] += dgamma
+    G["mlp.0.beta"] += sums[-1]
+    XZ *= inv * dgamma / n
+    sums -= XZ
+    sums = sums[:-1] - mean[:, None] * sums[-1]
+    sums *= scale  # the gradient of C
+    G["mlp.0.w"] += sums.T @ both
+    sums = sums @ W  # of ``both``
+    G[f"{movie}.proj_w"] += sums[F:, E:].T
+    G[f"{user}.proj_w"] += sums[:F, :E].T @ tables
+    sums, at = sums[:F, :E] @ P[f"{user}.proj_w"], 0
+    for k, name in enumerate(EMBEDDINGS):
+        table = G[f"{user}.{name}"]
+        table += sums[at:at + len(table), k * table.shape[1]:(k + 1) * table.shape[1]]
+        at += len(table)
+    return loss
+
+
+def _kept(scratch: dict, name: str, shape: tuple) -> np.ndarray:
+    """Zeros, of which a caller always sets the same part."""
+    if name not in scratch:
+        scratch[name] = np.zeros(shape)
+    return scratch[name]
+
+
+def _side_by_side(P, p, scratch: dict) -> np.ndarray:
+    """The four embedding tables as blocks of one matrix: a row for each value of a field, columns of its field only."""
+    tables = [P[f"{p}.{name}"] for name in EMBEDDINGS]
+    rows, columns = sum(len(t) for t in tables), sum(t.shape[1] for t in tables)
+    out, at = _kept(scratch, f"tables of {p}", (rows, columns)), 0
+    for k, t in enumerate(tables):
+        out[at:at + len(t), k * t.shape[1]:(k + 1) * t.shape[1]] = t
+        at += len(t)
+    return out
+
+
 class KeyedDraws:
     """Uniform numbers that depend on each row's 64-bit key, the call and the column only: a row gets the same
     dropout on whichever worker it lies."""
@@ -338,12 +481,15 @@ class FlatAdam:
         self.m *= b1
         self.m += np.multiply(g, 1 - b1, out=a)
         self.v *= b2
-        np.multiply(g, 1 - b2, out=a)
-        self.v += np.multiply(a, g, out=a)
-        np.sqrt(np.divide(self.v, 1.0 - b2 ** t, out=b), out=b)
-        b += eps
-        np.multiply(np.divide(self.m, 1.0 - b1 ** t, out=a), lr, out=a)
-        self.p -= np.divide(a, b, out=a)
+        g *= g
+        g *= 1 - b2
+        self.v += g
+        c = math.sqrt(1.0 - b2 ** t)
+        np.sqrt(self.v, out=b)
+        b += eps * c
+        np.divide(self.m, b, out=a)
+        a *= lr * c / (1.0 - b1 ** t)
+        self.p -= a
         g[:] = 0.0
 
 

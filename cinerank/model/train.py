@@ -3,18 +3,16 @@
 Shape of the job
 ----------------
 * The training rows (5 small ints + rating) are hash-partitioned into shards of about
-  ``rows_per_shard`` rows, so the number of tasks follows the data, and written as a reliable
+  ``rows_per_shard`` rows, packed into blocks of bytes (36 a row) and written as a reliable
   checkpoint in the shared checkpoint folder: a lost executor recomputes a shard from
-  the checkpoint, not from the joins.
+  the checkpoint, not from the joins. A task holds one shard, or where there are many, up to ``fan_in`` that follow each other.
 * Per job the driver broadcasts the parameters, Adam moments and step count
   (size fixed by the network). Each shard is read in a fresh order -
-  ``sortWithinPartitions(xxhash64(row key, epoch), all columns)``, a local sort that needs
-  no shuffle and spills if it must - and ``mapInPandas`` runs mini-batch Adam
-  over its Arrow batches, streaming: only one mini-batch plus one Arrow batch
-  is held in memory.
-* ``sync="epoch"``: local SGD. Each shard emits one array (rows, loss, steps, parameters and moments, times its rows), and
-  ``tree_sum`` adds groups of ``fan_in`` arrays level by level, in the order of the shards: a shard is one shuffled row, a task holds
-  ``fan_in`` arrays, and only the sum (size of the network) reaches the driver. ``averages_per_epoch`` times an epoch; raise
+  by xxhash64(row key, epoch), then all columns, sorted in Python - and mini-batch Adam runs over it; a task holds the
+  blocks of one shard (and one Arrow batch) at a time.
+* ``sync="epoch"``: local SGD. Each shard gives one array (rows, loss, steps, parameters and moments, times its rows); a task emits the sum of
+  its shards', and ``tree_sum`` adds groups of ``fan_in`` arrays level by level, in the order of the shards: a task is one shuffled row,
+  ``fan_in`` arrays are held at a time, and only the sum (size of the network) reaches the driver. ``averages_per_epoch`` times an epoch; raise
   it with the number of shards.
 * ``sync="step"``: synchronous SGD. Where a network without batch normalisation takes one step an epoch over all rows (one replica), the step is
   a plain sum over the rows: each task adds up the gradients of its Arrow batches, ``tree_sum`` adds up the tasks, and the driver makes
@@ -29,10 +27,13 @@ Shape of the job
 from __future__ import annotations
 
 import base64
+import itertools
 import math
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,22 +72,102 @@ class FitConfig:
             raise ValueError(f"sync is 'epoch' or 'step', not {self.sync!r}")
 
 
-def _keyed_rows(train: DataFrame) -> tuple[DataFrame, int]:
-    """Training columns with a hash of each row's key, stored, and their number. Fewer than two are an error."""
+def _keyed_rows(train: DataFrame, n: int | None = None) -> tuple[DataFrame, int]:
+    """Training columns with a hash of each row's key, stored (unless their number ``n`` is given), and their number. Fewer than two are an error."""
     key_cols = [c for c in ("user_id", "movie_id", "ts") if c in train.columns] or TRAIN_COLS
-    rows = stored_rows(train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"),
-                                    F.xxhash64(*key_cols).alias("_rk")), "training-rows")
-    n = rows.count()
+    rows = train.select(*[F.col(c) for c in TRAIN_COLS[:-1]], F.col("rating").cast("double").alias("rating"), F.xxhash64(*key_cols).alias("_rk"))
+    if n is None:
+        rows = stored_rows(rows, "training-rows")
+        n = rows.count()
     if n < 2:
         raise ValueError(f"cannot train on {n} rows: batches are normalised, which takes two at least")
     return rows, n
 
 
-def prepare_shards(train: DataFrame, rows_per_shard: int) -> DataFrame:
-    """Training rows hash-partitioned into shards of about ``rows_per_shard`` rows and checkpointed.
-    The shard of a row depends on its key only."""
-    rows, n = _keyed_rows(train)
-    return cut_lineage(rows.repartition(max(1, round(n / rows_per_shard)), "_rk"))
+#: Tasks that an epoch is divided into before a task gets more than one shard.
+LEAST_TASKS = 128
+PACKED = "_shard long, rows binary"
+ROW_BYTES = 36
+
+
+def shards_per_task(n_shards: int, fan_in: int) -> int:
+    """Shards that follow each other in one task: a power of two up to ``fan_in``, by the number of shards only, so that sums are the same on any cluster."""
+    k = 1
+    while 2 * k <= fan_in and n_shards // (2 * k) >= LEAST_TASKS:
+        k *= 2
+    return k
+
+
+def prepare_shards(train: DataFrame, rows_per_shard: int, fan_in: int = 16, n: int | None = None) -> DataFrame:
+    """Training rows hash-partitioned into shards of about ``rows_per_shard`` rows, packed and checkpointed.
+    The shard of a row depends on its key only. ``n``: the number of rows, if they are stored and counted already."""
+    rows, n = _keyed_rows(train, n)
+    return _shards(rows, n, rows_per_shard, fan_in)
+
+
+def _shards(rows: DataFrame, n: int, rows_per_shard: int, fan_in: int) -> DataFrame:
+    n_shards = max(1, round(n / rows_per_shard))
+    k = shards_per_task(n_shards, fan_in)
+    shard = F.pmod(F.hash("_rk"), F.lit(n_shards))  # as a hash partitioning by _rk deals rows
+    return cut_lineage(rows.withColumn("_shard", shard).repartitionById(-(-n_shards // k), F.floor(F.col("_shard") / k).cast("int"))
+                       .sortWithinPartitions("_shard").mapInArrow(_packed, PACKED))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each run of one shard's rows in a batch: keys, ratings and the five features, a column after the other, as bytes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if any(batch.column(c).null_count for c in TRAIN_COLS[:4]):
+            raise ValueError("a training row lacks a feature")
+        shard, keys, ratings, *features = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_shard", "_rk", "rating", *TRAIN_COLS[:4]))
+        features.append(batch.column("genre_mask").fill_null(0).to_numpy())  # no genres
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
+        blocks = [b"".join([keys[i:j].astype(np.int64).tobytes(), ratings[i:j].astype(np.float64).tobytes(), *(f[i:j].astype(np.int32).tobytes() for f in features)])
+                  for i, j in itertools.pairwise(cuts)]
+        yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]], pa.int64()), pa.array(blocks, pa.binary())], names=["_shard", "rows"])
+
+
+def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, ratings, features) of a shard, from its blocks."""
+    parts = ([], [], [])
+    for block in blocks:
+        n = len(block) // ROW_BYTES
+        parts[0].append(np.frombuffer(block, np.int64, n))
+        parts[1].append(np.frombuffer(block, np.float64, n, 8 * n))
+        parts[2].append(np.frombuffer(block, np.int32, 5 * n, 16 * n).reshape(5, n))
+    return np.concatenate(parts[0]), np.concatenate(parts[1]), np.concatenate(parts[2], axis=1)
+
+
+def _turns(keys: np.ndarray, epoch: int) -> np.ndarray:
+    """Spark's xxhash64(keys, epoch), for a long and an int."""
+    one, two, three, four, five = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def rotated(x, bits):
+        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+    def mixed(x):
+        x = (x ^ (x >> np.uint64(33))) * two
+        x = (x ^ (x >> np.uint64(29))) * three
+        return x ^ (x >> np.uint64(32))
+
+    with np.errstate(over="ignore"):
+        x = (np.uint64(42 + 8) + five) ^ (rotated(keys.view(np.uint64) * two, 31) * one)
+        x = mixed(rotated(x, 27) * one + four)
+        x = (x + five + np.uint64(4)) ^ (np.uint64(epoch) * one)
+        return mixed(rotated(x, 23) * two + three).view(np.int64)
+
+
+def _order(turns: np.ndarray, ratings: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Rows by their turn; those with one turn by all columns."""
+    order = np.argsort(turns)
+    ranked = turns[order]
+    same = ranked[1:] == ranked[:-1]
+    tied = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    if tied.any():
+        some = order[tied]
+        order[tied] = some[np.lexsort((ratings[some], *(f[some] for f in features[::-1]), turns[some]))]
+    return order
 
 
 def prepare_replicas(train: DataFrame, replicas: int, workers: int) -> DataFrame:
@@ -99,57 +180,61 @@ def _replicas(rows: DataFrame, replicas: int, workers: int) -> DataFrame:
     return cut_lineage(rows.repartitionById(min(workers, replicas), F.col("_replica") % min(workers, replicas)))
 
 
+#: Rows whose features are spelled out at a time.
+CHUNK = 4096
+
+
 def _epoch_job(shards: DataFrame, bc, epoch: int, part: int, lr: float, cfg: FitConfig) -> DataFrame:
-    turn = F.xxhash64("_rk", F.lit(epoch))
-    if cfg.averages_per_epoch > 1:
-        shards = shards.filter(F.pmod(turn, F.lit(cfg.averages_per_epoch)) == part)
-    ordered = shards.sortWithinPartitions(turn, *TRAIN_COLS)
+    def trained(shard: int, blocks: list[bytes]) -> np.ndarray | None:
+        """What a shard's steps end at: (rows, loss, 1, steps, parameters, moments) times its rows; None without a step."""
+        keys, ratings, features = _unpacked(blocks)
+        turns = _turns(keys, epoch)
+        if cfg.averages_per_epoch > 1:
+            mine = turns % cfg.averages_per_epoch == part
+            turns, ratings, features = turns[mine], ratings[mine], features[:, mine]
+        order = _order(turns, ratings, features)
+        y, features = ratings[order], features[:, order].astype(np.int64)
+        spec, P0, M0, V0, t, names, bufs = bc.value
+        adam = K.FlatAdam(P0, M0, V0, spec, names)
+        P = {**P0, **adam.params}
+        rng = np.random.default_rng([cfg.seed, epoch, part, shard])
+        rows, B, scratch = len(y), cfg.batch_size, {}
+        cuts = [*range(0, rows, B), rows]
+        if rows % B == 1:  # a batch of one cannot be normalised
+            del cuts[-2]
+            rows -= rows == 1
+        if not rows:
+            return None
+        loss, t0, chunk, start = 0.0, t, None, 0
+        for i, j in itertools.pairwise(cuts):
+            if not spec.hidden_dims:
+                step, _ = K.loss_and_grads(P, spec, *features[:4, i:j], K.multihot(features[4, i:j]), y[i:j], rng=rng, bn_stats=P,
+                                           clamp_in_training=cfg.clamp_in_training, out=adam.grads, scratch=scratch)
+            else:
+                if chunk is None or j > start + len(chunk):
+                    start = i
+                    chunk = K.design(P, spec, *features[:, i:max(j, i + CHUNK // B * B)])
+                step = K.train_step(P, spec, chunk[i - start:j - start], y[i:j], rng, P, adam.grads, scratch, cfg.clamp_in_training)
+            loss += step
+            t += 1
+            adam.step(t, lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay, cfg.max_grad_norm)
+        vec = np.concatenate([flatten(P, names + bufs), flatten(adam.M, names), flatten(adam.V, names)]) * rows
+        return np.concatenate([[rows, loss / (t - t0), 1.0, t * rows], vec])
 
     def run(batches):
         from pyspark import TaskContext
 
-        spec, P0, M0, V0, t0, names, bufs = bc.value
-        pid = TaskContext.get().partitionId()
-        adam = K.FlatAdam(P0, M0, V0, spec, names)
-        P, M, V = {**P0, **adam.params}, adam.M, adam.V
-        rng = np.random.default_rng([cfg.seed, epoch, part, pid])
-        state = {"t": t0, "loss": 0.0, "batches": 0, "rows": 0}
-        B = cfg.batch_size
-        scratch: dict = {}
-
-        def step(arr):
-            g, a, o, z, mask = (arr[:, i].astype(np.int64) for i in range(5))
-            y = arr[:, 5]
-            loss, _ = K.loss_and_grads(P, spec, g, a, o, z, K.multihot(mask), y, rng=rng,
-                                       bn_stats=P, clamp_in_training=cfg.clamp_in_training, out=adam.grads, scratch=scratch)
-            state["t"] += 1
-            adam.step(state["t"], lr, (cfg.beta1, cfg.beta2), cfg.eps, cfg.weight_decay, cfg.max_grad_norm)
-            state["loss"] += loss
-            state["batches"] += 1
-            state["rows"] += len(y)
-
-        pending = np.empty((0, 6))
-        for pdf in batches:
-            arr = pdf[TRAIN_COLS].to_numpy(dtype=np.float64)
-            pending = arr if len(pending) == 0 else np.concatenate([pending, arr])
-            while len(pending) > 2 * B:
-                step(pending[:B])
-                pending = pending[B:]
-        rest = len(pending)
-        if rest == B + 1 or 2 <= rest <= B:
-            step(pending)                      # a batch of one cannot be normalised
-        elif rest > B:
-            step(pending[:B])
-            step(pending[B:])
-        n = state["rows"]
-        if n == 0:
-            return
-        vec = np.concatenate([flatten(P, names + bufs), flatten(M, names), flatten(V, names)]) * n
-        meta = [n, state["loss"] / state["batches"], 1.0, state["t"] * n]
-        import pandas as pd
-        yield pd.DataFrame({"_id": [pid], "v": [np.concatenate([meta, vec])]})
+        blocks = ((s, b) for batch in batches for s, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        total = None
+        for shard, held in itertools.groupby(blocks, key=lambda x: x[0]):
+            vec = trained(shard, [b for _, b in held])
+            if vec is not None:
+                total = vec if total is None else np.add(total, vec, out=total)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array([0, len(total)], pa.int32()), pa.array(total))], names=["_id", "v"])
 
-    return ordered.mapInPandas(run, "_id long, v array<double>")
+    return shards.mapInArrow(run, "_id long, v array<double>")
 
 
 def _step_job(shards: DataFrame, bc, epoch: int, n_steps: int, lr: float, cfg: FitConfig) -> DataFrame:
@@ -256,7 +341,8 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
     Returns the model of the epoch with the lowest training loss: its parameters, the Adam state
     of the same epoch, and ``meta['history']`` = [(epoch, mse, lr)]. ``on_better(model)`` is called after
     each epoch that is better than all before (to store it: a lost driver then loses one epoch). ``init``
-    goes on from a stored model: parameters, Adam state, the epochs done and their history.
+    goes on from a stored model: parameters, Adam state, the epochs done and their history. ``shards``: of ``train``, by
+    :func:`prepare_shards` (or :func:`prepare_replicas` with ``sync="step"``).
     """
     cfg = cfg or FitConfig()
     spark = train.sparkSession
@@ -264,7 +350,10 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
     names, bufs = spec.trainable_names(), spec.buffer_names()
     one_sum = False
     if not stepwise:
-        shards = prepare_shards(train, cfg.rows_per_shard) if shards is None else shards
+        rows = train
+        if shards is None:
+            rows, n = _keyed_rows(train)
+            shards = _shards(rows, n, cfg.rows_per_shard, cfg.fan_in)
         n_steps = 0
     else:
         rows, n = _keyed_rows(train) if shards is None else (shards, shards.count())
@@ -272,12 +361,12 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
         one_sum = n_steps == 1 and cfg.replicas == 1 and not bufs
         workers = min(cfg.sync_workers, spark.sparkContext.defaultParallelism)
         shards = rows if one_sum or shards is not None else _replicas(rows, cfg.replicas, workers)
-    n_shards = shards.rdd.getNumPartitions()
+    n_parts = shards.rdd.getNumPartitions()
     opt = (init.meta.get("optimizer") if init else None) or {}
     if init:
         P = init.params
     else:
-        out_bias = float(shards.agg(F.avg(F.col("rating").cast("decimal(20,6)"))).first()[0]) if cfg.out_bias_from_mean else None
+        out_bias = float((shards if stepwise else rows).agg(F.avg(F.col("rating").cast("double").cast("decimal(20,6)"))).first()[0]) if cfg.out_bias_from_mean else None
         P = init_params(spec, cfg.seed, out_bias)
     M = opt.get("m") or {n: np.zeros_like(P[n]) for n in names}
     V = opt.get("v") or {n: np.zeros_like(P[n]) for n in names}
@@ -293,11 +382,11 @@ def fit(train: DataFrame, spec: ModelSpec, cfg: FitConfig | None = None, init: M
             bc = spark.sparkContext.broadcast((spec, P, M, V, t, names, bufs))
             if one_sum:
                 summed = [{"v": _stepped(np.array(r["v"]), P, M, V, t, spec, names, lr, cfg)}
-                          for r in tree_sum(_sum_job(shards, bc, cfg), n_shards, cfg.fan_in).collect()]
+                          for r in tree_sum(_sum_job(shards, bc, cfg), n_parts, cfg.fan_in).collect()]
             elif stepwise:
                 summed = _step_job(shards, bc, epoch, n_steps, lr, cfg).collect()
             else:
-                summed = tree_sum(_epoch_job(shards, bc, epoch, part, lr, cfg), n_shards, cfg.fan_in).collect()
+                summed = tree_sum(_epoch_job(shards, bc, epoch, part, lr, cfg), n_parts, cfg.fan_in).collect()
             bc.destroy()
             if not summed:
                 continue  # a part without rows

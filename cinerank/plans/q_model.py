@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import encoders as E
 from ..model.score import KEY_COLS, Model, forward_sql_stages, score_arrow, score_expr, score_sql
 from ..model.spec import ModelSpec, fixed_params
-from ..model.train import FitConfig, fit, learning_curve
+from ..model.train import FitConfig, fit, learning_curve, prepare_shards
 from ..operators import evaluate as EV
 from ..operators import split as S
 from ..session import ensure_checkpoint_dir, stored_rows
@@ -95,7 +95,8 @@ def trained_model(spark, sf_dir, model_type: str, cfg: FitConfig | None = None):
     try:
         return load_model(spark, path), test
     except FileNotFoundError:  # not stored yet
-        model = fit(train, ModelSpec(model_type), cfg)
+        shards = prepare_shards(train, cfg.rows_per_shard, cfg.fan_in, n=data[0]) if cfg.sync == "epoch" else None
+        model = fit(train, ModelSpec(model_type), cfg, shards=shards)
         save_model(spark, model, path)
         return model, test
 

@@ -95,3 +95,27 @@ def test_scorer_gives_the_same_bits_for_dyadic_parameters(model_type):
     mask = rng.integers(0, 1 << 18, 500)
     raw, _ = K.forward(P, spec, g, a, o, z, K.multihot(mask))
     assert (K.Scorer(P, spec)(g, a, o, z, mask) == raw).all()
+
+
+@pytest.mark.parametrize("model_type", ["ncf", "neumf"])
+@pytest.mark.parametrize("hidden,clamp", [([16, 8], False), ([8], True), ([12, 8, 6], False)])
+def test_a_training_step_is_that_of_loss_and_grads(model_type, hidden, clamp):
+    """Towers and first layer as one product: the same loss, gradients, running moments and dropout, for odd batches too."""
+    spec = ModelSpec(model_type, embed_dim=8, hidden_dims=hidden)
+    P = init_params(spec, 3, 3.0)
+    for i, (name, v) in enumerate(P.items()):
+        P[name] = v + 0.1 * np.random.default_rng(i).random(v.shape)  # biases and moments that aren't zero
+    for n in (2, 65, 256):
+        r = np.random.default_rng(n)
+        x = [r.integers(0, m, n) for m in (2, 7, 21, 11)]
+        mask, y = r.integers(0, 1 << 18, n), r.integers(1, 6, n).astype(float)
+        seen = [{k: v.copy() for k, v in P.items() if "run_" in k} for _ in range(2)]
+        loss, G = K.loss_and_grads(P, spec, *x, K.multihot(mask), y, rng=np.random.default_rng(1), bn_stats=seen[0], clamp_in_training=clamp)
+        out = {name: np.zeros_like(P[name]) for name in spec.trainable_names()}
+        got = K.train_step(P, spec, K.design(P, spec, *x, mask), y, np.random.default_rng(1), seen[1], out, {}, clamp)
+        assert got == pytest.approx(loss, rel=1e-12)
+        for k, v in G.items():
+            assert np.abs(out[k] - v).max() < 1e-9 * max(1.0, np.abs(v).max()), (n, k)
+        assert all(np.allclose(seen[1][k], v, rtol=1e-10) for k, v in seen[0].items())
+    with pytest.raises(IndexError):
+        K.design(P, spec, np.array([2]), *(np.array([0]) for _ in range(4)))

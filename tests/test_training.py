@@ -233,3 +233,46 @@ def test_trained_queries_join_once(spark):
     assert "Join" not in test._jdf.queryExecution().optimizedPlan().toString()
     _, want = S.hash_split(fixture_features(spark, SF001).drop("genres"))
     assert test.exceptAll(want.select(*test.columns)).count() == 0 and test.count() == want.count()
+
+
+def test_tasks_train_several_shards(spark, monkeypatch):
+    """Many shards: a task sends one sum for those it trains, and the result is that of each shard on its own, its rows by Spark's hashes."""
+    from cinerank.model import kernel as K
+    from cinerank.model import train as T
+    from cinerank.model.spec import flatten, init_params, unflatten
+    rows = spark.range(2700).selectExpr("cast(id % 900 as int) user_id", "cast(id % 450 as int) movie_id", "cast(1 as long) ts", "cast(id % 2 as int) gender_idx", "cast(id % 7 as int) age_idx",
+                                        "cast(id % 21 as int) occ_idx", "cast(id % 11 as int) zip_idx", "cast(id * 37 % 1000 as int) genre_mask", "cast(1 + id % 5 as float) rating").cache()
+    seen, tree = [], T.tree_sum
+    monkeypatch.setattr(T, "tree_sum", lambda parts, n, fan_in: seen.append(n) or tree(parts, n, fan_in))
+    spec = ModelSpec("ncf", embed_dim=8, hidden_dims=[8])
+    cfg = FitConfig(num_epochs=2, rows_per_shard=9, batch_size=4)
+    got = fit(rows, spec, cfg)
+    assert seen == [150, 150]  # 300 shards
+    names, bufs = spec.trainable_names(), spec.buffer_names()
+    P = init_params(spec, cfg.seed, float(rows.agg(F.avg("rating")).first()[0]))
+    M, V = ({n: np.zeros_like(P[n]) for n in names} for _ in range(2))
+    t = 0
+    key = F.xxhash64("user_id", "movie_id", "ts")
+    for epoch in range(2):
+        pdf = rows.select(*T.TRAIN_COLS, F.pmod(F.hash(key), F.lit(300)).alias("shard"), F.xxhash64(key, F.lit(epoch)).alias("turn")).toPandas()
+        total, steps, n = 0.0, 0.0, 0
+        for shard, own in pdf.sort_values(["turn", *T.TRAIN_COLS]).groupby("shard"):
+            p, m, v, s = {k: x.copy() for k, x in P.items()}, dict(M), dict(V), t
+            rng = np.random.default_rng([cfg.seed, epoch, 0, shard])
+            cuts = [*range(0, len(own), 4), len(own)]
+            if len(own) % 4 == 1:
+                del cuts[-2]
+            if len(own) < 2:
+                continue
+            for i, j in zip(cuts, cuts[1:]):
+                b = own.iloc[i:j]
+                _, G = K.loss_and_grads(p, spec, *(b[c].to_numpy(np.int64) for c in T.TRAIN_COLS[:4]), K.multihot(b["genre_mask"].to_numpy()), b["rating"].to_numpy(float), rng=rng, bn_stats=p)
+                K.clip_grad_norm(G, cfg.max_grad_norm)
+                s += 1
+                K.adam_step(p, G, m, v, s, K.cosine_lr(epoch, 2, cfg.lr, cfg.min_lr_ratio))
+            total, steps, n = total + len(own) * np.concatenate([flatten(p, names + bufs), flatten(m, names), flatten(v, names)]), steps + len(own) * s, n + len(own)
+        t, k = round(steps / n), len(flatten(P, names + bufs))
+        size = len(flatten(M, names))
+        P, M, V = unflatten(total[:k] / n, spec, names + bufs), unflatten(total[k:k + size] / n, spec, names), unflatten(total[k + size:] / n, spec, names)
+    best = got.meta["epoch"]
+    assert best in (1, 2) and (best == 1 or max(np.abs(got.params[k] - v).max() for k, v in P.items()) < 1e-9)
