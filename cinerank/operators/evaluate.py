@@ -82,26 +82,19 @@ def permutation_importance(test: DataFrame, model: Model, key_cols=S.RATING_KEY,
     """Rise in RMSE when one feature (genres as a whole) is shuffled across the test rows.
 
     All rows by default; ``sample_cap`` keeps at most that many (deterministic hash sample). Rows are numbered
-    once, by one sort. The baseline and five permuted variants are counted by (feature, key, rating), the distinct keys are
-    scored once, and one aggregate by feature gives six rows, from which the baseline is taken.
+    once, by one sort, and each value is sent to the row that its feature's bijection names, in one shuffle for all features. The baseline and five
+    permuted variants are scored where they lie, and one aggregate by feature gives six rows, from which the baseline is taken.
     """
     base = test.select(*key_cols, *KEY_COLS, F.col("rating").cast("double").alias("rating"))
     if sample_cap is not None:
         base = S.sample_cap(base, sample_cap, key_cols, seed)
     rows, n = S.numbered(base, key_cols, seed)
-    # Each value is sent to the row that the feature's bijection names: one shuffle for all features.
-    sent = F.explode(F.array(*[F.struct(S.bijection("_pos", n, seed, col).alias("_pos"), F.lit(i).alias("_f"), F.col(col).cast("long").alias("_v"))
-                               for i, (_, _, col) in enumerate(FEATURE_GROUPS)])).alias("_m")
-    got = rows.select(sent).select("_m.*").groupBy("_pos").agg(
-        *[F.max(F.when(F.col("_f") == i, F.col("_v"))).alias(f"_p{i}") for i in range(len(FEATURE_GROUPS))])
-    variants = [F.struct(F.lit("baseline").alias("feature"), *KEY_COLS)]
-    for i, (_, label, col) in enumerate(FEATURE_GROUPS):
-        variants.append(F.struct(F.lit(label).alias("feature"), *[F.col(f"_p{i}").cast(base.schema[c].dataType).alias(c) if c == col else F.col(c)
-                                                                  for c in KEY_COLS]))
-    allv = rows.join(got, "_pos").select(F.explode(F.array(*variants)).alias("_v"), "rating").select("_v.*", "rating")
-    counted = cut_lineage(_counted(allv, "feature"))
-    keys = _scored_keys(counted, lambda d: score_arrow(d, model, "prediction"))
-    metrics = counted.join(keys, KEY_COLS).groupBy("feature").agg(F.sqrt(_weighted("prediction")["mse"]).alias("rmse"))
+    names = ["baseline", *(label for _, label, _ in FEATURE_GROUPS)]
+    columns = [col for _, _, col in FEATURE_GROUPS]
+    scored = score_arrow(S.permuted_variants(rows, n, columns, "rating", seed), model, "prediction")
+    e = F.col("prediction") - F.col("rating")
+    feature = F.element_at(F.array(*map(F.lit, names)), F.col("_variant") + 1).alias("feature")
+    metrics = scored.groupBy("_variant").agg(F.sqrt(F.sum(e * e) / F.count(F.lit(1))).alias("rmse")).select(feature, "rmse")
     six = Window.partitionBy()        # six rows
     baseline = F.max(F.when(F.col("feature") == "baseline", F.col("rmse"))).over(six)
     return (metrics.withColumn("baseline_rmse", baseline).filter(F.col("feature") != "baseline")

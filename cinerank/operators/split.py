@@ -8,15 +8,17 @@ in SQL (md5 exists in both Spark and DuckDB).
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored_rows
 
 RATING_KEY = ["user_id", "movie_id", "ts"]
 
@@ -167,6 +169,26 @@ def bijection(pos: str, n: int, seed: int, label: str) -> Column:
                   f"x -> if(x < {n}L, x, cast(raise_error('position left the range') as bigint)))")
 
 
+def bijection_of(pos: np.ndarray, n: int, seed: int, label: str) -> np.ndarray:
+    """The same for an array of positions."""
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1) if n > 1 else 1
+    b = max(1, -(-n // a))
+
+    def once(x):
+        left, right = x % a, x // a
+        for j, (c, d) in enumerate(round_constants(seed, label)):
+            t = (right * c + d) % PRIME
+            left, right = right, (left + t * t % PRIME) % (a, b)[j % 2]
+        return left + a * right
+
+    out = once(pos.astype(np.int64))
+    again = np.flatnonzero(out >= n)
+    while len(again):
+        out[again] = once(out[again])
+        again = again[out[again] >= n]
+    return out
+
+
 def bijection_sql(name: str, rows: str, seed: int, label: str) -> list[tuple[str, str]]:
     """The same as CTEs of a recursive query for DuckDB: ``name``(pos, x) for the positions of the table ``rows``."""
     steps = ["x % a as l0", "x // a as r0"]
@@ -181,12 +203,26 @@ def bijection_sql(name: str, rows: str, seed: int, label: str) -> list[tuple[str
             (name, f"select pos, x from {name}_walk where not again")]
 
 
+def _positions(df: DataFrame, order: list, name: str) -> tuple[DataFrame, int]:
+    """(``df`` with each row's position from 0 in ``order`` over the whole table, number of rows): range partitions are sorted and numbered where
+    they lie, and stored; a position adds the rows of the partitions before. One shuffle."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The number of the partition in the upper bits, that of the row in it in the lower 33.
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = stored_rows(ranged, "positions")
+    part = F.shiftright("_id", 33).cast("int")
+    sizes = dict(rows.groupBy(part.alias("_part")).count().collect())  # one row per partition
+    before = [0, *itertools.accumulate(sizes.get(i, 0) for i in range(max(sizes, default=0) + 1))]
+    starts = F.expr(f"array({', '.join(f'{x}L' for x in before)})")
+    return rows.withColumn(name, F.element_at(starts, part + 1) + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id"), before[-1]
+
+
 def numbered(df: DataFrame, key_cols, seed: int = 42, order_cols=None) -> tuple[DataFrame, int]:
-    """(``df`` with ``_pos`` from 0 in the order of md5(key, seed), ties by ``order_cols``; number of rows). One sort, checkpointed."""
+    """(``df`` with ``_pos`` from 0 in the order of md5(key, seed), ties by ``order_cols``; number of rows). One sort, stored."""
     ties = [F.col(c) for c in (order_cols or df.columns)]
     base = df.withColumn("_hr", F.md5(key_string(key_cols, seed)))
-    rows = cut_lineage(global_position(base, [F.col("_hr"), *ties], "_pos").withColumn("_pos", F.col("_pos") - 1).drop("_hr"))
-    return rows, rows.count()
+    rows, n = _positions(base, [F.col("_hr"), *ties], "_pos")
+    return rows.drop("_hr"), n
 
 
 def permute_column(df: DataFrame, column: str, key_cols, seed: int = 42, order_cols=None) -> DataFrame:
@@ -198,3 +234,82 @@ def permute_column(df: DataFrame, column: str, key_cols, seed: int = 42, order_c
     rows, n = numbered(df, key_cols, seed, order_cols)
     moved = rows.select(bijection("_pos", n, seed, column).alias("_pos"), column)
     return rows.drop(column).join(moved, "_pos").select(*df.columns)
+
+
+#: A null among the 32-bit values that are sent, and the bits of a null number.
+NO_VALUE, NO_NUMBER = -2 ** 31, -1
+#: Rows that a task sends at a time.
+SENT = 1 << 17
+
+
+def block_rows(n: int) -> int:
+    """Rows of a block: about a 256th of all, but 2^14 at least and 2^20 at most."""
+    return min(1 << 20, max(1 << 14, -(-n // 256)))
+
+
+def permuted_variants(rows: DataFrame, n: int, columns: list[str], number: str, seed: int = 42) -> DataFrame:
+    """The ``n`` rows of :func:`numbered` once as they are (_variant = 0) and once for each of ``columns`` (int) with that column
+    permuted (_variant = 1, 2, ...): _variant, ``columns`` and ``number`` (double). Column i of row q goes to row ``bijection(q, column i)``.
+
+    Positions are dealt into blocks. A task sends each value, with its place there, to the block of the row that gets it, many to a message; a
+    block's task puts them in place. So a value is shuffled once, in 8 bytes, and a task holds one block (44 bytes a row).
+    """
+    size = block_rows(n)
+    last = n - (n - 1) // size * size
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                held.append(batch)
+                waiting += batch.num_rows
+            if not held or (batch is not None and waiting < SENT):
+                continue
+            table, held, waiting = pa.Table.from_batches(held), [], 0
+            pos = table["_pos"].to_numpy()
+            values = [table[c].cast(pa.int32()).fill_null(NO_VALUE).to_numpy() for c in columns]
+            bits = (table[number].fill_null(0.0).to_numpy() + 0.0).view(np.int64)  # minus zero is zero
+            bits[table[number].is_null().to_numpy()] = NO_NUMBER
+            out = [], [], []
+            for i, column in enumerate([None, *columns]):
+                to = pos if column is None else bijection_of(pos, n, seed, column)
+                blocks, order = to // size, np.argsort(to // size, kind="stable")
+                blocks, places = blocks[order], (to % size).astype(np.int32)[order]
+                own = [bits[order], *(v[order] for v in values)] if column is None else [values[i - 1][order]]
+                for start, end in itertools.pairwise([0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]):
+                    for x, v in zip(out, (blocks[start], i, b"".join([places[start:end].tobytes(), *(o[start:end].tobytes() for o in own)]))):
+                        x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], names=["_block", "_what", "_sent"])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, got, block = len(columns), 0, None
+        for batch in batches:
+            for block, what, message in zip(*(c.to_pylist() for c in batch.columns)):
+                if not got:
+                    m = last if (block + 1) * size > n else size
+                    own, moved, bits = np.empty((k, m), np.int32), np.empty((k, m), np.int32), np.empty(m, np.int64)
+                if what:
+                    count = len(message) // 8
+                    moved[what - 1][np.frombuffer(message, np.int32, count)] = np.frombuffer(message, np.int32, count, 4 * count)
+                else:
+                    count = len(message) // (12 + 4 * k)
+                    places = np.frombuffer(message, np.int32, count)
+                    bits[places] = np.frombuffer(message, np.uint8, 8 * count, 4 * count).view(np.int64)
+                    own[:, places] = np.frombuffer(message, np.int32, k * count, 12 * count).reshape(k, count)
+                got += count
+        if block is None:
+            return
+        if got != (k + 1) * m:
+            raise ValueError(f"block {block} got {got} values for {m} rows of {k} columns")
+        numbers = bits.view(np.float64)
+        for variant in range(k + 1):
+            for start in range(0, m, 1 << 16):
+                part = slice(start, start + (1 << 16))
+                arrays = [(moved if i + 1 == variant else own)[i, part] for i in range(k)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(arrays[0]), variant, np.int32)), *(pa.array(a, mask=a == NO_VALUE) for a in arrays),
+                     pa.array(numbers[part], mask=bits[part] == NO_NUMBER)], names=["_variant", *columns, number])
+
+    dealt = rows.select("_pos", *columns, F.col(number).cast("double").alias(number)).mapInArrow(sent, "_block int, _what int, _sent binary")
+    schema = ", ".join(["_variant int", *(f"`{c}` int" for c in columns), f"`{number}` double"])
+    return dealt.repartitionById(max(1, -(-n // size)), "_block").mapInArrow(placed, schema)

@@ -303,3 +303,25 @@ def test_random_split_returns_the_rows_of_both_sides(spark):
 def FE_report(features):
     from cinerank.operators.features import features_report
     return features_report(features)
+
+
+def test_variants_are_the_permuted_columns(spark):
+    """Values sent in blocks end in the rows that the bijection names, with repeated keys and nulls, in one shuffle."""
+    rows = spark.range(40_000).selectExpr("id % 9000 as user_id", "cast(id % 7 as int) a", "case when id % 50 <> 0 then cast(id % 1013 as int) end as b",
+                                          "case when id % 60 <> 0 then cast(id % 5 as double) end as r")
+    numbered, n = S.numbered(rows, ["user_id"], 5)
+    assert n == 40_000 and -(-n // S.block_rows(n)) == 3
+    assert numbered.select("_pos").distinct().count() == n and numbered.agg(F.max("_pos")).first()[0] == n - 1
+    h = F.md5(S.key_string(["user_id"], 5))
+    order = [r["_pos"] for r in numbered.orderBy(h, *rows.columns).select("_pos").collect()]
+    assert order == sorted(order)
+    got = S.permuted_variants(numbered, n, ["a", "b"], "r", 5)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    by = got.groupBy("_variant", "a", "b", "r").count()
+    want = numbered.selectExpr("0 as _variant", "a", "b", "r")
+    for i, c in ((1, "a"), (2, "b")):
+        moved = numbered.select(S.bijection("_pos", n, 5, c).alias("_pos"), c)
+        want = want.unionByName(numbered.drop(c).join(moved, "_pos").select(F.lit(i).alias("_variant"), "a", "b", "r"))
+    want = want.groupBy("_variant", "a", "b", "r").count()
+    assert by.exceptAll(want).count() == 0 and want.exceptAll(by).count() == 0
+    assert S.permuted_variants(*S.numbered(rows.limit(0), ["user_id"]), ["a"], "r").count() == 0
